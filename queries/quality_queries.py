@@ -1 +1,178 @@
-"""x"""
+"""Quality reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohortkit.constants import STAY
+from cohortkit.operators import columns as K
+from cohortkit.operators import fingerprint as P
+from cohortkit.operators import quality as Q
+from cohortkit.operators.cohort import add_label
+from queries import views as V
+from queries.cohort_queries import LABEL_SQL
+from queries.entities import PEOPLE, STAYS, stays
+from queries.registry import query, r, rounded
+
+STAYS_SQL = f"{{patient}}, {{vital}}, {PEOPLE}, {STAYS}"
+LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+
+
+@query("d_target_distribution", f"""
+WITH {{patient}}
+SELECT {LABEL_SQL} AS value, count(*) AS n_rows, {r("count(*) * 100 / CAST(sum(count(*)) OVER () AS DOUBLE)", "percent")}
+FROM patient GROUP BY 1""")
+def d_target_distribution(spark, folder):
+    return rounded(Q.value_distribution(add_label(V.patient(spark, folder)), "mortality"))
+
+
+DESCRIBED = ("admissionweight", "heartrate_mean", "sao2_mean", "mortality")
+
+
+@query("d_describe", f"WITH {STAYS_SQL}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS \"count\", {r(f'avg({c})', 'mean')}, {r(f'stddev_samp({c})', 'std')}, "
+    f"{r(f'min({c})', 'min')}, {r(f'quantile_cont({c}, 0.25)', 'q25')}, {r(f'quantile_cont({c}, 0.5)', 'median')}, "
+    f"{r(f'quantile_cont({c}, 0.75)', 'q75')}, {r(f'max({c})', 'max')} FROM stays"
+    for c in DESCRIBED
+))
+def d_describe(spark, folder):
+    return rounded(Q.describe(stays(spark, folder), DESCRIBED))
+
+
+@query("d_overall_missing", f"""
+WITH {STAYS_SQL}
+SELECT count(*) AS n_rows, CAST(10 AS BIGINT) AS n_columns,
+  {r("(count(*) * 10 - " + " - ".join(f"count({c})" for c in (
+      "patientunitstayid", "patient_id", "age", "gender", "ethnicity", "site_id", "admissionweight",
+      "mortality", "heartrate_mean", "sao2_mean")) + ") / CAST(count(*) * 10 AS DOUBLE)", "missing_rate")}
+FROM stays""")
+def d_overall_missing(spark, folder):
+    return rounded(Q.overall_missing(stays(spark, folder)))
+
+
+@query("d_table_fingerprint")
+def d_table_fingerprint(spark, folder):
+    """No SQL: the comparison engine has no such row hash."""
+    return P.table_fingerprint(V.table(spark, folder, "lineitem"))
+
+
+CORRELATED = ("patientunitstayid", "admissionweight", "heartrate_mean", "sao2_mean")
+STAY_CORRELATIONS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", corr({c}, mortality) AS r FROM stays" for c in CORRELATED
+)
+
+
+@query("l_target_correlation", f"""
+WITH {STAYS_SQL}
+SELECT "column", {r("r", "r")} FROM ({STAY_CORRELATIONS})""")
+def l_target_correlation(spark, folder):
+    return rounded(Q.target_correlations(stays(spark, folder), "mortality"))
+
+
+LEAK_NUMBERS = ("l_extendedprice", "l_tax", "heartrate")
+
+
+@query("l_leak_high_corr", """
+WITH rows_ AS (
+  SELECT l_quantity, l_extendedprice, l_tax, CASE WHEN l_partkey % 10 <> 0 THEN l_quantity * 5 END AS heartrate
+  FROM lineitem),
+found AS (
+""" + "\nUNION ALL\n".join(f"SELECT '{c}' AS \"column\", corr({c}, l_quantity) AS r FROM rows_" for c in LEAK_NUMBERS)
++ f""")
+SELECT "column", {r("r", "r")} FROM found WHERE abs(r) > 0.9""")
+def l_leak_high_corr(spark, folder):
+    """A column computed from the target, with gaps of its own."""
+    leaked = F.when(F.col("l_partkey") % 10 != 0, F.col("l_quantity") * 5).alias("heartrate")
+    rows = V.table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice", "l_tax", leaked)
+    return rounded(Q.high_correlations(rows, "l_quantity"))
+
+
+LINE_CORRELATIONS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", corr({c}, l_extendedprice) AS r FROM lineitem" for c in LINE_NUMBERS
+)
+
+
+@query("f_top5_correlation", f"""
+WITH found AS ({LINE_CORRELATIONS})
+SELECT "column", {r("r", "r")} FROM (
+  SELECT * FROM found WHERE r IS NOT NULL ORDER BY abs(r) DESC, "column" LIMIT 5)""")
+def f_top5_correlation(spark, folder):
+    return rounded(Q.top_correlations(V.table(spark, folder, "lineitem"), "l_extendedprice"))
+
+
+@query("f_top5_missing", """
+WITH {patient}, found AS (
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS n_missing, "
+    f"(count(*) - count({c})) / CAST(count(*) AS DOUBLE) * 100 AS percent FROM patient"
+    for c in ("patientunitstayid", "uniquepid", "age", "gender", "ethnicity", "hospitalid", "admissionweight",
+              "hospitaldischargestatus", "admission_time")
+) + f""")
+SELECT "column", n_missing, {r("percent", "percent")} FROM (
+  SELECT * FROM found WHERE n_missing > 0 ORDER BY n_missing DESC, "column" LIMIT 5)""")
+def f_top5_missing(spark, folder):
+    return rounded(Q.top_missing(V.patient(spark, folder)))
+
+
+@query("f_largest_entity_sample", """
+WITH {lab_events},
+top AS (SELECT patientunitstayid FROM lab_events GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT patientunitstayid, labresultoffset, labname, labresult
+FROM lab_events SEMI JOIN top USING (patientunitstayid)
+ORDER BY labresultoffset, labname, labresult LIMIT 5""")
+def f_largest_entity_sample(spark, folder):
+    return Q.largest_entity_sample(V.lab_events(spark, folder), STAY)
+
+
+@query("l_largest_entity", """
+WITH {diagnosis}
+SELECT patientunitstayid, count(*) AS n_rows FROM diagnosis GROUP BY 1
+ORDER BY n_rows DESC, patientunitstayid LIMIT 1""")
+def l_largest_entity(spark, folder):
+    return Q.largest_entity(V.diagnosis(spark, folder), STAY)
+
+
+@query("l_id_structure", f"""
+WITH {{vital}}
+SELECT count(*) AS total_rows, count(DISTINCT patientunitstayid) AS unique_ids,
+  {r("count(*) / CAST(count(DISTINCT patientunitstayid) AS DOUBLE)", "rows_per_id")},
+  CASE WHEN count(*) / CAST(count(DISTINCT patientunitstayid) AS DOUBLE) <= 1.1
+    THEN 'STATIC' ELSE 'DYNAMIC' END AS data_type
+FROM vital""")
+def l_id_structure(spark, folder):
+    return rounded(Q.id_structure(V.vital(spark, folder), STAY))
+
+
+@query("l_duplicate_rows", f"""
+WITH {{diagnosis}}, copies AS (SELECT count(*) AS n FROM diagnosis GROUP BY ALL, patientunitstayid, icd9code, diagnosisstring)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n - 1) AS BIGINT) AS n_duplicates,
+  {r("sum(n - 1) * 100 / CAST(sum(n) AS DOUBLE)", "percent")}
+FROM copies""".replace("GROUP BY ALL, ", "GROUP BY "))
+def l_duplicate_rows(spark, folder):
+    return rounded(Q.duplicate_rows(V.diagnosis(spark, folder)))
+
+
+@query("l_cardinality_scan", """
+SELECT 'text' AS "column", 'categorical' AS kind, count(DISTINCT "text") AS n_levels,
+  count(DISTINCT "text") > 100 AS too_many FROM documents
+UNION ALL SELECT 'lang', 'categorical', count(DISTINCT lang), count(DISTINCT lang) > 100 FROM documents
+UNION ALL SELECT 'source', 'categorical', count(DISTINCT source), count(DISTINCT source) > 100 FROM documents
+UNION ALL SELECT 'n_chars', 'numeric', NULL, false""")
+def l_cardinality_scan(spark, folder):
+    return Q.cardinality(V.table(spark, folder, "documents"), exclude=["doc_id"], limit=100)
+
+
+KINDS = {
+    "age": False, "gender": False, "ethnicity": False, "site_id": False, "admissionweight": True,
+    "mortality": True, "heartrate_mean": True, "sao2_mean": True,
+}
+
+
+@query("l_feature_types", f"WITH {STAYS_SQL}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_levels, "
+    + (f"CASE WHEN count(DISTINCT {c}) <= 10 THEN 'categorical' ELSE 'numeric' END" if number else "'categorical'")
+    + " AS kind FROM stays"
+    for c, number in KINDS.items()
+))
+def l_feature_types(spark, folder):
+    return K.column_kinds(stays(spark, folder), exclude=[STAY, "patient_id"])

@@ -1 +1,131 @@
-"""x"""
+"""Reading and writing: what was written is read back."""
+
+from __future__ import annotations
+
+import uuid
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from cohortkit.constants import STAY
+from cohortkit.operators import columns as K
+from cohortkit.operators import evaluate as E
+from cohortkit.session import shared_folder
+from cohortkit.sources import (
+    feature_catalog,
+    manifest,
+    metrics_summary,
+    read_table,
+    write_membership,
+    write_predictions,
+    write_table,
+)
+from queries import views as V
+from queries.entities import ASSIGNED, PEOPLE, STAYS, assigned, stays
+from queries.registry import query, r, rounded
+
+
+def fresh_path(spark) -> str:
+    return f"{shared_folder(spark)}/cohortkit-{uuid.uuid4().hex}"
+
+
+RAW = ("patient", "diagnosis", "vital", "lab")
+
+
+@query("a_scan_profile", "WITH {patient}, {diagnosis}, {vital}, {lab}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT patientunitstayid) AS n_entities FROM {t}"
+    for t in RAW
+))
+def a_scan_profile(spark, folder):
+    profiles = [
+        getattr(V, t)(spark, folder).agg(
+            F.lit(t).alias("table_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct(STAY).alias("n_entities"),
+        )
+        for t in RAW
+    ]
+    return reduce(lambda a, b: a.unionByName(b), profiles)
+
+
+@query("a_csv_read", f"""
+WITH {{vital}}
+SELECT patientunitstayid, observationoffset, heartrate, {r("sao2", "sao2")}, {r("etco2", "etco2")} FROM vital""")
+def a_csv_read(spark, folder):
+    """Gaps, whole numbers and decimals survive a text file."""
+    path = fresh_path(spark)
+    write_table(V.vital(spark, folder), path, "csv")
+    schema = "patientunitstayid LONG, observationoffset INT, heartrate DOUBLE, sao2 DOUBLE, etco2 DOUBLE"
+    return rounded(read_table(spark, path, schema, "csv"))
+
+
+@query("a_membership_written", f"""
+WITH {ASSIGNED}
+SELECT 'patient_stratified' AS protocol, split, patient_id FROM assigned""")
+def a_membership_written(spark, folder):
+    path = fresh_path(spark)
+    write_membership(assigned(spark, folder), path, "patient_stratified")
+    return spark.read.parquet(path).select("protocol", "split", "patient_id")
+
+
+SCORED = "CASE WHEN y_pred_proba >= 0.5 THEN 1 ELSE 0 END AS y_pred_class"
+
+
+@query("a_predictions_written", f"""
+WITH {{predictions}}
+SELECT 'temporal' AS protocol, 'v1' AS version, patient_id, y_true, y_pred_proba, {SCORED} FROM predictions""")
+def a_predictions_written(spark, folder):
+    path = fresh_path(spark)
+    rows = V.predictions(spark, folder)
+    scored = E.merge_predictions(rows.select("patient_id", "y_true"), rows.select("patient_id", "y_pred_proba"))
+    write_predictions(scored, path, "temporal", "v1")
+    return spark.read.parquet(path)
+
+
+@query("a_feature_catalog", f"""
+WITH {{patient}}, {{vital}}, {PEOPLE}, {STAYS}, kinds AS (
+SELECT 'age' AS feature, 'categorical' AS kind UNION ALL SELECT 'gender', 'categorical'
+UNION ALL SELECT 'ethnicity', 'categorical' UNION ALL SELECT 'site_id', 'categorical'
+""" + "".join(
+    f"UNION ALL SELECT '{c}', CASE WHEN count(DISTINCT {c}) <= 10 THEN 'categorical' ELSE 'numeric' END FROM stays\n"
+    for c in ("admissionweight", "heartrate_mean", "sao2_mean")
+) + """)
+SELECT feature, kind, CAST(count(*) OVER () AS INTEGER) AS total_features FROM kinds""")
+def a_feature_catalog(spark, folder):
+    rows = stays(spark, folder)
+    return feature_catalog(rows, K.feature_kinds(rows, exclude=[STAY, "patient_id", "mortality"]))
+
+
+@query("a_manifest")
+def a_manifest(spark, folder):
+    """No SQL: holds the row hash of the table."""
+    return manifest(V.table(spark, folder, "orders"), {"window_hours": 72})
+
+
+METRICS = {
+    "accuracy": "avg(CASE WHEN y_true = c THEN 1 ELSE 0 END)",
+    "precision": "coalesce(sum(y_true * c) / CAST(nullif(sum(c), 0) AS DOUBLE), 0)",
+    "recall": "coalesce(sum(y_true * c) / CAST(nullif(sum(y_true), 0) AS DOUBLE), 0)",
+}
+
+
+@query("a_metrics_summary", """
+WITH {predictions},
+before AS (SELECT protocol, y_true, CASE WHEN y_pred_proba >= 0.5 THEN 1 ELSE 0 END AS c FROM predictions),
+later AS (SELECT protocol, y_true, CASE WHEN y_pred_proba >= 0.3 THEN 1 ELSE 0 END AS c FROM predictions),
+b AS (SELECT protocol, """ + ", ".join(r(e, f"before_calibration_{m}") for m, e in METRICS.items()) + """
+  FROM before GROUP BY protocol),
+l AS (SELECT protocol, """ + ", ".join(r(e, f"after_calibration_{m}") for m, e in METRICS.items()) + """
+  FROM later GROUP BY protocol)
+SELECT * FROM b JOIN l USING (protocol)""")
+def a_metrics_summary(spark, folder):
+    """Languages stand in for protocols, two thresholds for the two stages."""
+    rows = V.predictions(spark, folder)
+    stages = []
+    for stage, threshold in (("before_calibration", 0.5), ("after_calibration", 0.3)):
+        scored = rows.withColumn("y_pred_class", (F.col("y_pred_proba") >= threshold).cast("int"))
+        stages.append(
+            E.classification_metrics(scored, ("protocol",))
+            .withColumns({"split": F.lit("test"), "stage": F.lit(stage)})
+        )
+    return rounded(metrics_summary(stages[0].unionByName(stages[1]), list(METRICS)))
