@@ -1,0 +1,237 @@
+"""Fits use training rows only; edges of each transform."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortkit.operators import dictionary as D
+from cohortkit.operators import evaluate as E
+from cohortkit.operators import transforms as X
+
+approx = pytest.approx
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    rows = [(1.0, 7.0, 1.0), (2.0, 7.0, None), (4.0, 7.0, 5.0), (9.0, 7.0, None)]
+    return spark.createDataFrame(rows, "x DOUBLE, same DOUBLE, gaps DOUBLE").coalesce(1)
+
+
+def test_median_is_exact(numbers):
+    assert X.fit_impute(numbers, ["x", "gaps"]) == {"x": 3.0, "gaps": 3.0}
+
+
+def test_other_strategies(numbers):
+    assert X.fit_impute(numbers, ["x"], "mean") == {"x": 4.0}
+    assert X.fit_impute(numbers, ["x"], "most_frequent") == {"x": 1.0}
+    assert X.fit_impute(numbers, ["x"], "constant", 5.0) == {"x": 5.0}
+    with pytest.raises(ValueError):
+        X.fit_impute(numbers, ["x"], "guess")
+
+
+def test_mode_tie_takes_the_smallest(spark):
+    df = spark.createDataFrame([(v,) for v in "bacba"] + [(None,)] * 9, "s STRING")
+    assert X.most_frequent(df, ["s"]) == {"s": "a"}
+    assert X.most_frequent(df.where("s IS NULL"), ["s"]) == {"s": None}
+
+
+def test_scaling(numbers):
+    fitted = X.fit_scale(numbers, ["x", "same"])
+    assert fitted["x"] == (4.0, approx(3.0822070)) and fitted["same"] == (7.0, 1.0)
+    assert X.fit_scale(numbers, ["x", "same"], "minmax") == {"x": (1.0, 8.0), "same": (7.0, 1.0)}
+    assert X.fit_scale(numbers, ["x", "same"], "robust") == {"x": (3.0, 3.5), "same": (7.0, 1.0)}
+    assert [r[0] for r in X.scale(numbers, fitted).select("same").collect()] == [0.0] * 4
+    with pytest.raises(ValueError):
+        X.fit_scale(numbers, ["x"], "log")
+
+
+def test_moments_after_filling_equal_moments_of_the_filled_column(spark):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 3 != 0, F.sin("id") * 50 + 1e6).alias("v"),
+        F.when(F.col("id") % 2 != 0, F.lit(0.1)).alias("same"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    columns = ["v", "same", "none"]
+    found = X.moments(df, columns)
+    fills = {"v": 1e6 + 3.25, "same": 0.1, "none": 2.0}
+    direct = X.moments(X.impute(df, fills), columns)
+    for c in columns:
+        derived = X.after_fill(found[c], fills[c])
+        assert derived.mean == approx(direct[c].mean, rel=1e-12)
+        assert derived.var == approx(direct[c].var, rel=1e-9, abs=1e-12)
+        assert (derived.low, derived.high, derived.present) == (direct[c].low, direct[c].high, 1000)
+    full = {c: X.after_fill(found[c], fills[c]) for c in columns}
+    assert X.fit_scale(df, ["same"], found={"same": full["same"]})["same"][1] == 1.0
+
+
+def test_label_encoding(spark):
+    train = spark.createDataFrame([("b",), ("a",), ("c",)], "s STRING")
+    new = spark.createDataFrame([("z",), (None,), ("c",)], "s STRING").coalesce(1)
+    dictionary = D.fit_label_dictionary(train, ["s"])
+    assert {r["value"]: r["index"] for r in dictionary.collect()} == {"a": 0, "b": 1, "c": 2}
+    assert sorted(r[0] for r in D.encode_labels(new, dictionary, ["s"]).collect()) == [0, 0, 2]
+    assert sorted(r[0] for r in D.encode_labels(new, dictionary, ["s"], "unk").collect()) == [2, 3, 3]
+    with pytest.raises(ValueError, match="z"):
+        D.encode_labels(new, dictionary, ["s"], "error")
+    with pytest.raises(ValueError):
+        D.encode_labels(new, dictionary, ["s"], "other")
+    for method in ("ordinal", "binary"):
+        with pytest.raises(ValueError):
+            D.encode_categorical(new, train, ["s"], method)
+
+
+def test_missing_category_is_a_level(spark):
+    train = spark.createDataFrame([("b",), (None,)], "s STRING")
+    dictionary = D.fit_label_dictionary(train, ["s"])
+    assert {r["value"]: r["index"] for r in dictionary.collect()} == {"Unknown": 0, "b": 1}
+    shown = D.encode_one_hot(train, D.fit_one_hot_levels(train, ["s"]))
+    assert shown.columns == ["s_b", "s_nan"]
+    unseen = spark.createDataFrame([("q", 3)], "s STRING, k INT")
+    row = D.encode_one_hot(unseen, D.fit_one_hot_levels(train, ["s"])).first()
+    assert row.asDict() == {"k": 3, "s_b": 0.0, "s_nan": 0.0}
+    with pytest.raises(ValueError):
+        D.fit_one_hot_levels(train, ["s"], limit=1)
+
+
+def test_target_encoding_defaults(spark):
+    train = spark.createDataFrame([("a", 1), ("a", 1), ("a", 0), ("b", 0)], "s STRING, y INT")
+    new = spark.createDataFrame([("a",), ("z",), (None,)], "s STRING")
+    means = D.fit_target_means(train, ["s"], "y")
+    got = sorted(r[0] for r in D.encode_target(new, means, ["s"]).collect())
+    assert got == [approx(1 / 3), approx(1 / 3), approx(2 / 3)]
+    got = sorted(r[0] for r in D.encode_target(new, means, ["s"], "global", 0.5).collect())
+    assert got == [0.5, 0.5, approx(2 / 3)]
+    with pytest.raises(ValueError):
+        D.encode_target(new, means, ["s"], "zero")
+
+
+def test_f_scores(spark):
+    rows = [(0, 1.0, 5.0, 0.0), (0, 2.0, 5.0, 0.0), (1, 5.0, 5.0, 1.0), (1, 8.0, 5.0, 1.0)]
+    df = spark.createDataFrame(rows, "y INT, x DOUBLE, same DOUBLE, perfect DOUBLE")
+    scores = X.f_scores(df, ["x", "same", "perfect"], "y")
+    got = {r["feature"]: r["f_score"] for r in scores.collect()}
+    # means 1.5 and 6.5 around 4: between 25, within 0.5 + 4.5 over 2
+    assert got["x"] == approx(10.0) and got["same"] is None and got["perfect"] == math.inf
+    assert X.select_best(scores, "f_score", 2) == ["x", "perfect"]
+    assert X.select_best(scores, "f_score", None) == ["x", "same", "perfect"]
+
+
+def test_mutual_information_orders_columns(spark):
+    df = spark.range(400).select(
+        (F.col("id") % 2).cast("int").alias("y"),
+        ((F.col("id") % 2) * 10 + F.col("id") / 1000).alias("tells"),
+        F.floor(F.col("id") / 2).cast("double").alias("silent"),
+    )
+    got = {r["feature"]: r["mutual_info"] for r in X.mutual_information(df, ["tells", "silent"], "y").collect()}
+    assert got["tells"] == approx(math.log(2), abs=1e-6) and got["silent"] == approx(0.0, abs=0.01)
+
+
+def test_preprocessor(spark):
+    schema = "x DOUBLE, w DOUBLE, s STRING, y INT"
+    train = spark.createDataFrame(
+        [(1.0, 1.0, "a", 0), (2.0, None, "a", 1), (4.0, 2.0, None, 1), (None, 9.0, "b", 0)], schema
+    )
+    fitted = X.Preprocessor(["x", "w"], ["s"], target_encode=["s"], label="y").fit(train)
+    # the gap in s becomes "a" first, so "a" has labels 0, 1, 1
+    assert fitted.fills == {"x": 2.0, "w": 2.0, "s": "a"}
+    out = fitted.transform(train, keep=["y"])
+    assert out.columns == ["y", "x", "w", "s"] and fitted.feature_names == ["x", "w", "s"]
+    assert sorted(r["s"] for r in out.collect()) == [0.0, approx(2 / 3), approx(2 / 3), approx(2 / 3)]
+    totals = out.agg(F.avg("x"), F.stddev_pop("x")).first()
+    assert totals[0] == approx(0.0, abs=1e-12) and totals[1] == approx(1.0)
+    # other rows change nothing that was fitted
+    other = spark.createDataFrame([(100.0, None, "zz", 1)], schema)
+    row = fitted.transform(other).first()
+    assert row["s"] == approx(1 / 3) and row["x"] == approx((100 - 2.25) / math.sqrt(1.1875))
+    assert fitted.parameters(spark).count() == 3
+    chosen = X.Preprocessor(["x", "w"], ["s"], label="y", feature_selection="mutual_info", n_features=1).fit(train)
+    assert len(chosen.feature_names) == 2
+
+
+def test_preprocessor_errors(spark):
+    train = spark.createDataFrame([(1.0, None), (2.0, None)], "x DOUBLE, gone DOUBLE")
+    with pytest.raises(ValueError, match="gone"):
+        X.Preprocessor(["x", "gone"]).fit(train)
+    with pytest.raises(ValueError):
+        X.Preprocessor(["x"], scale_method="log").fit(train)
+    with pytest.raises(ValueError):
+        X.Preprocessor(["x"], feature_selection="best").fit(train)
+    with pytest.raises(ValueError, match="gone"):
+        X.check_complete(train)
+    assert X.check_complete(train.select("x")).count() == 2
+
+
+def test_train_stats_and_flags(spark):
+    train = spark.createDataFrame([(v,) for v in (0.0, 1.0, 2.0, 3.0, 4.0)], "x DOUBLE")
+    stats = X.fit_train_stats(train)
+    assert stats["x"] == {
+        "mean": 2.0, "std": approx(1.5811388), "median": 2.0, "q25": 1.0, "q75": 3.0, "min": 0.0, "max": 4.0,
+    }
+    new = spark.createDataFrame([(1.0,), (3.0,), (4.0,), (None,)], "x DOUBLE").coalesce(1)
+    got = X.add_train_features(new, stats)
+    assert [r[0] for r in got.select("x_within_train_iqr").collect()] == [1, 1, 0, 0]
+    first = got.first()["x_deviation_from_train_mean"]
+    assert first == approx(-1 / (1.5811388300841898 + 1e-8))
+
+
+def test_class_balance(spark):
+    df = spark.createDataFrame([(0,)] * 8 + [(1,)] * 2, "y INT")
+    weights = {r["class"]: r["weight"] for r in E.class_weights(df, "y").collect()}
+    assert weights == {0: 0.625, 1: 2.5}
+    weights = {r["class"]: r["weight"] for r in E.class_weights(df, "y", "inverse").collect()}
+    assert weights == {0: 1.25, 1: 5.0}
+    with pytest.raises(ValueError):
+        E.class_weights(df, "y", "sqrt")
+    row = E.class_imbalance(df, "y").first()
+    assert row["minority_ratio"] == 0.2 and row["imbalanced"] is False
+    row = E.class_imbalance(df.union(spark.createDataFrame([(None,)], "y INT")), "y").first()
+    assert row["imbalanced"] is True and row["n_rows"] == 11
+    assert E.sample_weights(df, df, "y").agg(F.sum("sample_weight")).first()[0] == approx(10.0)
+
+
+def best(df, metric):
+    return tuple(E.optimal_threshold(df, metric).first())
+
+
+def brute(rows, thresholds, score):
+    """Value of each threshold, from the definition."""
+    out = []
+    for t in thresholds:
+        tp = sum(1 for y, p in rows if y and p >= t)
+        fp = sum(1 for y, p in rows if not y and p >= t)
+        out.append((score(tp, fp, sum(y for y, _ in rows), sum(1 - y for y, _ in rows)), t))
+    return out
+
+
+def test_thresholds_against_all_candidates(spark):
+    rows = [(i * 7 % 3 % 2, (i * 37 % 101) / 101) for i in range(300)] + [(1, 1.0), (0, 0.0), (1, 50 / 99), (0, 49 * (1 / 99))]
+    df = spark.createDataFrame(rows, "y_true INT, y_pred_proba DOUBLE")
+    grid = [i * (1 / 99) for i in range(99)] + [1.0]
+    f1 = brute(rows, grid, lambda tp, fp, p, n: 2 * tp / (p + tp + fp) if p + tp + fp else 0.0)
+    want = max(f1, key=lambda x: (x[0], -x[1]))
+    assert best(df, "f1") == (approx(want[1], abs=0), approx(want[0]))
+    ba = brute(rows, grid, lambda tp, fp, p, n: (tp / p + (n - fp) / n) / 2)
+    want = max(ba, key=lambda x: (x[0], -x[1]))
+    assert best(df, "balanced_accuracy")[0] == want[1]
+    youden = brute(rows, sorted({p for _, p in rows}), lambda tp, fp, p, n: tp / p - fp / n)
+    want = max(youden, key=lambda x: (x[0], x[1]))
+    assert best(df, "youden") == (want[1], approx(want[0]))
+    points = {r["slot"]: (r["tp"], r["fp"]) for r in E.grid_points(df).collect()}
+    for slot, t in enumerate(grid):
+        assert points[slot] == (
+            sum(1 for y, p in rows if y and p >= t), sum(1 for y, p in rows if not y and p >= t)
+        )
+
+
+def test_threshold_edges(spark):
+    schema = "y_true INT, y_pred_proba DOUBLE"
+    wrong = spark.createDataFrame([(0, 0.9), (1, 0.1)], schema)
+    assert best(wrong, "youden") == (math.inf, 0.0)
+    only = spark.createDataFrame([(1, 0.4), (1, 0.6), (1, None)], schema)
+    assert best(only, "youden") == (math.inf, 0.0)
+    assert best(only, "f1")[0] == 0.0 and best(only, "balanced_accuracy") == (0.0, 1.0)
+    outside = spark.createDataFrame([(0, -0.5), (1, 1.5), (0, 0.5)], schema)
+    assert best(outside, "f1") == (approx(50 / 99), 1.0)
+    with pytest.raises(ValueError):
+        E.optimal_threshold(wrong, "accuracy")
