@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortkit.constants import MISSING_TEXT, UNKNOWN_LEVEL
 from cohortkit.functions.names import col
 from cohortkit.operators.running import running_totals
-from cohortkit.operators.sizing import small_side
+from cohortkit.operators.sizing import within_broadcast
 from cohortkit.session import materialize
 
 UNSEEN = ("first", "unk", "error")
@@ -37,15 +37,24 @@ def fit_label_dictionary(
     )
 
 
+def dictionary_sizes(dictionary: DataFrame) -> dict[str, tuple[int, int]]:
+    """{feature: (entries, bytes)}, measured once for all features."""
+    width = F.sum(F.octet_length("value") + F.lit(32))
+    sizes = dictionary.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), width.alias("b"))
+    return {r["feature"]: (r["n"], r["b"]) for r in sizes.collect()}
+
+
 def _look_up(
-    df: DataFrame, dictionary: DataFrame, feature: str, value: Column, payload: str, name: str
+    df: DataFrame, dictionary: DataFrame, feature: str, value: Column, payload: str, name: str,
+    size: tuple[int, int],
 ) -> DataFrame:
     """Left join one column to its dictionary entries; the entry lands in ``name``."""
     entries = dictionary.where(F.col("feature") == feature).select(
         F.col("value").alias("__value"), F.col(payload).alias(name)
     )
+    side = F.broadcast(entries) if within_broadcast(*size) else entries
     keyed = df.withColumn("__key", value)
-    joined = keyed.join(small_side(entries), F.col("__key") == F.col("__value"), "left")
+    joined = keyed.join(side, F.col("__key") == F.col("__value"), "left")
     return joined.drop("__key", "__value")
 
 
@@ -76,13 +85,12 @@ def encode_labels(
         new = unseen_levels(df, dictionary, columns, missing).limit(20).collect()
         if new:
             raise ValueError(f"levels not seen in training: {[tuple(r) for r in new]}")
-    sizes: Mapping[str, int] = {}
-    if unseen == "unk":
-        sizes = {r["feature"]: r["count"] for r in dictionary.groupBy("feature").count().collect()}
+    sizes = dictionary_sizes(dictionary)
     for c in columns:
         value = F.coalesce(col(c).cast("string"), F.lit(missing))
-        looked_up = _look_up(df, dictionary, c, value, "index", "__index")
-        other = F.lit(sizes.get(c, 0))
+        size = sizes.get(c, (0, 0))
+        looked_up = _look_up(df, dictionary, c, value, "index", "__index", size)
+        other = F.lit(size[0] if unseen == "unk" else 0)
         df = looked_up.withColumn(c, F.coalesce("__index", other).cast("int")).drop("__index")
     return df
 
@@ -121,8 +129,10 @@ def encode_target(
         fill = {r["feature"]: r["m"] for r in means.groupBy("feature").agg(F.avg("mean").alias("m")).collect()}
     else:
         fill = dict.fromkeys(columns, label_mean)
+    sizes = dictionary_sizes(means)
     for c in columns:
-        looked_up = _look_up(df, means, c, col(c).cast("string"), "mean", "__mean")
+        size = sizes.get(c, (0, 0))
+        looked_up = _look_up(df, means, c, col(c).cast("string"), "mean", "__mean", size)
         other = F.lit(fill.get(c)).cast("double")
         df = looked_up.withColumn(c, F.coalesce("__mean", other)).drop("__mean")
     return df

@@ -70,16 +70,29 @@ def _positives(label: str, score: str) -> tuple[Column, list[Column]]:
     ]
 
 
+def _merged_scores(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(threshold, pos, neg): one row per distinct score, written once."""
+    usable, totals = _positives(label, score)
+    by_score = df.where(usable).groupBy(col(score).cast("double").alias("threshold"))
+    return materialize(by_score.agg(*totals))
+
+
+def _class_sizes(merged: DataFrame) -> tuple[int, int]:
+    """How many positives and negatives there are."""
+    row = merged.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    return row["p"] or 0, row["n"] or 0
+
+
+def _accumulated(merged: DataFrame) -> DataFrame:
+    return running_totals(merged, "threshold", {"tp": "pos", "fp": "neg"}, descending=True)
+
+
 def roc_points(df: DataFrame, label: str = "y_true", score: str = "y_pred_proba") -> DataFrame:
-    """(threshold, tp, fp): what lies at or above each distinct score.
+    """(threshold, pos, neg, tp, fp): what lies at or above each distinct score.
 
     Rows of one score are merged first; the running sums go over distinct scores.
     """
-    usable, totals = _positives(label, score)
-    merged = materialize(
-        df.where(usable).groupBy(col(score).cast("double").alias("threshold")).agg(*totals)
-    )
-    return running_totals(merged, "threshold", {"tp": "pos", "fp": "neg"}, descending=True)
+    return _accumulated(_merged_scores(df, label, score))
 
 
 def youden_threshold(df: DataFrame, label: str = "y_true", score: str = "y_pred_proba") -> DataFrame:
@@ -87,11 +100,10 @@ def youden_threshold(df: DataFrame, label: str = "y_true", score: str = "y_pred_
 
     When no score beats accepting nothing, the threshold is infinite and the value 0.
     """
-    points = roc_points(df, label, score)
-    size = points.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    j = F.try_divide(F.col("tp").cast("double"), F.col("p")) - F.try_divide(F.col("fp").cast("double"), F.col("n"))
-    # The sizes are one row.
-    best = points.join(F.broadcast(size)).select("threshold", j.alias("value")).agg(
+    merged = _merged_scores(df, label, score)
+    p, n = _class_sizes(merged)
+    j = F.try_divide(F.col("tp").cast("double"), F.lit(p)) - F.try_divide(F.col("fp").cast("double"), F.lit(n))
+    best = _accumulated(merged).select("threshold", j.alias("value")).agg(
         F.max(F.struct("value", "threshold")).alias("best")
     )
     beaten = F.col("best.value") > 0
@@ -120,17 +132,16 @@ def grid_points(
     slot = F.when(p < 0, -1).when(p >= 1, size - 1).otherwise(inside_)
     usable, totals = _positives(label, score)
     reached = keep(df.where(usable).select(slot.alias("slot"), label).groupBy("slot").agg(*totals))
-    sizes = reached.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    n_pos, n_neg = _class_sizes(reached)
     grid = df.sparkSession.range(size).select(F.col("id").cast("int").alias("slot"))
     above = Window.partitionBy().orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, 0)
-    rows = grid.join(reached, "slot", "left").join(F.broadcast(sizes))
-    return rows.select(
+    return grid.join(reached, "slot", "left").select(
         "slot",
         at(F.col("slot")).alias("threshold"),
         F.sum(F.coalesce("pos", F.lit(0))).over(above).alias("tp"),
         F.sum(F.coalesce("neg", F.lit(0))).over(above).alias("fp"),
-        "p",
-        "n",
+        F.lit(n_pos).alias("p"),
+        F.lit(n_neg).alias("n"),
     )
 
 

@@ -119,10 +119,7 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
     counts = df.where(col(column).isNotNull()).groupBy(col(column).alias("value")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    # The total is one row.
-    return counts.join(F.broadcast(total)).select(
-        "value", "n_rows", (F.col("n_rows") * 100.0 / F.col("total")).alias("percent")
-    )
+    return counts.withColumn("percent", F.col("n_rows") * 100.0 / total.scalar())
 
 
 def top_missing(df: DataFrame, n: int = 5) -> DataFrame:

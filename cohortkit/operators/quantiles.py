@@ -1,11 +1,11 @@
 """Exact quantiles of whole columns without gathering a column in one task.
 
-A small column is read exactly at once. A large one is first narrowed: an
-approximate quantile a little below and a little above the wanted rank brackets
-the answer, one counting pass says how many values lie before the bracket, and
-the search goes on inside it. Each round leaves a few thousandths of the values,
-so billions of values need two rounds. Only the last bracket, whose size was
-counted, is sorted.
+A small column is read exactly at once. A large one is first narrowed: a quantile
+sketch names a value a little below and a little above the wanted rank, one
+counting pass over all values says how many lie before the two, and the search
+goes on between them. Each round leaves about a hundredth of the values, so a
+billion values need two rounds. Only the last bracket, whose size was counted, is
+sorted. The sketch decides only how fast the search is; the counts are exact.
 """
 
 from __future__ import annotations
@@ -20,7 +20,10 @@ from cohortkit.functions.names import col
 
 # A bracket of at most this many values is sorted as it is.
 BRACKET_ROWS = 1_000_000
-_ACCURACY = 10_000
+_SKETCH_SIZE = 2_000
+_SLACK = 0.004
+# Sketches of many input partitions are merged in this many tasks, then in one.
+_MERGE_TASKS = 256
 
 
 @dataclass
@@ -47,14 +50,22 @@ class _Search:
 
 def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
     """One round for all open searches: a sketch pass, then a counting pass."""
-    sketches = []
+    ranges: dict[tuple, list[int]] = {}
     for i, s in enumerate(searches):
-        at = (s.rank - s.below + 0.5) / s.inside
-        slack = 2.0 / _ACCURACY
-        points = [max(0.0, at - slack), min(1.0, at + slack)]
+        ranges.setdefault((s.column, s.low, s.high), []).append(i)
+    groups = list(ranges.values())
+    sketches, merged, points = [], [], []
+    for g, members in enumerate(groups):
+        s = searches[members[0]]
         value = F.when(s.open_range(), col(s.column).cast("double"))
-        sketches.append(F.percentile_approx(value, points, _ACCURACY).alias(f"s{i}"))
-    bounds = df.agg(*sketches).first()
+        sketches.append(F.kll_sketch_agg_double(value, F.lit(_SKETCH_SIZE)).alias(f"k{g}"))
+        merged.append(F.kll_merge_agg_double(f"k{g}").alias(f"k{g}"))
+        for i in members:
+            at = (searches[i].rank - searches[i].below + 0.5) / searches[i].inside
+            around = F.array(F.lit(max(0.0, at - _SLACK)), F.lit(min(1.0, at + _SLACK)))
+            points.append(F.kll_sketch_get_quantile_double(f"k{g}", around).alias(f"s{i}"))
+    per_task = df.groupBy((F.spark_partition_id() % _MERGE_TASKS).alias("task")).agg(*sketches)
+    bounds = per_task.agg(*merged).select(*points).first()
 
     counts = []
     for i, s in enumerate(searches):

@@ -25,12 +25,14 @@ def running_totals(
     range) are added to the running sums inside each range.
     """
     order = F.desc(order_by) if descending else F.asc(order_by)
-    if df.count() <= single_task_rows:
+    n_rows = df.count()
+    if n_rows <= single_task_rows:
         window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({new: F.sum(old).over(window) for new, old in totals.items()})
 
     keys = [F.asc(c) for c in within]
-    ranged = df.repartitionByRange(*keys, order).withColumn("__range", F.spark_partition_id())
+    n_ranges = -(-n_rows // single_task_rows)
+    ranged = df.repartitionByRange(n_ranges, *keys, order).withColumn("__range", F.spark_partition_id())
     ranged = materialize(ranged)
     per_range = ranged.groupBy("__range", *within).agg(
         *[F.sum(old).alias(f"__{new}") for new, old in totals.items()]

@@ -9,13 +9,17 @@ from cohortkit.functions.names import col
 from cohortkit.session import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 
+def within_broadcast(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_MAX_ROWS and size <= BROADCAST_MAX_BYTES
+
+
 def measured_small(df: DataFrame) -> bool:
     """True when the table was counted to be below the broadcast bounds."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     fixed = 16 * len(df.columns)
     width = sum((F.coalesce(F.octet_length(col(c)), F.lit(0)) for c in text), F.lit(fixed))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
-    return row["n"] <= BROADCAST_MAX_ROWS and (row["b"] or 0) <= BROADCAST_MAX_BYTES
+    return within_broadcast(row["n"], row["b"] or 0)
 
 
 def small_side(df: DataFrame) -> DataFrame:

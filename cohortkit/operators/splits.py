@@ -326,12 +326,15 @@ def _draw_rest(placed: DataFrame, stratum: str, key: Column, val_size: float, se
     return drawn.withColumn("split", split).drop("is_test")
 
 
-def site_counts(df: DataFrame, site_col: str = "site_id") -> DataFrame:
-    """(site, n_rows), largest first."""
-    counts = df.where(col(site_col).isNotNull()).groupBy(col(site_col).alias("site")).agg(
+def _sites(df: DataFrame, site_col: str) -> DataFrame:
+    return df.where(col(site_col).isNotNull()).groupBy(col(site_col).alias("site")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    return counts.orderBy(F.desc("n_rows"), "site")
+
+
+def site_counts(df: DataFrame, site_col: str = "site_id") -> DataFrame:
+    """(site, n_rows), largest first."""
+    return _sites(df, site_col).orderBy(F.desc("n_rows"), "site")
 
 
 def _site_test(sites: DataFrame, n_rows: int, test_size: float, seed: int, site: Column) -> Column:
@@ -358,7 +361,7 @@ def select_test_sites(
     df: DataFrame, site_col: str = "site_id", test_size: float = 0.2, seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """(site, n_rows) of the sites that form the test split."""
-    sites = materialize(site_counts(df, site_col))
+    sites = materialize(_sites(df, site_col))
     chosen = _site_test(sites, df.count(), test_size, seed, F.col("site"))
     return sites.where(chosen)
 
@@ -381,7 +384,7 @@ def split_by_site(
     if test_sites is not None:
         chosen = col(site_col).isin(list(test_sites))
     else:
-        sites = materialize(site_counts(df, site_col))
+        sites = materialize(_sites(df, site_col))
         chosen = _site_test(sites, df.count(), test_size, seed, col(site_col))
     placed = df.withColumn("is_test", F.coalesce(chosen, F.lit(False)))
     return _draw_rest(placed, stratify_col, col(row_key).cast("string"), val_size, seed)

@@ -31,6 +31,7 @@ from cohortkit.operators.features import (
 )
 from cohortkit.operators.sizing import measured_small
 from cohortkit.session import materialize
+from cohortkit.sources.readers import nan_to_null
 
 
 @dataclass
@@ -92,6 +93,7 @@ def clean(
     The wide table is written once: counting its gaps and reading the kept
     columns are then two column scans.
     """
+    patient, vital, lab = nan_to_null(patient), nan_to_null(vital), nan_to_null(lab)
     cohort = select_cohort(
         rename_site(patient), diagnosis, prefixes=prefixes, keywords=keywords,
         split_codes=split_codes, whole_word=whole_word,

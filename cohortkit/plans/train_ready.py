@@ -98,7 +98,9 @@ def run_protocol(
     assigned, cutoff = assign_protocol(df, protocol, seed, **options)
     rows = materialize(assigned)
     membership = rows.select("patient_id", "split")
-    packs = dual_tower(rows, **tower_options)
+    # Columns that only tell groups or times apart are no features.
+    helpers = {*options.get("group_cols", ()), options.get("time_col"), *tower_options.pop("exclude", ())}
+    packs = dual_tower(rows, exclude=helpers, **tower_options)
     name = PROTOCOLS[protocol]
     if path:
         write_membership(membership, f"{path}/splits", name, fmt=fmt)

@@ -2,6 +2,7 @@
 
 from cohortkit.sources.readers import (
     SCHEMAS,
+    nan_to_null,
     normalize_missing,
     read_cleaned,
     read_or_report,
@@ -22,7 +23,7 @@ from cohortkit.sources.writers import (
 )
 
 __all__ = [
-    "SCHEMAS", "normalize_missing", "read_cleaned", "read_or_report", "read_raw",
+    "SCHEMAS", "nan_to_null", "normalize_missing", "read_cleaned", "read_or_report", "read_raw",
     "read_table", "require_columns", "append_manifest", "feature_catalog", "manifest",
     "metrics_summary", "write_feature_catalog", "write_membership", "write_packs",
     "write_predictions", "write_table",

@@ -38,7 +38,7 @@ def normalize_missing(df: DataFrame, spellings: Sequence[str] = MISSING_SPELLING
     def clean(field: T.StructField):
         c = col(field.name)
         if isinstance(field.dataType, T.StringType):
-            c = F.when(~c.isin(list(spellings)), c)
+            c = F.when(~c.isin(list(spellings)), c) if spellings else c
         else:
             c = null_for_nan(c, field.dataType)
         return c.alias(field.name)
@@ -46,6 +46,11 @@ def normalize_missing(df: DataFrame, spellings: Sequence[str] = MISSING_SPELLING
     return df.select(*[clean(f) for f in df.schema.fields])
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Turn NaN into NULL; text is left as it is."""
+    return normalize_missing(df, ())
+
+
 def _with_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Give text columns the types the schema names; other columns pass through.
 
