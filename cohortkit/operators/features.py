@@ -127,6 +127,11 @@ def attribute_names(long: DataFrame, name: str = "labname", limit: int = 10_000)
     names = [r[0] for r in long.select(name).distinct().limit(limit + 1).collect()]
     if len(names) > limit:
         raise ValueError(f"more than {limit} distinct values in '{name}' cannot become columns")
+    if long.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
+        lowered = [n.lower() for n in names]
+        clash = sorted(n for n in names if lowered.count(n.lower()) > 1)
+        if clash:
+            raise ValueError(f"names differ only in case, set spark.sql.caseSensitive: {clash}")
     return sorted(names)
 
 

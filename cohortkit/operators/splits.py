@@ -205,7 +205,16 @@ def _to_rows(df: DataFrame, groups: DataFrame, group_cols: Sequence[str]) -> Dat
     return keyed.join(side, "__group").drop("__group")
 
 
-def split_by_entity(
+@dataclass
+class Split:
+    """Rows with ``split``; ``joined`` says that groups were joined to the rows."""
+
+    rows: DataFrame
+    cutoff: object = None
+    joined: bool = False
+
+
+def entity_split(
     df: DataFrame,
     train_size: float = 0.7,
     val_size: float = 0.1,
@@ -214,7 +223,7 @@ def split_by_entity(
     group_cols: Sequence[str] = ("patient_id", "site_id"),
     seed: int = DEFAULT_SEED,
     order_key: str | None = None,
-) -> DataFrame:
+) -> Split:
     """Add ``split``: groups stay whole, classes keep their share.
 
     When every group is one row the split is computed on the rows themselves and
@@ -222,6 +231,7 @@ def split_by_entity(
     """
     if abs(train_size + val_size + test_size - 1.0) >= 1e-6:
         raise ValueError("split sizes must sum to 1")
+    # Only (key, label, size) of each group is written, not the table.
     groups = materialize(collapse_groups(df, group_cols, stratify_col, order_key))
     members = _members(groups, seed)
     weights = prefix_weights(members)
@@ -235,16 +245,15 @@ def split_by_entity(
     }
     if groups.where(F.col("n_rows") > 1).isEmpty():
         key = joined_key(*[col(c) for c in group_cols])
-        return _draw(df, named, stratify_col, draw_hash(key, seed), key)
+        return Split(_draw(df, named, stratify_col, draw_hash(key, seed), key))
     key = F.col("group_key")
     drawn = _draw(groups, named, "label", draw_hash(key, seed), key)
-    return _to_rows(df, drawn, group_cols)
+    return Split(_to_rows(df, drawn, group_cols), joined=True)
 
 
-@dataclass
-class TimeSplit:
-    rows: DataFrame
-    cutoff: object
+def split_by_entity(df: DataFrame, *args, **options) -> DataFrame:
+    """The rows of :func:`entity_split`."""
+    return entity_split(df, *args, **options).rows
 
 
 def split_by_time(
@@ -256,7 +265,7 @@ def split_by_time(
     group_cols: Sequence[str] = ("patient_id", "site_id"),
     seed: int = DEFAULT_SEED,
     order_key: str | None = None,
-) -> TimeSplit:
+) -> Split:
     """The latest groups are the test split; the rest is drawn by class.
 
     The time at the cut is found as an order statistic of the times. Groups with
@@ -303,7 +312,7 @@ def split_by_time(
     placed = groups.withColumn("is_test", is_test)
     cutoff = placed.where("is_test").agg(F.min("time")).first()[0]
     drawn = _draw_rest(placed, "label", F.col("group_key"), val_size, seed)
-    return TimeSplit(_to_rows(df, drawn, group_cols), cutoff)
+    return Split(_to_rows(df, drawn, group_cols), cutoff, joined=True)
 
 
 def _draw_rest(placed: DataFrame, stratum: str, key: Column, val_size: float, seed: int) -> DataFrame:

@@ -11,7 +11,7 @@ from cohortkit.constants import DEFAULT_SEED, LABEL, PROTOCOLS
 from cohortkit.functions.names import col
 from cohortkit.operators.columns import feature_roles
 from cohortkit.operators.dictionary import encode_labels, fit_label_dictionary
-from cohortkit.operators.splits import split_by_entity, split_by_site, split_by_time
+from cohortkit.operators.splits import Split, entity_split, split_by_site, split_by_time
 from cohortkit.operators.transforms import after_fill, fit_impute, fit_scale, impute, moments, scale
 from cohortkit.session import materialize
 from cohortkit.sources.readers import with_identifiers
@@ -65,15 +65,14 @@ def dual_tower(
     )
 
 
-def assign_protocol(df: DataFrame, protocol: str, seed: int = DEFAULT_SEED, **options) -> tuple[DataFrame, object]:
+def assign_protocol(df: DataFrame, protocol: str, seed: int = DEFAULT_SEED, **options) -> Split:
     """Rows with their ``split``, and the time cutoff if the protocol has one."""
     if protocol == "patient_level":
-        return split_by_entity(df, seed=seed, **options), None
+        return entity_split(df, seed=seed, **options)
     if protocol == "site":
-        return split_by_site(df, seed=seed, **options), None
+        return Split(split_by_site(df, seed=seed, **options))
     if protocol == "temporal":
-        result = split_by_time(df, seed=seed, **options)
-        return result.rows, result.cutoff
+        return split_by_time(df, seed=seed, **options)
     raise ValueError(f"unknown protocol: {protocol}")
 
 
@@ -88,6 +87,8 @@ def run_protocol(
 ) -> TrainReady | None:
     """Split, fit and apply one protocol; written below ``path`` when it is given.
 
+    ``df`` is read several times: pass a table from storage.
+
     The temporal protocol is skipped (None) when there is no time column.
     """
     if protocol not in PROTOCOLS:
@@ -95,8 +96,9 @@ def run_protocol(
     options = dict(split_options or {})
     if protocol == "temporal" and options.get("time_col", "admission_time") not in df.columns:
         return None
-    assigned, cutoff = assign_protocol(df, protocol, seed, **options)
-    rows = materialize(assigned)
+    split = assign_protocol(df, protocol, seed, **options)
+    # A split that is a projection is cheaper to compute again than to write.
+    rows = materialize(split.rows) if split.joined else split.rows
     membership = rows.select("patient_id", "split")
     # Columns that only tell groups or times apart are no features.
     helpers = {*options.get("group_cols", ()), options.get("time_col"), *tower_options.pop("exclude", ())}
@@ -105,7 +107,7 @@ def run_protocol(
     if path:
         write_membership(membership, f"{path}/splits", name, fmt=fmt)
         write_packs(packs, f"{path}/packs", name, fmt=fmt)
-    return TrainReady(name, packs, membership, cutoff)
+    return TrainReady(name, packs, membership, split.cutoff)
 
 
 def train_ready(

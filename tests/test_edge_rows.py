@@ -142,6 +142,19 @@ def test_too_many_names_is_an_error(spark):
         T.attribute_names(long, limit=10)
 
 
+def test_names_that_differ_in_case(spark):
+    rows = [(1, "PT", 1.0, 0), (1, "pt", 2.0, 0)]
+    lab = spark.createDataFrame(rows, "patientunitstayid LONG, labname STRING, labresult DOUBLE, labresultoffset INT")
+    with pytest.raises(ValueError, match="case"):
+        T.aggregate_and_pivot(lab)
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        row = T.aggregate_and_pivot(lab).first().asDict()
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    assert row["lab_PT_mean"] == 1.0 and row["lab_pt_mean"] == 2.0
+
+
 def test_feature_join(spark):
     wide = spark.createDataFrame([(1, 1.0)], "patientunitstayid LONG, a DOUBLE")
     labs = spark.createDataFrame([(1, 2.0), (2, 3.0)], "patientunitstayid LONG, b DOUBLE")
