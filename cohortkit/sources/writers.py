@@ -58,9 +58,9 @@ def write_feature_catalog(df: DataFrame, path: str, kinds: Mapping[str, Sequence
     ).json(path)
 
 
-def manifest(df: DataFrame, config: Mapping | None = None) -> DataFrame:
+def manifest(df: DataFrame, config: Mapping | None = None, portable: bool = False) -> DataFrame:
     """One row that identifies a version of a table: shape, schema, content hash."""
-    return table_fingerprint(df).select(
+    return table_fingerprint(df, portable).select(
         F.col("n_rows"),
         F.lit(len(df.columns)).alias("n_columns"),
         F.lit(json.dumps(df.columns)).alias("columns"),

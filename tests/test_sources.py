@@ -123,9 +123,14 @@ def test_catalog_and_manifest(spark, tmp_path):
 def test_fingerprint(spark):
     schema = "a STRING, b STRING"
     base = spark.createDataFrame([("x", None), ("y", "z"), ("y", "z")], schema)
-    def mark(df):
-        return table_fingerprint(df).first()["fingerprint"]
+    for portable in (False, True):
+        def mark(df):
+            return table_fingerprint(df, portable).first()["fingerprint"]
 
+        check_marks(base, mark, spark, schema)
+
+
+def check_marks(base, mark, spark, schema):
     assert mark(base) == mark(base.repartition(3).orderBy("a"))
     assert mark(base) != mark(spark.createDataFrame([(None, "x"), ("y", "z"), ("y", "z")], schema))
     assert mark(base) != mark(base.distinct())
