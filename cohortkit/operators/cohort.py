@@ -18,6 +18,7 @@ from cohortkit.constants import (
 from cohortkit.functions.names import col
 from cohortkit.functions.text import code_matches, died, text_matches
 from cohortkit.operators.sizing import measured_small
+from cohortkit.session import materialize
 
 
 def rename_site(patient: DataFrame, source: str = "hospitalid", target: str = "site_id") -> DataFrame:
@@ -64,7 +65,7 @@ def select_cohort(patient: DataFrame, diagnosis: DataFrame, key: str = STAY, **o
 
 def restrict_to(df: DataFrame, keys: DataFrame, key: str = STAY) -> DataFrame:
     """Rows whose key is in ``keys``: broadcast when small, else a shuffled semi join."""
-    side = keys.select(key).distinct()
+    side = materialize(keys.select(key).distinct())
     return df.join(F.broadcast(side) if measured_small(side) else side, key, "left_semi")
 
 

@@ -19,6 +19,11 @@ from cohortkit.functions.names import col
 from cohortkit.functions.numeric import FLOATS, is_number
 
 
+# A sketch of 512 registers that estimates more than this has at least a tenth of
+# it in use, each by a level of its own.
+_SURE_LEVELS = 200
+
+
 @dataclass
 class SparseReport:
     dropped: list[str] = field(default_factory=list)
@@ -119,10 +124,18 @@ def column_kinds(
 def feature_kinds(
     df: DataFrame, exclude: Sequence[str] = (), max_levels: int = MAX_CATEGORICAL_LEVELS
 ) -> dict[str, list[str]]:
-    """Column names by kind, in table order. Only numeric columns are scanned."""
+    """Column names by kind, in table order. Only numeric columns are scanned.
+
+    Columns with clearly more levels are found by one sketch pass, so that their
+    values need not be shuffled; the others are counted exactly.
+    """
     fields = [f for f in df.schema.fields if f.name not in set(exclude)]
     numbers = [f.name for f in fields if is_number(f.dataType)]
-    few = {r["column"] for r in level_counts(df, numbers).collect() if r["n_levels"] <= max_levels}
+    doubtful = numbers
+    if numbers and max_levels <= _SURE_LEVELS // 10:
+        row = df.agg(*[F.approx_count_distinct(col(c)).alias(f"c{i}") for i, c in enumerate(numbers)]).first()
+        doubtful = [c for i, c in enumerate(numbers) if row[f"c{i}"] <= _SURE_LEVELS]
+    few = {r["column"] for r in level_counts(df, doubtful).collect() if r["n_levels"] <= max_levels}
     numeric = [c for c in numbers if c not in few]
     return {"numeric": numeric, "categorical": [f.name for f in fields if f.name not in numeric]}
 

@@ -10,7 +10,7 @@ from cohortkit.constants import MISSING_TEXT, UNKNOWN_LEVEL
 from cohortkit.functions.names import col
 from cohortkit.operators.running import running_totals
 from cohortkit.operators.sizing import within_broadcast
-from cohortkit.session import materialize
+from cohortkit.session import keep, materialize
 
 UNSEEN = ("first", "unk", "error")
 
@@ -30,11 +30,13 @@ def fit_label_dictionary(
     train: DataFrame, columns: Sequence[str], missing: str = UNKNOWN_LEVEL
 ) -> DataFrame:
     """(feature, value, index): levels of each column numbered from 0 in code point order."""
-    levels = as_levels(train, columns, missing).distinct().withColumn("one", F.lit(1).cast("long"))
-    numbered = running_totals(materialize(levels), "value", {"upto": "one"}, within=["feature"])
-    return materialize(
-        numbered.select("feature", "value", (F.col("upto") - 1).cast("int").alias("index"))
-    )
+    distinct = as_levels(train, columns, missing).distinct()
+    levels = materialize(distinct.withColumn("one", F.lit(1).cast("long")))
+    sizes = dictionary_sizes(levels)
+    n, size = sum(n for n, _ in sizes.values()), sum(b for _, b in sizes.values())
+    numbered = running_totals(levels, "value", {"upto": "one"}, within=["feature"], n_rows=n)
+    fitted = numbered.select("feature", "value", (F.col("upto") - 1).cast("int").alias("index"))
+    return keep(fitted) if within_broadcast(n, size) else materialize(fitted)
 
 
 def dictionary_sizes(dictionary: DataFrame) -> dict[str, tuple[int, int]]:

@@ -57,9 +57,9 @@ def class_weights(train: DataFrame, label: str, method: str = "balanced") -> Dat
 
 def sample_weights(df: DataFrame, train: DataFrame, label: str, method: str = "balanced") -> DataFrame:
     """Each row with the weight of its class."""
-    weights = class_weights(train, label, method).select(
+    weights = keep(class_weights(train, label, method).select(
         F.col("class").alias("__class"), F.col("weight").alias("sample_weight")
-    )
+    ))
     return df.join(small_side(weights), col(label) == F.col("__class")).drop("__class")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortkit.constants import (
     HIGH_CARDINALITY,
@@ -18,7 +18,9 @@ from cohortkit.functions.names import col
 from cohortkit.functions.numeric import is_number
 from cohortkit.operators.columns import level_counts, missing_counts
 from cohortkit.operators.quantiles import exact_quantiles
+from cohortkit.operators.sizing import small_side
 from cohortkit.operators.transforms import moments
+from cohortkit.session import materialize
 
 
 def find_id_column(df: DataFrame) -> str:
@@ -99,16 +101,35 @@ def top_correlations(df: DataFrame, target: str, n: int = 5, exclude: Sequence[s
     return found.orderBy(F.desc(F.abs("r")), "column").limit(n)
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
+def _copies(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
+
+
+def _suspects(df: DataFrame) -> DataFrame:
+    """Rows whose hash occurs more than once; a superset of all rows with a copy."""
+    hashes = {
+        f"__h{seed}": F.xxhash64(F.lit(seed), *[col(c) for c in df.columns]) for seed in (1, 2)
+    }
+    hashed = df.withColumns(hashes)
+    repeated = materialize(
+        _copies(hashed, [F.col(h) for h in hashes]).where(F.col("__copies") > 1).select(*hashes)
+    )
+    return hashed.join(small_side(repeated), list(hashes), "left_semi").drop(*hashes)
+
+
+def duplicate_rows(df: DataFrame, wide: int = 16) -> DataFrame:
     """(n_rows, n_duplicates, percent): rows equal in all columns to another, but the first.
 
     Equal rows are merged before the shuffle, so many copies of one row cost one.
+    Of a table with more than ``wide`` columns only row hashes are shuffled first;
+    whole rows are compared only where a hash occurs again.
     """
-    copies = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
-    totals = copies.agg(
-        F.coalesce(F.sum("__copies"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("n_duplicates"),
-    )
+    is_wide = len(df.columns) > wide
+    copies = _copies(_suspects(df) if is_wide else df, [col(c) for c in df.columns])
+    n_rows = df.agg(F.count(F.lit(1))).scalar() if is_wide else F.sum("__copies")
+    extra = F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0))
+    totals = copies.agg(extra.alias("n_duplicates"), F.coalesce(n_rows, F.lit(0)).alias("n_rows"))
+    totals = totals.select("n_rows", "n_duplicates")
     share = F.try_divide(F.col("n_duplicates") * F.lit(100.0), F.col("n_rows").cast("double"))
     return totals.withColumn("percent", F.coalesce(share, F.lit(0.0)))
 
@@ -187,12 +208,27 @@ def overall_missing(df: DataFrame) -> DataFrame:
     return cells.select("n_rows", "n_columns", rate.alias("missing_rate"))
 
 
-def cardinality(df: DataFrame, exclude: Sequence[str] = (), limit: int = HIGH_CARDINALITY) -> DataFrame:
-    """(column, kind, n_levels, too_many): levels of text columns; numbers are only named."""
+def _estimated_levels(df: DataFrame, columns: Sequence[str], deviation: float) -> DataFrame:
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column STRING, n_levels LONG")
+    row = df.agg(*[F.approx_count_distinct(col(c), deviation).alias(f"c{i}") for i, c in enumerate(columns)])
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("n_levels")) for i, c in enumerate(columns)]
+    return row.select(F.inline(F.array(*entries)))
+
+
+def cardinality(
+    df: DataFrame, exclude: Sequence[str] = (), limit: int = HIGH_CARDINALITY, deviation: float | None = None
+) -> DataFrame:
+    """(column, kind, n_levels, too_many): levels of text columns; numbers are only named.
+
+    Exact by default. With a relative ``deviation`` the levels are estimated in one
+    pass without a shuffle of values.
+    """
     names = [f.name for f in df.schema.fields if f.name not in set(exclude)]
     numbers = set(numeric_columns(df))
     text = [c for c in names if c not in numbers]
-    levels = level_counts(df, text).select(
+    counted = level_counts(df, text) if deviation is None else _estimated_levels(df, text, deviation)
+    levels = counted.select(
         "column", F.lit("categorical").alias("kind"), "n_levels", (F.col("n_levels") > limit).alias("too_many")
     )
     named = df.sparkSession.createDataFrame(

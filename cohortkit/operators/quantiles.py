@@ -38,6 +38,24 @@ class _Search:
     high: float | None = None
     answer: float | None = None
 
+    def range_key(self) -> tuple:
+        return (self.column, self.low, self.high, self.below)
+
+    def place(self, a: float, b: float, lt_a: int, le_a: int, lt_b: int, le_b: int) -> None:
+        """Use the counts of values below (and up to) the bounds a and b."""
+        if lt_a <= self.rank < le_a:
+            self.answer = a
+        elif lt_b <= self.rank < le_b:
+            self.answer = b
+        elif le_a <= self.rank < lt_b:
+            self.low, self.high, self.below, self.inside = a, b, le_a, lt_b - le_a
+        elif self.rank < lt_a:
+            # The bounds missed the rank: keep the part before them.
+            self.high, self.inside = a, lt_a - self.below
+        else:
+            self.inside = self.below + self.inside - le_b
+            self.low, self.below = b, le_b
+
     def open_range(self) -> Column:
         value = col(self.column).cast("double")
         test = value.isNotNull()
@@ -48,57 +66,62 @@ class _Search:
         return test
 
 
-def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """One round for all open searches: a sketch pass, then a counting pass."""
-    ranges: dict[tuple, list[int]] = {}
-    for i, s in enumerate(searches):
-        ranges.setdefault((s.column, s.low, s.high), []).append(i)
-    groups = list(ranges.values())
-    sketches, merged, points = [], [], []
-    for g, members in enumerate(groups):
-        s = searches[members[0]]
-        value = F.when(s.open_range(), col(s.column).cast("double"))
-        sketches.append(F.kll_sketch_agg_double(value, F.lit(_SKETCH_SIZE)).alias(f"k{g}"))
-        merged.append(F.kll_merge_agg_double(f"k{g}").alias(f"k{g}"))
-        for i in members:
-            at = (searches[i].rank - searches[i].below + 0.5) / searches[i].inside
-            around = F.array(F.lit(max(0.0, at - _SLACK)), F.lit(min(1.0, at + _SLACK)))
-            points.append(F.kll_sketch_get_quantile_double(f"k{g}", around).alias(f"s{i}"))
+def _shared_brackets(searches: Sequence[_Search]) -> list[list[_Search]]:
+    """Searches of close ranks in the same open range; they use the same two bounds."""
+    shared: list[list[_Search]] = []
+    for s in sorted(searches, key=lambda s: (s.column, s.below, s.rank)):
+        first = shared[-1][0] if shared else None
+        if first and first.range_key() == s.range_key() and s.rank - first.rank <= _SLACK * s.inside:
+            shared[-1].append(s)
+        else:
+            shared.append([s])
+    return shared
+
+
+def _sketched_bounds(df: DataFrame, brackets: Sequence[Sequence[_Search]]) -> list[tuple[float, float]]:
+    """A value a little below and a little above the ranks of each bracket; one pass."""
+    ranges = {group[0].range_key(): group[0] for group in brackets}
+    names = {key: f"k{i}" for i, key in enumerate(ranges)}
+    sketches = [
+        F.kll_sketch_agg_double(
+            F.when(s.open_range(), col(s.column).cast("double")), F.lit(_SKETCH_SIZE)
+        ).alias(names[key])
+        for key, s in ranges.items()
+    ]
+    points = []
+    for group in brackets:
+        low, high = ((s.rank - s.below + 0.5) / s.inside for s in (group[0], group[-1]))
+        around = F.array(F.lit(max(0.0, low - _SLACK)), F.lit(min(1.0, high + _SLACK)))
+        points.append(F.kll_sketch_get_quantile_double(names[group[0].range_key()], around))
     per_task = df.groupBy((F.spark_partition_id() % _MERGE_TASKS).alias("task")).agg(*sketches)
-    bounds = per_task.agg(*merged).select(*points).first()
+    merged = per_task.agg(*[F.kll_merge_agg_double(n).alias(n) for n in names.values()])
+    row = merged.select(*[p.alias(f"b{i}") for i, p in enumerate(points)]).first()
+    return [tuple(row[f"b{i}"]) for i in range(len(brackets))]
 
+
+def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
+    """One round for all open searches: a sketch pass, then a counting pass."""
+    brackets = _shared_brackets(searches)
+    bounds = _sketched_bounds(df, brackets)
     counts = []
-    for i, s in enumerate(searches):
-        value, (a, b) = col(s.column).cast("double"), bounds[f"s{i}"]
+    for i, (group, (a, b)) in enumerate(zip(brackets, bounds)):
+        value = col(group[0].column).cast("double")
         for name, test in (
             ("lt_a", value < F.lit(a)), ("le_a", value <= F.lit(a)),
             ("lt_b", value < F.lit(b)), ("le_b", value <= F.lit(b)),
         ):
             counts.append(F.count_if(test).alias(f"{name}{i}"))
     seen = df.agg(*counts).first()
-
-    for i, s in enumerate(searches):
-        a, b = bounds[f"s{i}"]
-        lt_a, le_a, lt_b, le_b = (seen[f"{n}{i}"] for n in ("lt_a", "le_a", "lt_b", "le_b"))
-        if lt_a <= s.rank < le_a:
-            s.answer = a
-        elif lt_b <= s.rank < le_b:
-            s.answer = b
-        elif le_a <= s.rank < lt_b:
-            s.low, s.high, s.below, s.inside = a, b, le_a, lt_b - le_a
-        elif s.rank < lt_a:
-            # The sketch missed on this side: keep the part before the bracket.
-            s.high, s.inside = a, lt_a - s.below
-        else:
-            s.inside = s.below + s.inside - le_b
-            s.low, s.below = b, le_b
+    for i, (group, (a, b)) in enumerate(zip(brackets, bounds)):
+        for s in group:
+            s.place(a, b, *(seen[f"{n}{i}"] for n in ("lt_a", "le_a", "lt_b", "le_b")))
 
 
 def _finish(df: DataFrame, searches: Sequence[_Search]) -> None:
     """Read the ranks from the remaining brackets, one sort per bracket."""
     brackets: dict[tuple, list[_Search]] = {}
     for s in searches:
-        brackets.setdefault((s.column, s.low, s.high, s.below), []).append(s)
+        brackets.setdefault(s.range_key(), []).append(s)
     groups = list(brackets.values())
     entries = [
         F.struct(

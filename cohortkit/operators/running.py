@@ -15,17 +15,18 @@ def running_totals(
     totals: dict[str, str],
     within: Sequence[str] = (),
     descending: bool = False,
+    n_rows: int | None = None,
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``{new: running sum of old}`` along ``order_by`` inside each ``within`` group.
 
-    ``(within, order_by)`` must be unique. A table counted to be small is done
+    ``(within, order_by)`` must be unique; ``n_rows`` saves counting. A table counted to be small is done
     with one window. A larger one is range partitioned and written, so that each
     row carries the number of its range; the sums of whole ranges (one row per
     range) are added to the running sums inside each range.
     """
     order = F.desc(order_by) if descending else F.asc(order_by)
-    n_rows = df.count()
+    n_rows = df.count() if n_rows is None else n_rows
     if n_rows <= single_task_rows:
         window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({new: F.sum(old).over(window) for new, old in totals.items()})

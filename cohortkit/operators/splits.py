@@ -280,9 +280,9 @@ def split_by_time(
 
     sizes = groups.agg(F.count(F.lit(1)).alias("n"), F.count("at").alias("timed")).first()
     cut = int(sizes["n"] * (1 - test_size))
-    is_test = F.lit(True)
+    is_test = F.lit(False)
     cutoff_at = None
-    if 0 < cut < sizes["n"]:
+    if cut < sizes["n"]:
         if cut < sizes["timed"]:
             at = order_statistics(groups, {"at": [cut]}, {"at": sizes["timed"]})[("at", cut)]
             cutoff_at = int(at)
@@ -307,10 +307,10 @@ def split_by_time(
             key = F.col("group_key")
             kept_tie = tied & _upto(limit, draw_hash(key, seed), key)
         is_test = ~(earlier | kept_tie)
-    elif cut >= sizes["n"]:
-        is_test = F.lit(False)
     placed = groups.withColumn("is_test", is_test)
-    cutoff = placed.where("is_test").agg(F.min("time")).first()[0]
+    # The time at the cut is the earliest of the test groups.
+    first = None if cutoff_at is None else groups.where(F.col("at") == cutoff_at).select("time").first()
+    cutoff = first["time"] if first else None
     drawn = _draw_rest(placed, "label", F.col("group_key"), val_size, seed)
     return Split(_to_rows(df, drawn, group_cols), cutoff, joined=True)
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from cohortkit.operators import quality as Q
+from cohortkit.session import keep
 
 
 def health(df: DataFrame, target: str, id_col: str | None = None) -> dict[str, object]:
     """Report name to table (or list of names). Tables are lazy where they can be."""
     id_col = id_col or Q.find_id_column(df)
-    structure = Q.id_structure(df, id_col)
+    structure = keep(Q.id_structure(df, id_col))
     dynamic = structure.first()["data_type"] == "DYNAMIC"
-    duplicates = Q.duplicate_rows(df)
-    high = Q.high_correlations(df, target)
+    duplicates = keep(Q.duplicate_rows(df))
+    high = keep(Q.high_correlations(df, target))
     names = Q.suspicious_names(df, target)
     issues = high.count() + len(names) + (1 if duplicates.first()["n_duplicates"] > 0 else 0)
     return {

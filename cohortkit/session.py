@@ -26,6 +26,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # A whole job compiles more classes than the default cache of 100 holds.
+        "spark.sql.codegen.cache.maxEntries": "3000",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -30,8 +30,8 @@ def stays(spark, folder):
 
 
 def assigned(spark, folder):
-    """Stays with their split, written once because every fit reads it several times."""
-    return materialize(split_by_entity(materialize(stays(spark, folder))))
+    """Stays with their split. The stays are written, because every fit reads them again."""
+    return split_by_entity(materialize(stays(spark, folder)))
 
 
 PEOPLE = f"""people AS (

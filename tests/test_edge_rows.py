@@ -1,7 +1,5 @@
 """Rows at the edges of each rule."""
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,4 +262,5 @@ def test_cardinality(spark):
     assert got == {
         "id": ("numeric", None, False), "wide": ("categorical", 30, True), "one": ("categorical", 1, False),
     }
-    assert not math.isnan(got["wide"][1])
+    near = {r["column"]: r["n_levels"] for r in Q.cardinality(df, limit=10, deviation=0.01).collect()}
+    assert near["wide"] == approx(30, abs=1) and near["one"] == 1

@@ -1,5 +1,6 @@
 """The ways used for large tables give the same results as the ways for small ones."""
 
+import functools
 import importlib
 
 import numpy as np
@@ -67,9 +68,7 @@ def test_dictionary_over_ranges(spark, monkeypatch):
     )
     small = dictionary.fit_label_dictionary(train, ["a", "b"])
     want = small.collect()
-    limited = lambda df, order, totals, within=(), descending=False: running.running_totals(
-        df, order, totals, within, descending, single_task_rows=10
-    )
+    limited = functools.partial(running.running_totals, single_task_rows=10)
     monkeypatch.setattr(dictionary, "running_totals", limited)
     large = dictionary.fit_label_dictionary(train, ["a", "b"]).collect()
     assert sorted(map(tuple, want)) == sorted(map(tuple, large))
@@ -152,14 +151,39 @@ def test_roc_points_over_ranges(spark, small, monkeypatch):
 
     scored = V.predictions(spark, small)
     want = roc_points(scored)
-    limited = lambda df, order, totals, within=(), descending=False: running.running_totals(
-        df, order, totals, within, descending, single_task_rows=3
-    )
+    limited = functools.partial(running.running_totals, single_task_rows=3)
     monkeypatch.setattr(evaluate, "running_totals", limited)
     got = evaluate.roc_points(scored)
     assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
 
 
+def test_duplicates_by_hash_first(spark, monkeypatch):
+    from cohortkit.operators.quality import duplicate_rows
+
+    df = spark.range(3000).select(
+        (F.col("id") % 1100).alias("a"), F.when(F.col("id") % 2 == 0, F.lit("x")).alias("b"), F.lit(None).cast("int").alias("c")
+    )
+    want = duplicate_rows(df).first()
+    assert want["n_duplicates"] == 3000 - df.distinct().count() > 0
+    assert duplicate_rows(df, wide=0).first() == want
+    monkeypatch.setattr(sizing, "BROADCAST_MAX_ROWS", 1)
+    assert duplicate_rows(df, wide=0).first() == want
+    assert tuple(duplicate_rows(df.limit(0), wide=0).first()) == (0, 0, 0.0)
+    assert tuple(duplicate_rows(df.distinct(), wide=0).first()) == (df.distinct().count(), 0, 0.0)
+
+
+def test_many_levels_are_screened_first(spark):
+    from cohortkit.operators.columns import feature_kinds
+
+    df = spark.range(5000).select(
+        (F.col("id") % 10).alias("ten"), (F.col("id") % 11).alias("eleven"), (F.col("id") % 199).alias("some"),
+        F.col("id").alias("all"), F.lit(None).cast("double").alias("none"),
+    )
+    kinds = feature_kinds(df)
+    assert kinds == {"numeric": ["eleven", "some", "all"], "categorical": ["ten", "none"]}
+    assert feature_kinds(df, max_levels=300)["numeric"] == ["all"]
+
+
 def test_moments_of_nothing(spark):
     assert moments(spark.range(3), []) == {}
     assert Q.exact_quantiles(spark.range(3), [], [0.5]) == {}

@@ -129,6 +129,15 @@ def test_temporal_without_val(spark):
     assert by_split(result.rows) == {"test": 10, "train": 40}
 
 
+def test_everything_or_nothing_is_test(spark):
+    df = people(spark, 50)
+    result = S.split_by_time(df, test_size=1.0)
+    assert by_split(result.rows) == {"test": 50}
+    assert result.cutoff == df.agg(F.min("admission_time")).first()[0]
+    result = S.split_by_time(df, test_size=0.0)
+    assert by_split(result.rows) == {"val": 10, "train": 40} and result.cutoff is None
+
+
 def test_time_types(spark):
     df = people(spark, 50)
     for kind in ("date", "timestamp_ntz", "string"):
