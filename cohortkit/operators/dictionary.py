@@ -30,6 +30,8 @@ def fit_label_dictionary(
     train: DataFrame, columns: Sequence[str], missing: str = UNKNOWN_LEVEL
 ) -> DataFrame:
     """(feature, value, index): levels of each column numbered from 0 in code point order."""
+    if not columns:
+        return train.sparkSession.createDataFrame([], "feature STRING, value STRING, index INT")
     distinct = as_levels(train, columns, missing).distinct()
     levels = materialize(distinct.withColumn("one", F.lit(1).cast("long")))
     sizes = dictionary_sizes(levels)

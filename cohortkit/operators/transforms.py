@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -241,6 +242,16 @@ def check_complete(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return df
 
 
+def refuse_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fail, naming the column, when a missing value is met; no pass of its own."""
+
+    def guarded(c: str) -> Column:
+        message = F.lit(f"missing values remain in column {c}")
+        return F.coalesce(col(c), F.raise_error(message).cast(df.schema[c].dataType))
+
+    return df.withColumns({c: guarded(c) for c in columns})
+
+
 @dataclass
 class FittedPreprocessor:
     """Everything measured on the training rows; ``transform`` measures nothing."""
@@ -267,7 +278,23 @@ class FittedPreprocessor:
             rows = D.encode_target(rows, self.target_means, present, self.target_default, self.label_mean)
         rows = scale(rows, self.scales)
         result = rows.select(*[col(c) for c in keep], *[col(c) for c in self.feature_names])
-        return check_complete(result, self.feature_names) if check else result
+        return refuse_missing(result, self.feature_names) if check else result
+
+    def save(self, path: str, spark) -> None:
+        """Write the fit: plain numbers as JSON, target means as a table."""
+        plain = {k: v for k, v in vars(self).items() if k != "target_means"}
+        spark.createDataFrame([(json.dumps(plain),)], "value STRING").write.mode("overwrite").text(f"{path}/values")
+        if self.target_means is not None:
+            self.target_means.write.mode("overwrite").parquet(f"{path}/target_means")
+
+    @classmethod
+    def load(cls, path: str, spark) -> FittedPreprocessor:
+        plain = json.loads(spark.read.text(f"{path}/values").first()[0])
+        plain["scales"] = {c: tuple(v) for c, v in plain["scales"].items()}
+        fitted = cls(**plain)
+        if fitted.target_columns:
+            fitted.target_means = spark.read.parquet(f"{path}/target_means")
+        return fitted
 
     def parameters(self, spark) -> DataFrame:
         """(feature, fill, centre, divisor, selected): the fit as a table."""
@@ -304,6 +331,9 @@ class Preprocessor:
     fill_value: float = 0.0
     unseen_target: str = "levels"
 
+    def fit_transform(self, train: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        return self.fit(train).transform(train, keep)
+
     def fit(self, train: DataFrame) -> FittedPreprocessor:
         if self.scale_method and self.scale_method not in SCALE:
             raise ValueError(f"unknown scaling method: {self.scale_method}")
@@ -321,7 +351,8 @@ class Preprocessor:
         if self.label and self.target_encode:
             fitted.target_columns = [c for c in self.target_encode if c in train.columns]
             fitted.target_means = D.fit_target_means(filled, fitted.target_columns, self.label)
-            fitted.label_mean = train.agg(F.avg(col(self.label))).first()[0]
+            if self.unseen_target == "global":
+                fitted.label_mean = train.agg(F.avg(col(self.label))).first()[0]
         if self.scale_method:
             full = {c: after_fill(found[c], fills[c]) for c in numeric}
             fitted.scales = fit_scale(filled, numeric, self.scale_method, full)

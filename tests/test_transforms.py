@@ -127,7 +127,7 @@ def test_mutual_information_orders_columns(spark):
     assert got["tells"] == approx(math.log(2), abs=1e-6) and got["silent"] == approx(0.0, abs=0.01)
 
 
-def test_preprocessor(spark):
+def test_preprocessor(spark, tmp_path):
     schema = "x DOUBLE, w DOUBLE, s STRING, y INT"
     train = spark.createDataFrame(
         [(1.0, 1.0, "a", 0), (2.0, None, "a", 1), (4.0, 2.0, None, 1), (None, 9.0, "b", 0)], schema
@@ -145,6 +145,11 @@ def test_preprocessor(spark):
     row = fitted.transform(other).first()
     assert row["s"] == approx(1 / 3) and row["x"] == approx((100 - 2.25) / math.sqrt(1.1875))
     assert fitted.parameters(spark).count() == 3
+    fitted.save(str(tmp_path / "fit"), spark)
+    loaded = X.FittedPreprocessor.load(str(tmp_path / "fit"), spark)
+    assert loaded.transform(other).first() == row and loaded.scales == fitted.scales
+    pre = X.Preprocessor(["x"], unseen_target="global")
+    assert pre.fit_transform(train).count() == 4
     chosen = X.Preprocessor(["x", "w"], ["s"], label="y", feature_selection="mutual_info", n_features=1).fit(train)
     assert len(chosen.feature_names) == 2
 
@@ -160,6 +165,9 @@ def test_preprocessor_errors(spark):
     with pytest.raises(ValueError, match="gone"):
         X.check_complete(train)
     assert X.check_complete(train.select("x")).count() == 2
+    assert X.refuse_missing(train, ["x"]).agg(F.sum("x")).first()[0] == 3.0
+    with pytest.raises(Exception, match="remain in column gone"):
+        X.refuse_missing(train, ["x", "gone"]).collect()
 
 
 def test_train_stats_and_flags(spark):
