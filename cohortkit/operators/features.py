@@ -142,8 +142,13 @@ def pivot_statistics(
     name: str = "labname",
     prefix: str = "lab_",
 ) -> DataFrame:
-    """Long statistics to one row per key: ``lab_{name}_{mean,std}``, by name."""
-    wide = long.groupBy(key).pivot(name, list(names)).agg(
+    """Long statistics to one row per key: ``lab_{name}_{mean,std}``, by name.
+
+    The narrow rows are brought together by key first (at most one per name, so no
+    key is hot). Otherwise each task would send a row as wide as all names for
+    every key it saw.
+    """
+    wide = long.repartition(col(key)).groupBy(key).pivot(name, list(names)).agg(
         F.first("mean").alias("mean"), F.first("std").alias("std")
     )
     return wide.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from cohortkit.constants import (
     CODE_PREFIXES,
@@ -29,7 +29,6 @@ from cohortkit.operators.features import (
     in_window,
     join_features,
 )
-from cohortkit.operators.sizing import measured_small
 from cohortkit.session import materialize
 from cohortkit.sources.readers import nan_to_null
 
@@ -50,24 +49,17 @@ def cohort_features(
     value_cols: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per stay that has measurements in the window.
+    """One row per stay of ``keys`` that has measurements in the window.
 
-    A small cohort is broadcast and cuts the raw rows before any shuffle. A large
-    one would shuffle all raw rows to be joined, so there the rows are aggregated
-    first and the join meets one row per stay: the filter is on the grouping key.
+    The restriction to the cohort is on the grouping key, so it is written after the
+    aggregates, where it meets one row per stay instead of all raw rows. When the
+    cohort is small enough to be broadcast the optimizer moves it down to the raw
+    rows by itself; ``keys`` should be a written table, whose size is known.
     """
     vital = blank_outliers(in_window(vital, "observationoffset", window_hours), ranges)
     lab = in_window(lab, "labresultoffset", window_hours)
-    if measured_small(keys):
-        vital = vital.join(F.broadcast(keys), STAY, "left_semi")
-        lab = lab.join(F.broadcast(keys), STAY, "left_semi")
-        wide = aggregate_wide(vital, value_cols=value_cols, exclude=exclude)
-        pivoted = aggregate_and_pivot(lab)
-    else:
-        wide = aggregate_wide(vital, value_cols=value_cols, exclude=exclude)
-        wide = wide.join(keys, STAY, "left_semi")
-        pivoted = aggregate_and_pivot(lab, within=keys)
-    return join_features(wide, pivoted, how=feature_join)
+    wide = aggregate_wide(vital, value_cols=value_cols, exclude=exclude).join(keys, STAY, "left_semi")
+    return join_features(wide, aggregate_and_pivot(lab, within=keys), how=feature_join)
 
 
 def clean(

@@ -1,7 +1,6 @@
 """The ways used for large tables give the same results as the ways for small ones."""
 
 import functools
-import importlib
 
 import numpy as np
 import pytest
@@ -98,11 +97,13 @@ def test_cuts_through_long_prefixes(spark):
                 assert p not in shallow[c]
 
 
-def test_clean_without_broadcast(spark, small, monkeypatch):
+def test_clean_without_broadcast(spark, small):
     want = cleaned_table(spark, small)
-    module = importlib.import_module("cohortkit.plans.clean")
-    monkeypatch.setattr(module, "measured_small", lambda df: False)
-    got = cleaned_table(spark, small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = cleaned_table(spark, small)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got.columns == want.columns
     def frame(df):
         return df.toPandas().sort_values("patientunitstayid", ignore_index=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortkit.operators import cohort as C
 from cohortkit.operators import features as T
 from cohortkit.operators import quality as Q
+from cohortkit.session import materialize
 from queries import views as V
 
 
@@ -28,6 +29,29 @@ def test_all_vital_statistics_share_one_shuffle(spark, small):
     assert "partial_avg" in text and "Window" not in text
 
 
+def test_cohort_meets_raw_rows_only_when_small(spark, small):
+    """Broadcast: the semi join is below the aggregate. Otherwise it is above it."""
+    keys = materialize(C.matching_keys(V.diagnosis(spark, small), keywords=V.WORDS))
+
+    def order():
+        wide = T.aggregate_wide(V.vital(spark, small)).join(keys, "patientunitstayid", "left_semi")
+        text = plan(wide)
+        return text.index("LeftSemi") < text.index("partial_avg")
+
+    assert not order()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert order()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pivot_moves_narrow_rows(spark, small):
+    text = plan(T.aggregate_and_pivot(V.lab(spark, small)))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("partial_pivotfirst") < text.index("Exchange hashpartitioning")
+
+
 def test_semi_join_merges_keys_before_the_shuffle(spark, small):
     text = plan(C.matching_keys(V.diagnosis(spark, small), keywords=V.WORDS))
     assert text.count("HashAggregate(keys=[patientunitstayid") == 2
