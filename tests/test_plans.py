@@ -49,7 +49,7 @@ def test_cohort_meets_raw_rows_only_when_small(spark, small):
 def test_pivot_moves_narrow_rows(spark, small):
     text = plan(T.aggregate_and_pivot(V.lab(spark, small)))
     assert text.count("Exchange hashpartitioning") == 1
-    assert text.index("partial_pivotfirst") < text.index("Exchange hashpartitioning")
+    assert text.index("partial_collect_list") < text.index("Exchange hashpartitioning")
 
 
 def test_semi_join_merges_keys_before_the_shuffle(spark, small):
