@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from queries import oracle_sql, queries
 from queries.check import rows_of
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries(), oracle_sql()
 # Its result is a row hash the comparison engine does not have.
 NO_SQL = {"d_table_fingerprint_fast"}
 
@@ -40,6 +41,10 @@ def test_query(spark, medium, duck, name):
         assert got == rows_of(columns, cur.fetchall())
 
 
+def test_entry_has_them_all():
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and df.schema == entry.entry(spark).schema
