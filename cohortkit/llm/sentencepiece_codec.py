@@ -13,6 +13,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import chain
@@ -29,9 +30,9 @@ _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Texts go to the library in batches of about this many characters.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 # Words whose ids a task remembers (some tens of MB).
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 300_000
 
 
 @dataclass
@@ -197,29 +198,33 @@ class Codec:
             text = text.replace(" ", MARK)
         return MARK + text if self.model.add_dummy_prefix else text
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """(ids, whether both libraries gave the same ids where they were compared)."""
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """(ids as little-endian 32-bit numbers, whether both libraries gave the same ids
+        where they were compared)."""
         if self.word_model:
             split = [_WORDS(self._normal(t)) for t in texts]
             if len(self.words) > KNOWN_WORDS:
                 self.words.clear()
             new = list(set(chain.from_iterable(split)).difference(self.words))
             encoded = self._spread(lambda w: self.word_model.encode_batch_fast(w, add_special_tokens=False), new)
-            self.words.update(zip(new, [e.ids for e in encoded]))
-            ids = [list(chain.from_iterable(map(self.words.__getitem__, words))) for words in split]
+            self.words.update(zip(new, [array("i", e.ids).tobytes() for e in encoded]))
+            ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
         else:
             encoded = self._spread(lambda t: self.fast.encode_batch_fast(t, add_special_tokens=False), texts)
-            ids = [e.ids for e in encoded]
+            ids = [array("i", e.ids).tobytes() for e in encoded]
         same = [True] * len(texts)
         if self.verify_one_in:
             asked = [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % self.verify_one_in == 0]
             for i, want in zip(asked, self.reference.encode([texts[i] for i in asked], num_threads=1)):
+                want = array("i", want).tobytes()
                 if ids[i] != want:
                     ids[i], same[i] = want, False
         return ids, same
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self._spread(lambda x: self.fast.decode_batch(x, skip_special_tokens=False), ids)
+    def decode(self, ids: list[bytes]) -> list[str]:
+        decoded = lambda some: self.fast.decode_batch(
+            [memoryview(x).cast("i").tolist() for x in some], skip_special_tokens=False)
+        return self._spread(decoded, ids)
 
 
 def _batches(texts: list[str]):
@@ -262,17 +267,16 @@ def encode_documents(
                 some = texts[part]
                 ids, same = codec.encode(some)
                 decoded = codec.decode(ids)
-                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
+                lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                flat = np.frombuffer(b"".join(ids), "<i4")
                 ends = np.cumsum(lengths)
-                raw = flat.astype("<i4").tobytes()
                 by_bytes = np.concatenate(([0], np.cumsum(codec.byte_ids[flat])))
                 yield pa.RecordBatch.from_arrays([
                     doc_ids[part.start:part.stop],
                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat)),
                     pa.array(lengths),
                     pa.array(by_bytes[ends] - by_bytes[ends - lengths]),
-                    pa.array([hashlib.sha256(raw[4 * (e - n):4 * e]).hexdigest() for e, n in zip(ends, lengths)]),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                     pa.array(same),
                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded]),
                     pa.array([a == b for a, b in zip(decoded, some)]),
@@ -293,7 +297,7 @@ def decode_documents(rows: DataFrame, model_bytes: bytes, id_col: str = "doc_id"
         codec = Codec(shared.value, verify_one_in=0)
         for batch in batches:
             ids = batch["token_ids"].to_pylist()
-            texts = codec.decode([x or [] for x in ids])
+            texts = codec.decode([array("i", x or []).tobytes() for x in ids])
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array([None if x is None else t for x, t in zip(ids, texts)], pa.string())],
                 ["doc_id", "text"])
