@@ -57,25 +57,30 @@ class MultiIndex:
         shift, width = self.cuts[segment]
         return (codes >> np.uint64(shift) & np.uint64((1 << width) - 1)).astype(np.int64)
 
-    def within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, code) places of codes that differ from a query in exactly ``radius``
-        bits of some segment."""
-        found = [np.zeros((0, 2), np.int64)]
+    def within(self, queries: np.ndarray, radius: int):
+        """(query, code, distance) places, in batches, of the codes that differ from a query
+        in exactly ``radius`` bits of some segment and that no smaller radius finds; each
+        pair comes once, from the first segment that has it."""
         for segment, (order, offsets) in enumerate(self.tables):
             width = self.cuts[segment][1]
             if radius > width:
                 continue
             masks = np.array([sum(1 << b for b in bits) for bits in itertools.combinations(range(width), radius)], np.int64)
             keys = self.keys(queries, segment)
-            for at in range(0, len(queries), max(1, 2_000_000 // len(masks))):
-                some = keys[at:at + max(1, 2_000_000 // len(masks)), None] ^ masks
-                first, last = offsets[some].ravel(), offsets[some + 1].ravel()
-                n = last - first
-                place = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            step = max(1, 500_000 // len(masks))
+            for at in range(0, len(queries), step):
+                some = keys[at:at + step, None] ^ masks
+                first, n = offsets[some].ravel(), (offsets[some + 1] - offsets[some]).ravel()
+                place = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
                 query = np.repeat(np.repeat(np.arange(len(some)) + at, len(masks)), n)
-                found.append(np.stack((query, order[place]), 1))
-        pairs = np.concatenate(found)
-        return pairs[:, 0], pairs[:, 1]
+                code = order[place]
+                apart = queries[query] ^ self.codes[code]
+                new = np.ones(len(code), bool)
+                for other, (shift, bits) in enumerate(self.cuts):
+                    if other != segment:
+                        far = np.bitwise_count(apart & np.uint64((1 << bits) - 1 << shift))
+                        new &= far > radius if other < segment else far >= radius
+                yield query[new], code[new], np.bitwise_count(apart[new]).astype(np.int64)
 
 
 def nearest(index: MultiIndex, held: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,53 +92,50 @@ def nearest(index: MultiIndex, held: np.ndarray, queries: np.ndarray, k: int) ->
     less; a query is done when its k-th verified distance is covered. When a shell has
     more keys than the block has codes, the rest is verified against every code.
     """
+    seen = np.zeros((len(queries), BITS + 1), np.int64)  # codes by distance
+    kth = np.full(len(queries), BITS)
+    pairs = [np.zeros(0, np.int64)] * 3
     active = np.arange(len(queries))
-    seen = [np.zeros(0, np.int64)] * 2
     out = []
+
+    def add(q, c, far):
+        np.add.at(seen, (q, far), held[c])
+        enough = seen[active].cumsum(1) >= k
+        kth[active] = np.where(enough[:, -1], enough.argmax(1), BITS)
+
     for radius in itertools.count():
         if not len(active):
             break
         widest = max(width for _, width in index.cuts)
-        everything = radius > widest or index.segments * math.comb(widest, radius) > 4 * len(index.codes)
-        if everything:
-            step = max(1, 4_000_000 // len(index.codes))
-            for at in range(0, len(active), step):
-                some = active[at:at + step]
-                far = np.bitwise_count(queries[some][:, None] ^ index.codes[None, :]).astype(np.int64)
-                q = np.repeat(np.arange(len(some)), len(index.codes))
-                c = np.tile(np.arange(len(index.codes)), len(some))
-                _, kept = _covered(q, c, far.ravel(), held, len(some), k, BITS)
-                out.append((some[q[kept]], c[kept], far.ravel()[kept]))
+        if radius > widest or index.segments * math.comb(widest, radius) > len(index.codes):
+            seen[active] = 0
+            every, step = active, max(1, 2_000_000 // len(index.codes))
+            for at in range(0, len(every), step):
+                active = every[at:at + step]
+                far = np.bitwise_count(queries[active][:, None] ^ index.codes[None, :]).astype(np.int64)
+                q, c = np.repeat(active, len(index.codes)), np.tile(np.arange(len(index.codes)), len(active))
+                add(q, c, far.ravel())
+                near = far.ravel() <= kth[q]
+                out.append((q[near], c[near], far.ravel()[near]))
             break
-        q, c = index.within(queries[active], radius)
-        pairs = np.unique(np.concatenate((seen[0], active[q])) * len(index.codes) + np.concatenate((seen[1], c)))
-        q, c = pairs // len(index.codes), pairs % len(index.codes)
-        far = np.bitwise_count(queries[q] ^ index.codes[c]).astype(np.int64)
-        done, kept = _covered(q, c, far, held, len(queries), k, index.segments * (radius + 1) - 1)
-        kept &= done[q]
-        out.append((q[kept], c[kept], far[kept]))
-        open_ = ~done[q]
-        seen = [q[open_], c[open_]]
+        found = [pairs]
+        for q, c, far in index.within(queries[active], radius):
+            q = active[q]
+            near = far <= kth[q]
+            found.append([q[near], c[near], far[near]])
+        new = [np.concatenate([f[i] for f in found[1:]]) if found[1:] else pairs[0][:0] for i in range(3)]
+        add(*new)
+        pairs = [np.concatenate((old, x)) for old, x in zip(pairs, new)]
+        near = pairs[2] <= kth[pairs[0]]
+        pairs = [x[near] for x in pairs]
+        done = (kth <= index.segments * (radius + 1) - 1) & (seen.sum(1) >= k)
+        ready = done[pairs[0]]
+        out.append(tuple(x[ready] for x in pairs))
+        pairs = [x[~ready] for x in pairs]
         active = active[~done[active]]
     return tuple(np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(3))
 
 
-def _covered(q, c, far, held, n_queries, k, bound):
-    """Which queries have k rows within ``bound`` bits, and which pairs are up to the k-th."""
-    order = np.lexsort((far, q))
-    counts = held[c[order]]
-    total = np.cumsum(counts)
-    first = np.flatnonzero(np.concatenate(([True], q[order][1:] != q[order][:-1]))) if len(q) else np.zeros(0, np.int64)
-    base = np.zeros(n_queries, np.int64)
-    if len(first):
-        base[q[order][first]] = total[first] - counts[first]
-    upto = total - base[q[order]]
-    kth = np.full(n_queries, BITS + 1)
-    reached = np.flatnonzero(upto >= k)
-    np.minimum.at(kth, q[order][reached], far[order][reached])
-    return kth <= bound, far <= kth[q]
-
-
 def _search(k: int):
     columns = ["query_code", "distance", "id"]
 
@@ -181,6 +183,8 @@ def top_k(codes: DataFrame, is_query: Column, k: int = 10, block_codes: int = BL
     dealt = lambda n: F.pmod(F.xxhash64("code"), F.lit(n)).cast("int")
     left = entries.select("code", "ids", dealt(n_codes).alias("x"), every(n_queries).alias("y"))
     right = asked.select("code", dealt(n_queries).alias("y"), every(n_codes).alias("x"))
+    # Few but costly groups: as many tasks, whatever their bytes.
+    left, right = (side.repartition(4 * n_codes * n_queries, "x", "y") for side in (left, right))
     found = left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInPandas(_search(k + 1), "query_code bigint, distance bigint, id bigint")
     best = materialize(_smallest(found, ["query_code"], k + 1))
     each = queries.select(F.col("id").alias("query_id"), F.col("code").alias("query_code")).join(best, "query_code").where("id <> query_id")
