@@ -20,8 +20,9 @@ from cohortkit.llm.common import rows_of
 KINDS = ("email", "ip", "card", "phone")
 N_TAGS = 1 + 2 * len(KINDS)  # 0 outside; 1 + 2k begins kind k, 2 + 2k is inside it
 WINDOW, STRIDE = 64, 32
-# Bounds of the training sample: documents, characters of each, windows with and without spans.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS = 2000, 20_000, 1200
+# Bounds of the training sample: documents drawn (about), of them used, characters of each,
+# windows with and without spans.
+DRAWN_DOCS, SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS = 30_000, 2000, 20_000, 1200
 EMBED, HIDDEN = 12, 16
 _AT_ONCE = 2048
 
@@ -272,13 +273,15 @@ def training_windows(texts: list[str], most: int = SAMPLE_WINDOWS) -> tuple[np.n
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
-    """Trains on a bounded sample: the SAMPLE_DOCS documents with a digit or an @ that have
-    the smallest id hashes, SAMPLE_CHARS characters of each around the first such sign;
-    the spans of the patterns are the labels."""
-    rows = rows_of(docs, doc_id=id_col, text=text_col).where(F.col("text").rlike("[0-9@]"))
+    """Trains on a bounded sample: of the DRAWN_DOCS documents (about) with the smallest id
+    hashes those with a digit or an @, SAMPLE_DOCS at most, SAMPLE_CHARS characters of each
+    around the first such sign; the spans of the patterns are the labels."""
+    rows = rows_of(docs, doc_id=id_col, text=text_col)
+    share = min(1.0, DRAWN_DOCS / max(1, rows.count()))
+    draw = F.xxhash64(F.lit("pii"), F.col("doc_id").cast("string")).cast("double") / 2.0**64 + 0.5
     first = F.greatest(F.lit(1), F.regexp_instr("text", F.lit("[0-9@]")) - SAMPLE_CHARS // 2)
-    sample = (rows.select(F.xxhash64(F.lit("pii"), F.col("doc_id").cast("string")).alias("draw"),
-                          F.col("text").substr(first, F.lit(SAMPLE_CHARS)).alias("text"))
+    sample = (rows.select(draw.alias("draw"), "text").where(F.col("draw") <= share).where(F.col("text").rlike("[0-9@]"))
+              .select("draw", F.col("text").substr(first, F.lit(SAMPLE_CHARS)).alias("text"))
               .orderBy("draw", "text").limit(SAMPLE_DOCS))
     return train(*training_windows([r["text"] for r in sample.collect()]))
 
