@@ -29,12 +29,23 @@ def null_for_nan(value: Column, dtype: T.DataType) -> Column:
     return F.nanvl(value, F.lit(None).cast(dtype)) if isinstance(dtype, FLOATS) else value
 
 
+def present(value: Column) -> Column:
+    """A number as DOUBLE; NaN is missing."""
+    value = value.cast("double")
+    return F.nanvl(value, F.lit(None).cast("double"))
+
+
 def is_number(dtype: T.DataType) -> bool:
     return isinstance(dtype, NUMBERS)
 
 
 def ordinal(time: Column, dtype: T.DataType) -> Column:
-    """A time as a whole number that sorts the same way, without a time zone."""
+    """A time as a number that sorts the same way, without a time zone.
+
+    LONG, except for fractional times, which stay DOUBLE (NaN is missing).
+    """
+    if isinstance(dtype, FLOATS):
+        return present(time)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(time)
     if isinstance(dtype, T.TimestampNTZType):
@@ -44,4 +55,6 @@ def ordinal(time: Column, dtype: T.DataType) -> Column:
         return (days * 86_400 + seconds) * 1_000_000 + micros
     if isinstance(dtype, T.DateType):
         return F.unix_date(time).cast("long")
-    return time.cast("long")
+    if isinstance(dtype, T.IntegralType):
+        return time.cast("long")
+    raise TypeError(f"cannot split by a time of type {dtype.simpleString()}")

@@ -16,7 +16,7 @@ from cohortkit.constants import (
     NON_FEATURE_COLUMNS,
 )
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import FLOATS, is_number
+from cohortkit.functions.numeric import FLOATS, is_number, null_for_nan, present
 
 
 # A sketch of 512 registers that estimates more than this has at least a tenth of
@@ -34,8 +34,10 @@ def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """(column, n_rows, n_missing, missing_ratio), one pass over the table."""
     columns = list(columns if columns is not None else df.columns)
     # The counts go by place, not by name: any column may be called anything.
+    types = {f.name: f.dataType for f in df.schema.fields}
     totals = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(col(c)).alias(f"c{i}") for i, c in enumerate(columns)]
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(null_for_nan(col(c), types.get(c))).alias(f"c{i}") for i, c in enumerate(columns)],
     )
     entries = [
         F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("present")) for i, c in enumerate(columns)
@@ -101,7 +103,7 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     # Adding zero makes -0.0 and 0.0 one level.
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, FLOATS)}
     text = df.select(*[
-        _short((col(c) + F.lit(0.0) if c in floats else col(c)).cast("string")).alias(f"c{i}")
+        _short((present(col(c)) + F.lit(0.0) if c in floats else col(c)).cast("string")).alias(f"c{i}")
         for i, c in enumerate(columns)
     ])
     names = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(f"c{i}"), F.lit(c))])

@@ -143,12 +143,11 @@ def encode_target(
 
 
 def fit_one_hot_levels(
-    train: DataFrame, columns: Sequence[str], limit: int = 10_000
+    train: DataFrame, columns: Sequence[str]
 ) -> dict[str, list[str]]:
-    """Sorted training levels of each column. They become columns, so many is an error."""
-    rows = as_levels(train, columns, MISSING_TEXT).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} levels cannot become columns")
+    """Sorted training levels of each column. They become columns; a column with too many
+    for that is better label encoded, or ``encode_one_hot`` is given the levels wanted."""
+    rows = as_levels(train, columns, MISSING_TEXT).distinct().collect()
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         levels[r["feature"]].append(r["value"])

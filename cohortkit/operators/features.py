@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortkit.constants import MINUTES_PER_HOUR, STAY, WINDOW_HOURS
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import inside, is_number, outside
+from cohortkit.functions.numeric import inside, is_number, outside, present
 from cohortkit.session import materialize
 
 WIDE_STATS = ("mean", "std", "slope")
@@ -58,8 +59,9 @@ def slope(value: Column, time: Column) -> Column:
     """Aggregate: change per minute from the first to the last present value.
 
     Equal first times take the smallest value, equal last times the largest, so
-    the result does not depend on row order. No sort and no window is needed;
-    the state per key is two (time, value) pairs, however many rows a key has.
+    the result does not depend on row order. The state per key is two (time, value)
+    pairs, however many rows a key has; pairs do not fit a hash aggregate, so Spark sorts
+    the rows of a task by key before it merges them.
     """
     point = F.when(value.isNotNull() & time.isNotNull(), F.struct(time.alias("t"), value.alias("v")))
     first, last = F.min(point), F.max(point)
@@ -67,7 +69,7 @@ def slope(value: Column, time: Column) -> Column:
 
 
 def _statistics(name: str, stats: Sequence[str], time: str) -> list[Column]:
-    value = col(name).cast("double")
+    value = present(col(name))
     build = {
         "mean": lambda: F.avg(value),
         "std": lambda: F.stddev_samp(value),
@@ -103,8 +105,8 @@ def mean_per_draw(
     time: str = "labresultoffset",
 ) -> DataFrame:
     """Repeated results of one draw averaged to one value."""
-    present = [col(c).isNotNull() for c in (key, name, value, time)]
-    rows = df.where(present[0] & present[1] & present[2] & present[3])
+    there = [col(c).isNotNull() for c in (key, name, time)]
+    rows = df.where(there[0] & there[1] & there[2] & present(col(value)).isNotNull())
     return rows.groupBy(key, time, name).agg(F.avg(value).alias("value"))
 
 
@@ -122,14 +124,13 @@ def aggregate_long(
     )
 
 
-def attribute_names(long: DataFrame, name: str = "labname", limit: int = 10_000) -> list[str]:
-    """Sorted distinct names. They become columns, so a huge number is an error."""
-    names = [r[0] for r in long.select(name).distinct().limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} distinct values in '{name}' cannot become columns")
+def attribute_names(long: DataFrame, name: str = "labname") -> list[str]:
+    """Sorted distinct names. They become columns; data with too many names for that stays
+    long (``aggregate_long``), or the caller gives ``pivot_statistics`` the names wanted."""
+    names = [r[0] for r in long.select(name).distinct().collect()]
     if long.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
-        lowered = [n.lower() for n in names]
-        clash = sorted(n for n in names if lowered.count(n.lower()) > 1)
+        times = Counter(n.lower() for n in names)
+        clash = sorted(n for n in names if times[n.lower()] > 1)
         if clash:
             raise ValueError(f"names differ only in case, set spark.sql.caseSensitive: {clash}")
     return sorted(names)

@@ -15,7 +15,7 @@ from cohortkit.constants import (
     TIME_WORDS,
 )
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import is_number
+from cohortkit.functions.numeric import is_number, present
 from cohortkit.operators.columns import level_counts, missing_counts
 from cohortkit.operators.quantiles import exact_quantiles
 from cohortkit.operators.sizing import small_side
@@ -65,16 +65,18 @@ def target_correlations(df: DataFrame, target: str, exclude: Sequence[str] = ())
     """(column, r): Pearson correlation with the target over rows where both are present.
 
     One pass for all columns. A column without spread has no correlation and is
-    left out.
+    left out; a target that is no number has none with any.
     """
     columns = numeric_columns(df, (target, *exclude))
     if target not in df.columns or not columns:
         return df.sparkSession.createDataFrame([], "column STRING, r DOUBLE")
-    target_ = col(target).cast("double")
+    if not is_number(df.schema[target].dataType):
+        return df.sparkSession.createDataFrame([], "column STRING, r DOUBLE")
+    target_ = present(col(target))
     aggregates = []
     for i, c in enumerate(columns):
-        x = F.when(target_.isNotNull(), col(c).cast("double"))
-        y = F.when(col(c).isNotNull(), target_)
+        x = F.when(target_.isNotNull(), present(col(c)))
+        y = F.when(present(col(c)).isNotNull(), target_)
         aggregates += [
             F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}"),
         ]

@@ -15,8 +15,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from cohortkit.functions.names import col
+from cohortkit.functions.numeric import present
 
 # A bracket of at most this many values is sorted as it is.
 BRACKET_ROWS = 1_000_000
@@ -57,7 +59,7 @@ class _Search:
             self.low, self.below = b, le_b
 
     def open_range(self) -> Column:
-        value = col(self.column).cast("double")
+        value = present(col(self.column))
         test = value.isNotNull()
         if self.low is not None:
             test = test & (value > F.lit(self.low))
@@ -84,7 +86,7 @@ def _sketched_bounds(df: DataFrame, brackets: Sequence[Sequence[_Search]]) -> li
     names = {key: f"k{i}" for i, key in enumerate(ranges)}
     sketches = [
         F.kll_sketch_agg_double(
-            F.when(s.open_range(), col(s.column).cast("double")), F.lit(_SKETCH_SIZE)
+            F.when(s.open_range(), present(col(s.column))), F.lit(_SKETCH_SIZE)
         ).alias(names[key])
         for key, s in ranges.items()
     ]
@@ -105,7 +107,7 @@ def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
     bounds = _sketched_bounds(df, brackets)
     counts = []
     for i, (group, (a, b)) in enumerate(zip(brackets, bounds)):
-        value = col(group[0].column).cast("double")
+        value = present(col(group[0].column))
         for name, test in (
             ("lt_a", value < F.lit(a)), ("le_a", value <= F.lit(a)),
             ("lt_b", value < F.lit(b)), ("le_b", value <= F.lit(b)),
@@ -126,7 +128,7 @@ def _finish(df: DataFrame, searches: Sequence[_Search]) -> None:
     entries = [
         F.struct(
             F.lit(g).alias("bracket"),
-            F.when(group[0].open_range(), col(group[0].column).cast("double")).alias("value"),
+            F.when(group[0].open_range(), present(col(group[0].column))).alias("value"),
         )
         for g, group in enumerate(groups)
     ]
@@ -169,10 +171,24 @@ def order_statistics(
     return {(s.column, s.rank): s.answer for s in searches}
 
 
+def order_statistic(df: DataFrame, column: str, rank: int, count: int) -> int | float:
+    """The value of one rank, exact for LONG too: a DOUBLE does not hold all of them, so
+    their upper and lower 32 bits are searched one after the other."""
+    if not isinstance(df.schema[column].dataType, T.IntegralType):
+        return order_statistics(df, {column: [rank]}, {column: count})[(column, rank)]
+    value = col(column).cast("long")
+    halves = df.select(F.shiftright(value, 32).alias("high"), value.bitwiseAND(F.lit(0xFFFFFFFF)).alias("low"))
+    high = int(order_statistics(halves, {"high": [rank]}, {"high": count})[("high", rank)])
+    seen = halves.agg(F.count_if(F.col("high") < high).alias("below"), F.count_if(F.col("high") == high).alias("n")).first()
+    rank -= seen["below"]
+    low = order_statistics(halves.where(F.col("high") == high), {"low": [rank]}, {"low": seen["n"]})[("low", rank)]
+    return (high << 32) + int(low)
+
+
 def present_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     if not columns:
         return {}
-    row = df.agg(*[F.count(col(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    row = df.agg(*[F.count(present(col(c))).alias(f"c{i}") for i, c in enumerate(columns)]).first()
     return {c: row[f"c{i}"] for i, c in enumerate(columns)}
 
 

@@ -18,7 +18,7 @@ from cohortkit.constants import DEFAULT_SEED, LABEL
 from cohortkit.functions.names import col
 from cohortkit.functions.numeric import ordinal
 from cohortkit.functions.text import joined_key
-from cohortkit.operators.quantiles import order_statistics
+from cohortkit.operators.quantiles import order_statistic
 from cohortkit.session import BROADCAST_MAX_ROWS, materialize
 from cohortkit.sources.readers import require_columns
 
@@ -284,9 +284,8 @@ def split_by_time(
     cutoff_at = None
     if cut < sizes["n"]:
         if cut < sizes["timed"]:
-            at = order_statistics(groups, {"at": [cut]}, {"at": sizes["timed"]})[("at", cut)]
-            cutoff_at = int(at)
-        tied = F.col("at").eqNullSafe(F.lit(cutoff_at).cast("long"))
+            cutoff_at = order_statistic(groups, "at", cut, sizes["timed"])
+        tied = F.col("at").eqNullSafe(F.lit(cutoff_at).cast(groups.schema["at"].dataType))
         if cutoff_at is None:
             earlier = F.col("at").isNotNull()
         else:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortkit.constants import DEVIATION_EPSILON
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import inside, is_number
+from cohortkit.functions.numeric import inside, is_number, present
 from cohortkit.operators import dictionary as D
 from cohortkit.operators.quantiles import exact_quantiles
 
@@ -38,7 +38,7 @@ def moments(df: DataFrame, columns: Sequence[str]) -> dict[str, Moments]:
         return {}
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(columns):
-        x = col(c).cast("double")
+        x = present(col(c))
         aggregates += [
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}"),
             F.min(x).alias(f"l{i}"), F.max(x).alias(f"h{i}"),

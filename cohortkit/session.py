@@ -45,6 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
+        if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is a folder of one machine; executors must share it")
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -57,11 +59,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later passes scan only the columns they need, Spark knows the size on disk,
-    and a lost executor costs a re-read instead of the whole lineage.
+    and a lost executor costs a re-read instead of the whole lineage. A folder without
+    files, which the reader cannot see, is an error and not an empty table.
     """
     path = f"{shared_folder(df.sparkSession)}/cohortkit-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def keep(df: DataFrame) -> DataFrame:

@@ -15,13 +15,13 @@ from cohortkit.functions.numeric import null_for_nan
 SCHEMAS = {
     "patient": "patientunitstayid LONG, uniquepid STRING, age STRING, gender STRING,"
     " ethnicity STRING, hospitalid LONG, admissionheight DOUBLE, admissionweight DOUBLE,"
-    " hospitaldischargestatus STRING, unitadmitoffset INT, unitdischargestatus STRING,"
+    " hospitaldischargestatus STRING, unitadmitoffset DOUBLE, unitdischargestatus STRING,"
     " hospitaldischargelocation STRING, unitdischargelocation STRING",
     "diagnosis": "patientunitstayid LONG, icd9code STRING, diagnosisstring STRING",
-    "vitalPeriodic": "patientunitstayid LONG, observationoffset INT, heartrate DOUBLE,"
+    "vitalPeriodic": "patientunitstayid LONG, observationoffset DOUBLE, heartrate DOUBLE,"
     " map DOUBLE, spo2 DOUBLE, temperature DOUBLE, respiration DOUBLE,"
     " systemicsystolic DOUBLE, systemicdiastolic DOUBLE, systemicmean DOUBLE, sao2 DOUBLE",
-    "lab": "patientunitstayid LONG, labname STRING, labresult DOUBLE, labresultoffset INT",
+    "lab": "patientunitstayid LONG, labname STRING, labresult DOUBLE, labresultoffset DOUBLE",
 }
 
 
@@ -74,8 +74,10 @@ def _with_types(df: DataFrame, schema: T.StructType) -> DataFrame:
             picked.append(value.alias(c))
         elif isinstance(target, (T.IntegerType, T.LongType)):
             # "12.0" is a whole number too when the file was written with gaps.
-            whole = F.coalesce(value.try_cast(target), value.cast("double").cast(target))
-            picked.append(whole.alias(c))
+            number = value.cast("double")
+            fraction = F.raise_error(F.concat(F.lit(f"column '{c}' holds a fraction: "), value))
+            whole = F.when(number == F.floor(number), number.cast(target)).when(number.isNotNull(), fraction.cast(target))
+            picked.append(F.coalesce(value.try_cast(target), whole).alias(c))
         else:
             picked.append(value.cast(target).alias(c))
     return df.select(*picked)
@@ -88,7 +90,7 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: s
         text = spark.read.option("header", True).option("escape", '"').csv(path)
         known = T.StructType.fromDDL(schema) if schema else T.StructType([])
         return _with_types(normalize_missing(text), known)
-    return normalize_missing(spark.read.format(fmt).load(path))
+    return nan_to_null(spark.read.format(fmt).load(path))  # spellings are a matter of text files
 
 
 def read_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:

@@ -24,17 +24,22 @@ def _write_by(df: DataFrame, path: str, columns: Sequence[str], fmt: str, mode:
     (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(path)
 
 
+def _write_protocol(df: DataFrame, path: str, protocol: str, fmt: str) -> None:
+    # The protocol's whole folder is replaced: a split that the new rows do not have goes.
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("split")
+    (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(f"{path.rstrip('/')}/protocol={protocol}")
+
+
 def write_packs(packs: DataFrame, path: str, protocol: str, fmt: str = "parquet") -> None:
     """All splits of a protocol in one write, a folder per protocol and split."""
-    _write_by(packs.withColumn("protocol", F.lit(protocol)), path, ["protocol", "split"], fmt, "overwrite")
+    _write_protocol(packs, path, protocol, fmt)
 
 
 def write_membership(
     rows: DataFrame, path: str, protocol: str, key: str = "patient_id", fmt: str = "parquet"
 ) -> None:
     """Which key went to which split; an empty split leaves no folder."""
-    members = rows.select(col(key), "split").withColumn("protocol", F.lit(protocol))
-    _write_by(members, path, ["protocol", "split"], fmt, "overwrite")
+    _write_protocol(rows.select(col(key), "split"), path, protocol, fmt)
 
 
 def write_predictions(

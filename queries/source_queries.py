@@ -17,7 +17,7 @@ from cohortkit.sources import (
     manifest,
     metrics_summary,
     read_table,
-    write_membership,
+    write_membership, write_packs,
     write_predictions,
     write_table,
 )
@@ -70,6 +70,18 @@ def a_membership_written(spark, folder):
     return spark.read.parquet(path).select("protocol", "split", "patient_id")
 
 
+@query("a_packs_rewritten", f"""
+WITH {ASSIGNED}
+SELECT 'patient_stratified' AS protocol, split, patient_id FROM assigned WHERE split <> 'val'""")
+def a_packs_rewritten(spark, folder):
+    """Three splits, then two: nothing of the third is left."""
+    path = fresh_path(spark)
+    rows = assigned(spark, folder).select("patient_id", "split")
+    write_packs(rows, path, "patient_stratified")
+    write_packs(rows.where("split <> 'val'"), path, "patient_stratified")
+    return spark.read.parquet(path).select("protocol", "split", "patient_id")
+
+
 SCORED = "CASE WHEN y_pred_proba >= 0.5 THEN 1 ELSE 0 END AS y_pred_class"
 
 

@@ -80,7 +80,7 @@ def g_split_person(spark, folder):
     return rows.select("patient_id", "uniquepid", "split")
 
 
-@query("g_split_temporal", f"""
+TEMPORAL = f"""
 WITH {PERSONS},
 placed AS (
   SELECT group_key, group_key AS key, label, row_number() OVER (
@@ -88,7 +88,10 @@ placed AS (
     > CAST(floor((SELECT count(*) FROM persons) * (1 - CAST(0.2 AS DOUBLE))) AS BIGINT) AS is_test
   FROM persons),
 {REST}
-SELECT patient_id, uniquepid, split FROM people JOIN drawn ON group_key = CAST(uniquepid AS VARCHAR)""")
+SELECT patient_id, uniquepid, split FROM people JOIN drawn ON group_key = CAST(uniquepid AS VARCHAR)"""
+
+
+@query("g_split_temporal", TEMPORAL)
 def g_split_temporal(spark, folder):
     """Times are read from text, as they come from a text file."""
     rows = people(spark, folder).withColumn("admission_time", F.col("admission_time").cast("string"))
@@ -96,6 +99,15 @@ def g_split_temporal(spark, folder):
     return result.rows.select("patient_id", "uniquepid", "split")
 
 
+@query("g_split_temporal_numeric", TEMPORAL)
+def g_split_temporal_numeric(spark, folder):
+    """The same times as whole nanoseconds, more digits than a DOUBLE holds."""
+    nanos = F.unix_micros(F.col("admission_time").cast("timestamp")) * 1000 + 7
+    rows = people(spark, folder).withColumn("admission_time", nanos)
+    result = S.split_by_time(materialize(rows), group_cols=["uniquepid"], order_key=STAY)
+    return result.rows.select("patient_id", "uniquepid", "split")
+
+
 @query("g_select_test_sites", f"""
 WITH {{patient}}, {PEOPLE}, {SITES}
 SELECT * FROM chosen""")

@@ -47,6 +47,20 @@ def test_quantiles_equal_numpy(values, bracket_rows):
                 assert got[c][p] == pytest.approx(np.quantile(present, p), rel=1e-12), (c, p)
 
 
+@pytest.mark.parametrize("bracket_rows", [10, 1_000_000])
+def test_nan_is_missing_at_any_size(spark, bracket_rows):
+    values = [1.0, float("nan"), None, 2.0] * 30
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    assert Q.exact_quantiles(df, ["v"], [0.0, 0.5, 1.0], bracket_rows=bracket_rows) == {"v": {0.0: 1.0, 0.5: 1.5, 1.0: 2.0}}
+
+
+@pytest.mark.parametrize("rank", [0, 7, 400, 999])
+def test_order_statistic_of_large_whole_numbers(spark, rank):
+    values = [1_700_000_000_000_000_000 + i * 7919 % 1000 for i in range(500)] + [-(2**62) + i for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v LONG")
+    assert Q.order_statistic(df, "v", rank, 1000) == sorted(values)[rank]
+
+
 def test_running_totals_over_ranges(spark):
     df = spark.range(5000).select(
         (F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("g"), (F.col("id") % 11).alias("w")

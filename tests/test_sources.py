@@ -27,7 +27,7 @@ def test_csv_by_header_name_with_missing_spellings(spark, tmp_path):
     df = IO.read_table(spark, str(path), IO.SCHEMAS["lab"])
     assert dict(df.dtypes) == {
         "labname": "string", "labresult": "double", "patientunitstayid": "bigint", "extra": "double",
-        "labresultoffset": "int", "note": "string",
+        "labresultoffset": "double", "note": "string",
     }
     rows = {r["patientunitstayid"]: r.asDict() for r in df.collect()}
     assert rows[1]["labresult"] is None and rows[1]["note"] == "a, b" and rows[1]["extra"] == 2.5
