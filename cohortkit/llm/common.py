@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,3 +29,12 @@ def rows_of(df: DataFrame, **columns: str) -> DataFrame:
     Extra columns of the input, whatever they are called, never meet the operator's.
     """
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+
+
+def release_memory() -> None:
+    """Give a Python worker's free memory back: workers outlive tasks and share an
+    executor's memory with its JVM."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -9,6 +9,7 @@ piece together, best score first).
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 import struct
@@ -16,13 +17,13 @@ import zlib
 from array import array
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from cohortkit.llm.common import rows_of
+from cohortkit.llm.common import release_memory, rows_of
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
@@ -30,9 +31,9 @@ _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Texts go to the library in batches of about this many characters.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 # Words whose ids a task remembers (some tens of MB).
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 
 
 @dataclass
@@ -178,10 +179,10 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=model_bytes)
         self.verify_one_in = verify_one_in
         self.byte_ids = np.array([k == BYTE for k in self.model.kinds])
-        self.words, self.word_model = {}, None
-        if self.fast.pre_tokenizer is not None:
-            self.word_model = build_tokenizer(self.model)
-            self.word_model.normalizer = self.word_model.pre_tokenizer = None
+        self.normalizer, self.words = self.fast.normalizer, {}
+        self.by_word = self.fast.pre_tokenizer is not None
+        if self.by_word:  # texts are normalised and cut here
+            self.fast.normalizer = self.fast.pre_tokenizer = None
         self.pool, self.threads = ThreadPoolExecutor(threads), threads
 
     def _spread(self, function, items: list) -> list:
@@ -193,7 +194,7 @@ class Codec:
         if not text:
             return ""
         if self.model.charsmap or self.model.remove_extra_whitespaces:
-            return self.fast.normalizer.normalize_str(text)
+            return self.normalizer.normalize_str(text) if self.normalizer else text
         if self.model.escape_whitespaces:
             text = text.replace(" ", MARK)
         return MARK + text if self.model.add_dummy_prefix else text
@@ -201,17 +202,16 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         """(ids as little-endian 32-bit numbers, whether both libraries gave the same ids
         where they were compared)."""
-        if self.word_model:
+        encode = lambda some: self.fast.encode_batch_fast(some, add_special_tokens=False)
+        if self.by_word:
             split = [_WORDS(self._normal(t)) for t in texts]
             if len(self.words) > KNOWN_WORDS:
                 self.words.clear()
-            new = list(set(chain.from_iterable(split)).difference(self.words))
-            encoded = self._spread(lambda w: self.word_model.encode_batch_fast(w, add_special_tokens=False), new)
-            self.words.update(zip(new, [array("i", e.ids).tobytes() for e in encoded]))
+            new = list(set(itertools.chain.from_iterable(split)).difference(self.words))
+            self.words.update(zip(new, [array("i", e.ids).tobytes() for e in self._spread(encode, new)]))
             ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
         else:
-            encoded = self._spread(lambda t: self.fast.encode_batch_fast(t, add_special_tokens=False), texts)
-            ids = [array("i", e.ids).tobytes() for e in encoded]
+            ids = [array("i", e.ids).tobytes() for e in self._spread(encode, texts)]
         same = [True] * len(texts)
         if self.verify_one_in:
             asked = [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % self.verify_one_in == 0]
@@ -227,16 +227,12 @@ class Codec:
         return self._spread(decoded, ids)
 
 
-def _batches(texts: list[str]):
-    """Slices of about BATCH_CHARS characters."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= BATCH_CHARS:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def _parts(batch):
+    """Slices of a record batch with about BATCH_CHARS characters of text."""
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False))
+    cuts = np.unique(np.searchsorted(sizes, np.arange(BATCH_CHARS, (sizes[-1] if len(sizes) else 0) + 1, BATCH_CHARS)) + 1)
+    for start, end in itertools.pairwise([0, *cuts[cuts < len(sizes)].tolist(), len(sizes)]):
+        yield batch.slice(start, end - start)
 
 
 def encode_documents(
@@ -262,9 +258,8 @@ def encode_documents(
     def run(batches):
         codec = Codec(shared.value, verify_one_in, threads)
         for batch in batches:
-            doc_ids, texts = batch["doc_id"], [t or "" for t in batch["text"].to_pylist()]
-            for part in _batches(texts):
-                some = texts[part]
+            for part in _parts(batch):
+                some = [t or "" for t in part["text"].to_pylist()]
                 ids, same = codec.encode(some)
                 decoded = codec.decode(ids)
                 lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
@@ -272,7 +267,7 @@ def encode_documents(
                 ends = np.cumsum(lengths)
                 by_bytes = np.concatenate(([0], np.cumsum(codec.byte_ids[flat])))
                 yield pa.RecordBatch.from_arrays([
-                    doc_ids[part.start:part.stop],
+                    part["doc_id"],
                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat)),
                     pa.array(lengths),
                     pa.array(by_bytes[ends] - by_bytes[ends - lengths]),
@@ -282,6 +277,8 @@ def encode_documents(
                     pa.array([a == b for a, b in zip(decoded, some)]),
                 ], ["doc_id", "token_ids", "n_tokens", "n_byte_tokens", "ids_sha256", "same_as_reference",
                     "decoded_sha256", "round_trip"])
+        del codec
+        release_memory()
 
     return rows.mapInArrow(
         run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, token_ids array<int>, n_tokens bigint, "
