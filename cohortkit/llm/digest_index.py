@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortkit.llm.common import ascii_lower, rows_of
+from cohortkit.operators.sizing import small_side
 from cohortkit.session import materialize
 
 DIGEST = "text_sha256"
@@ -67,12 +68,13 @@ class DigestIndex:
     def deduplicate(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """The rows of a batch, with all their columns, that ``add`` keeps.
 
-        Rows meet their decision by digest and id, so a large group of copies is spread.
+        Rows that go are matched by digest and id: in a broadcast if they were counted to
+        be few, else in a join that a large group of copies cannot skew.
         """
-        kept = materialize(self.add(docs, id_col, text_col).where("kept").select("keep_id", DIGEST).distinct())
+        gone = materialize(self.add(docs, id_col, text_col).where("NOT kept").select("doc_id", DIGEST).distinct())
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
         text = F.col(f"`{text_col}`")
         digest = F.sha2(ascii_lower(F.coalesce(text, F.lit(""))).cast("binary"), 256)
         held = docs.select(row, F.col(f"`{id_col}`").alias("own_id"), digest.alias("own_digest"))
-        same = (F.col("own_digest") == F.col(DIGEST)) & F.col("own_id").eqNullSafe(F.col("keep_id"))
-        return held.join(kept, same, "left_semi").select("row.*")
+        same = (F.col("own_digest") == F.col(DIGEST)) & F.col("own_id").eqNullSafe(F.col("doc_id"))
+        return held.join(small_side(gone), same, "left_anti").select("row.*")

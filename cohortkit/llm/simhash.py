@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortkit.llm.common import rows_of
 from cohortkit.llm.components import connected_components
+from cohortkit.operators.sizing import small_side
 from cohortkit.session import materialize
 
 SEED = 42
@@ -281,8 +282,13 @@ def near_duplicates(
 
 
 def one_of_each_group(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose id is the smallest of their component."""
+    """The rows, with all their columns, whose id is the smallest of their component.
+
+    Ids that go are broadcast if they were counted to be few, else joined. A NULL id goes
+    only if every row with a NULL id goes.
+    """
     found = near_duplicates(docs, words, max_bits, id_col, text_col)
-    kept = materialize(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")))
+    own = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = materialize(found.groupBy("doc_id").agg(own.alias("kept")).where("NOT kept").select(F.col("doc_id").alias("gone_id")))
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("own_id"))
-    return held.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
+    return held.join(small_side(gone), F.col("own_id").eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")
