@@ -71,7 +71,7 @@ class DigestIndex:
         Rows that go are matched by digest and id: in a broadcast if they were counted to
         be few, else in a join that a large group of copies cannot skew.
         """
-        gone = materialize(self.add(docs, id_col, text_col).where("NOT kept").select("doc_id", DIGEST).distinct())
+        gone = materialize(self.add(docs, id_col, text_col).where("NOT kept").select("doc_id", DIGEST))
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
         text = F.col(f"`{text_col}`")
         digest = F.sha2(ascii_lower(F.coalesce(text, F.lit(""))).cast("binary"), 256)
