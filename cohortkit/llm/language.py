@@ -50,7 +50,9 @@ def learn_dictionaries(
     start = F.greatest(F.lit(1), F.floor((F.length("text") - slice_chars) / 2).cast("int") + 1)
     sample = rows.select("lang", draw.alias("draw"), share.alias("share"), F.col("text").substr(start, F.lit(slice_chars)).alias("slice"))
     found: dict[str, list[tuple[float, str]]] = {}
-    for r in sample.where("draw < share").select("lang", "draw", "slice").collect():
+    # An id may be repeated any number of times: equal rows count once, and the bound holds.
+    drawn = sample.where("draw < share").select("lang", "draw", "slice").distinct()
+    for r in drawn.orderBy("draw", "lang", "slice").limit(2 * wanted * len(counts)).collect():
         found.setdefault(r["lang"], []).append((r["draw"], r["slice"].lower()))
     dictionaries = {}
     for lang, slices in found.items():

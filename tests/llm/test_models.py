@@ -155,3 +155,16 @@ def test_windows_merge_into_one_path():
     text = "x " * 40 + "joe.smith@mail.example.com" + " y" * 40  # the span crosses window edges
     (kind, start, end), = pii.model_spans([text], tagger)[0]  # one span, not one a window
     assert kind == 0 and abs(start - 80) <= 1 and end == 106
+
+
+def test_training_stays_bounded_when_ids_repeat(spark, docs_of):
+    """One id on most rows: equal rows teach once, and the greatest text of an id teaches."""
+    texts = ["the cat and the dog ran off"] * 400 + ["der hund und die katze"] * 3
+    langs = ["en"] * 400 + ["de"] * 3
+    known = language.learn_dictionaries(docs_of(texts, ids=[1] * 400 + [2, 3, 4], langs=langs))
+    assert known["en"].count(b"the cat") == 1 and known["de"].count(b"der hund") == 1
+    docs = docs_of(["good day to you"] * 50 + ["vile awful slur"] * 50 + ["a vile slur"], ids=[1] * 50 + [2] * 51)
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id bigint, toxic int")
+    weights = toxicity.learn(docs, labels)
+    alone = toxicity.fit(["good day to you", "vile awful slur"], np.array([0.0, 1.0]))
+    assert weights.features.tolist() == alone.features.tolist() and abs(weights.bias - alone.bias) < 1e-9

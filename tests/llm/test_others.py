@@ -181,3 +181,17 @@ def test_chat_edges(spark):
     got = [r for r in perspectives.render_perspectives(chat(spark, rows)).collect()]
     assert sorted((r["conv_id"] or 0, r["part"] < 0, r["n_turns"]) for r in got) == [(0, False, 2), (2, False, 2), (2, True, 1)]
     assert perspectives.render_perspectives(chat(spark, [])).count() == 0
+
+
+def test_over_full_parts_come_in_chunks(spark):
+    """A third of the rows without a dialogue id and a turn that repeats: nothing is lost or doubled."""
+    rows = [(None, i % 3, "ab"[i % 2], f"t{i}") for i in range(90)] + [(7, 0, "a", "same")] * 100 + [(8, i, "ab"[i % 2], "x") for i in range(20)]
+    got = perspectives.render_perspectives(chat(spark, rows), part_rows=25).where("perspective = 'a'").collect()
+    by = {k: [r for r in got if r["conv_id"] == k] for k in (None, 7, 8)}
+    assert {k: sum(r["n_turns"] for r in v) for k, v in by.items()} == {None: 90, 7: 100, 8: 20}
+    assert len(by[None]) > 1 and len(by[7]) > 1 and [r["chunk"] for r in by[8]] == [0]
+    assert sorted(w for r in by[None] for w in r["text"].split() if w.startswith("t")) == sorted(f"t{i}<|im_end|>" for i in range(90))
+    assert all(r["text"].count("same<|im_end|>") == r["n_turns"] == r["n_own_turns"] for r in by[7])
+    for r in got:
+        spans = [tuple(map(int, s.split(":"))) for s in r["mask"].split(",") if s]
+        assert len(spans) == r["n_own_turns"] and all(r["text"][a:b].endswith("<|im_end|>") for a, b in spans)
