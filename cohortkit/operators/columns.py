@@ -33,12 +33,21 @@ class SparseReport:
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, n_rows, n_missing, missing_ratio), one pass over the table."""
     columns = list(columns if columns is not None else df.columns)
+    return missing_rows(df.agg(*present_counts(df, columns)), columns)
+
+
+def present_counts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Aggregates for :func:`missing_rows`: rows, and present values of each column."""
     # The counts go by place, not by name: any column may be called anything.
     types = {f.name: f.dataType for f in df.schema.fields}
-    totals = df.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         *[F.count(null_for_nan(col(c), types.get(c))).alias(f"c{i}") for i, c in enumerate(columns)],
-    )
+    ]
+
+
+def missing_rows(totals: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The one row of :func:`present_counts` as (column, n_rows, n_missing, missing_ratio)."""
     entries = [
         F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("present")) for i, c in enumerate(columns)
     ]

@@ -16,7 +16,7 @@ from cohortkit.constants import (
 )
 from cohortkit.functions.names import col
 from cohortkit.functions.numeric import is_number, present
-from cohortkit.operators.columns import level_counts, missing_counts
+from cohortkit.operators.columns import level_counts, missing_counts, missing_rows, present_counts
 from cohortkit.operators.quantiles import exact_quantiles
 from cohortkit.operators.sizing import small_side
 from cohortkit.operators.transforms import moments
@@ -50,7 +50,18 @@ def suspicious_names(
 
 def id_structure(df: DataFrame, id_col: str, tolerance: float = STATIC_ROWS_PER_ENTITY) -> DataFrame:
     """(total_rows, unique_ids, rows_per_id, data_type): one row per id or several."""
-    sizes = df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_distinct(col(id_col)).alias("unique_ids"))
+    return structure_of(entity_sizes(df, id_col), tolerance)
+
+
+def entity_sizes(df: DataFrame, id_col: str) -> DataFrame:
+    """(id, n_rows) of every entity; rows without an id are one more."""
+    return df.groupBy(col(id_col)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def structure_of(entities: DataFrame, tolerance: float = STATIC_ROWS_PER_ENTITY) -> DataFrame:
+    """:func:`id_structure` from the rows of :func:`entity_sizes`."""
+    sizes = entities.agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"), F.count(col(entities.columns[0])).alias("unique_ids"))
     ratio = F.try_divide(F.col("total_rows").cast("double"), F.col("unique_ids").cast("double"))
     return sizes.withColumn("rows_per_id", ratio).withColumn(
         "data_type", F.when(F.col("rows_per_id") <= tolerance, "STATIC").otherwise("DYNAMIC")
@@ -67,40 +78,76 @@ def target_correlations(df: DataFrame, target: str, exclude: Sequence[str] = ())
     One pass for all columns. A column without spread has no correlation and is
     left out; a target that is no number has none with any.
     """
-    columns = numeric_columns(df, (target, *exclude))
-    if target not in df.columns or not columns:
-        return df.sparkSession.createDataFrame([], "column STRING, r DOUBLE")
-    if not is_number(df.schema[target].dataType):
-        return df.sparkSession.createDataFrame([], "column STRING, r DOUBLE")
+    columns = _correlated(df, target, exclude)
+    return _correlation_rows(df.agg(*_correlation_sums(columns, target)) if columns else df, columns)
+
+
+def _correlated(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> list[str]:
+    if target not in df.columns or not is_number(df.schema[target].dataType):
+        return []
+    return numeric_columns(df, (target, *exclude))
+
+
+def _correlation_sums(columns: Sequence[str], target: str) -> list[Column]:
     target_ = present(col(target))
     aggregates = []
     for i, c in enumerate(columns):
         x = F.when(target_.isNotNull(), present(col(c)))
         y = F.when(present(col(c)).isNotNull(), target_)
         aggregates += [
-            F.covar_pop(x, y).alias(f"c{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}"),
+            F.covar_pop(x, y).alias(f"xy{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}"),
         ]
+    return aggregates
+
+
+def _correlation_rows(sums: DataFrame, columns: Sequence[str]) -> DataFrame:
+    if not columns:
+        return sums.sparkSession.createDataFrame([], "column STRING, r DOUBLE")
     entries = [
         F.struct(
             F.lit(c).alias("column"),
-            F.try_divide(F.col(f"c{i}"), F.col(f"x{i}") * F.col(f"y{i}")).alias("r"),
+            F.try_divide(F.col(f"xy{i}"), F.col(f"x{i}") * F.col(f"y{i}")).alias("r"),
         )
         for i, c in enumerate(columns)
     ]
-    return df.agg(*aggregates).select(F.inline(F.array(*entries))).where(F.col("r").isNotNull())
+    return sums.select(F.inline(F.array(*entries))).where(F.col("r").isNotNull())
+
+
+def profile(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`target_correlations` and :func:`missing_counts` from one scan of the table."""
+    columns = _correlated(df, target)
+    sums = df.agg(*present_counts(df, df.columns), *_correlation_sums(columns, target))
+    # One row with a few numbers a column: later reports read it, not the table.
+    sums = df.sparkSession.createDataFrame([sums.first()], sums.schema)
+    return _correlation_rows(sums, columns), missing_rows(sums, df.columns)
+
+
+def overview(df: DataFrame, n_rows: int) -> DataFrame:
+    """(n_rows, n_columns, n_numeric, n_categorical); the table is not read."""
+    numbers = len(numeric_columns(df))
+    return df.sparkSession.createDataFrame(
+        [(n_rows, len(df.columns), numbers, len(df.columns) - numbers)],
+        "n_rows LONG, n_columns INT, n_numeric INT, n_categorical INT")
 
 
 def high_correlations(
     df: DataFrame, target: str, limit: float = HIGH_CORRELATION, exclude: Sequence[str] = ()
 ) -> DataFrame:
     """Columns correlated so strongly with the target that they may leak it."""
-    return target_correlations(df, target, exclude).where(F.abs("r") > limit)
+    return high_of(target_correlations(df, target, exclude), limit)
+
+
+def high_of(correlations: DataFrame, limit: float = HIGH_CORRELATION) -> DataFrame:
+    return correlations.where(F.abs("r") > limit)
 
 
 def top_correlations(df: DataFrame, target: str, n: int = 5, exclude: Sequence[str] = ()) -> DataFrame:
     """The n strongest correlations, strongest first."""
-    found = target_correlations(df, target, exclude)
-    return found.orderBy(F.desc(F.abs("r")), "column").limit(n)
+    return top_of(target_correlations(df, target, exclude), n)
+
+
+def top_of(correlations: DataFrame, n: int = 5) -> DataFrame:
+    return correlations.orderBy(F.desc(F.abs("r")), "column").limit(n)
 
 
 def _copies(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
@@ -147,9 +194,12 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
 
 def top_missing(df: DataFrame, n: int = 5) -> DataFrame:
     """The n columns with most gaps, (column, n_missing, percent); complete ones never show."""
+    return top_gaps(missing_counts(df), n)
+
+
+def top_gaps(gaps: DataFrame, n: int = 5) -> DataFrame:
     return (
-        missing_counts(df)
-        .where(F.col("n_missing") > 0)
+        gaps.where(F.col("n_missing") > 0)
         .select("column", "n_missing", (F.col("missing_ratio") * 100).alias("percent"))
         .orderBy(F.desc("n_missing"), "column")
         .limit(n)
@@ -158,23 +208,28 @@ def top_missing(df: DataFrame, n: int = 5) -> DataFrame:
 
 def largest_entity(df: DataFrame, id_col: str) -> DataFrame:
     """(id, n_rows) of the entity with most rows; a tie takes the smallest id."""
-    counts = df.where(col(id_col).isNotNull()).groupBy(col(id_col)).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.orderBy(F.desc("n_rows"), col(id_col)).limit(1)
+    return largest_of(entity_sizes(df, id_col))
+
+
+def largest_of(entities: DataFrame) -> DataFrame:
+    id_col = entities.columns[0]
+    return entities.where(col(id_col).isNotNull()).orderBy(F.desc("n_rows"), col(id_col)).limit(1)
 
 
 def largest_entity_sample(
-    df: DataFrame, id_col: str, n: int = 5, time_cols: Sequence[str] | None = None, others: int = 5
+    df: DataFrame, id_col: str, n: int = 5, time_cols: Sequence[str] | None = None, others: int = 5,
+    entities: DataFrame | None = None,
 ) -> DataFrame:
     """The first n rows in time of the entity with most rows: id, times, a few others.
 
-    The entity is looked up first, so that the second read is a filter on a
+    The entity is looked up first (in ``entities``, if its sizes are known), so that the second read is a filter on a
     constant, which reaches the file scan, and a top-n without a full sort.
     """
     times = list(time_cols if time_cols is not None else time_columns(df))
     times = [c for c in times if c != id_col]
     rest = [c for c in df.columns if c != id_col and c not in times]
     shown = [id_col, *times, *rest[:others]] if times else df.columns[:8]
-    top = largest_entity(df, id_col).first()
+    top = largest_of(entity_sizes(df, id_col) if entities is None else entities).first()
     if top is None:
         return df.select(*[col(c) for c in shown]).limit(0)
     rows = df.where(col(id_col) == F.lit(top[0])).select(*[col(c) for c in shown])

@@ -57,12 +57,13 @@ def held_out(counts: Mapping, fraction: float) -> dict:
 
 def prefix_weights(rows: DataFrame, depth: int = _PREFIX) -> list[Row]:
     """(stratum, prefix, weight, n) in draw order: at most 4,096 rows per class and level."""
-    return sorted(
-        rows.groupBy("stratum", F.substring("hash", 1, depth).alias("prefix")).agg(
-            F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n")
-        ).collect(),
-        key=lambda r: r["prefix"],
-    )
+    found = rows.groupBy("stratum", F.substring("hash", 1, depth).alias("prefix")).agg(
+        F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n")
+    ).collect()
+    keyless = sum(r["n"] for r in found if r["prefix"] is None)
+    if keyless:
+        raise ValueError(f"{keyless} members have no key to draw by")
+    return sorted(found, key=lambda r: r["prefix"])
 
 
 def class_totals(weights: Sequence[Row]) -> dict:

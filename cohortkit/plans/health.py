@@ -5,28 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from cohortkit.operators import quality as Q
-from cohortkit.session import keep
+from cohortkit.session import materialize
 
 
 def health(df: DataFrame, target: str, id_col: str | None = None) -> dict[str, object]:
-    """Report name to table (or list of names). Tables are lazy where they can be."""
+    """Report name to table (or list of names). Tables are lazy where they can be.
+
+    ``df`` is scanned once for gaps and correlations, once for the sizes of entities (which
+    give the structure and the entity to show), once for duplicates (twice when wide), and,
+    when asked for, for the target, the levels and the sample.
+    """
     id_col = id_col or Q.find_id_column(df)
-    structure = keep(Q.id_structure(df, id_col))
-    dynamic = structure.first()["data_type"] == "DYNAMIC"
-    duplicates = keep(Q.duplicate_rows(df))
-    high = keep(Q.high_correlations(df, target))
+    entities = materialize(Q.entity_sizes(df, id_col))
+    structure = materialize(Q.structure_of(entities))
+    found = structure.first()
+    duplicates = materialize(Q.duplicate_rows(df))
+    correlations, gaps = Q.profile(df, target)
+    high = Q.high_of(correlations)
     names = Q.suspicious_names(df, target)
     issues = high.count() + len(names) + (1 if duplicates.first()["n_duplicates"] > 0 else 0)
     return {
         "id_column": id_col,
+        "overview": Q.overview(df, found["total_rows"]),
         "structure": structure,
         "high_correlations": high,
-        "top_correlations": Q.top_correlations(df, target),
+        "top_correlations": Q.top_of(correlations),
         "suspicious_names": names,
         "duplicates": duplicates,
         "n_issues": issues,
-        "sample": Q.largest_entity_sample(df, id_col) if dynamic else None,
+        "sample": Q.largest_entity_sample(df, id_col, entities=entities) if found["data_type"] == "DYNAMIC" else None,
         "target": Q.value_distribution(df, target) if target in df.columns else None,
-        "missing": Q.top_missing(df),
+        "missing": Q.top_gaps(gaps),
         "cardinality": Q.cardinality(df, exclude=(id_col, target)),
     }

@@ -83,28 +83,37 @@ def _with_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*picked)
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: str | None = None) -> DataFrame:
-    """Read CSV or Parquet. CSV columns are matched by header name, not place."""
+def read_table(
+    spark: SparkSession, path: str, schema: str | None = None, fmt: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """Read CSV or Parquet. CSV columns are matched by header name, not place.
+
+    ``multi_line`` reads texts with quoted line breaks; such a file is one task.
+    """
     fmt = fmt or ("csv" if path.rstrip("/").endswith((".csv", ".csv.gz")) else "parquet")
     if fmt == "csv":
-        text = spark.read.option("header", True).option("escape", '"').csv(path)
+        text = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
         known = T.StructType.fromDDL(schema) if schema else T.StructType([])
         return _with_types(normalize_missing(text), known)
     return nan_to_null(spark.read.format(fmt).load(path))  # spellings are a matter of text files
 
 
-def read_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The four raw tables, lazily."""
+def read_raw(spark: SparkSession, folder: str, fmt: str = "csv", multi_line: bool = False) -> dict[str, DataFrame]:
+    """The four raw tables, lazily. Of a column that SCHEMAS names no type has to be guessed."""
     folder = folder.rstrip("/")
     return {
-        name: read_table(spark, f"{folder}/{name}.{fmt}", schema, fmt)
+        name: read_table(spark, f"{folder}/{name}.{fmt}", schema, fmt, multi_line)
         for name, schema in SCHEMAS.items()
     }
 
 
-def read_cleaned(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """The cleaned table with ``patient_id`` and a text ``site_id`` added."""
-    schema = f"{STAY} LONG, age STRING, gender STRING, ethnicity STRING, site_id STRING, {LABEL} INT"
+def read_cleaned(spark: SparkSession, path: str, fmt: str | None = None, features: str = "") -> DataFrame:
+    """The cleaned table with ``patient_id`` and a text ``site_id`` added.
+
+    ``features`` names the types of further columns ("heartrate_mean DOUBLE, ..."). Types of
+    text columns that neither names are found by one more scan.
+    """
+    schema = f"{STAY} LONG, age STRING, gender STRING, ethnicity STRING, site_id STRING, {LABEL} INT" + (f", {features}" if features else "")
     return with_identifiers(read_table(spark, path, schema, fmt))
 
 
