@@ -15,7 +15,7 @@ import time
 os.environ.setdefault("SPARK_LOCAL_HOSTNAME", "localhost")
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from cohortkit import build_session  # noqa: E402
+from cohortkit import build_session, scratch  # noqa: E402
 from queries import queries  # noqa: E402
 
 WARM_UP = 2
@@ -52,8 +52,9 @@ def main() -> None:
     for run in range(runs + WARM_UP):
         for name in names:
             start = time.perf_counter()
-            # Every row and column is computed; nothing is sent to the driver.
-            registered[name](spark, folder).write.format("noop").mode("overwrite").save()
+            with scratch(spark):
+                # Every row and column is computed; nothing is sent to the driver.
+                registered[name](spark, folder).write.format("noop").mode("overwrite").save()
             if run >= WARM_UP:
                 taken[name].append(time.perf_counter() - start)
     times = {name: round(statistics.median(ts), 3) for name, ts in taken.items()}

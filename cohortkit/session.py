@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +19,15 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 SINGLE_TASK_ROWS = 1_000_000
 
 
+@dataclass
+class _Job:
+    folder: str
+    kept: list[DataFrame] = field(default_factory=list)
+
+
+_JOB: ContextVar[_Job | None] = ContextVar("cohortkit_job", default=None)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **conf) -> SparkSession:
     """A session with the settings this package is tuned for."""
     builder = SparkSession.builder.appName("cohortkit")
@@ -55,18 +68,43 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A job whose intermediate tables go when it ends.
+
+    Tables that operators write inside are deleted on leaving, and cached aggregates freed,
+    so results must be written or collected inside. Jobs may be nested.
+    """
+    job = _Job(f"{shared_folder(spark)}/cohortkit-job-{uuid.uuid4().hex}")
+    outer = _JOB.set(job)
+    try:
+        yield job.folder
+    finally:
+        _JOB.reset(outer)
+        for df in job.kept:
+            df.unpersist()
+        path = spark._jvm.org.apache.hadoop.fs.Path(job.folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later passes scan only the columns they need, Spark knows the size on disk,
     and a lost executor costs a re-read instead of the whole lineage. A folder without
-    files, which the reader cannot see, is an error and not an empty table.
+    files, which the reader cannot see, is an error and not an empty table. Inside
+    ``scratch`` the table goes when the job ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/cohortkit-{uuid.uuid4().hex}"
+    job = _JOB.get()
+    path = f"{job.folder if job else shared_folder(df.sparkSession)}/cohortkit-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def keep(df: DataFrame) -> DataFrame:
     """Reuse a small aggregate in several actions; lost blocks are recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    job = _JOB.get()
+    if job:
+        job.kept.append(kept)
+    return kept

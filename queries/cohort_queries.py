@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortkit.constants import CODE_PREFIXES, LABEL, STAY
+from cohortkit.constants import CODE_PREFIXES, LABEL, RANGES_DEFAULT, STAY
 from cohortkit.functions.numeric import safe_divide
 from cohortkit.functions.text import code_matches, joined_key, text_matches
 from cohortkit.operators import cohort as C
@@ -90,6 +90,19 @@ def b_outlier_counts(spark, folder):
     return T.count_outliers(V.vital(spark, folder), V.RANGES)
 
 
+@query("b_default_limits", """
+WITH {vital}
+SELECT 'heartrate' AS "column", count(*) FILTER (heartrate < 20 OR heartrate > 220) AS n_outliers FROM vital
+UNION ALL SELECT 'respiration', count(*) FILTER (heartrate < 4 * 5 OR heartrate > 60 * 5) FROM vital
+UNION ALL SELECT 'systemicmean', count(*) FILTER (heartrate * 2 < 30 OR heartrate * 2 > 200) FROM vital
+UNION ALL SELECT 'sao2', count(*) FILTER (sao2 < 50 OR sao2 > 100) FROM vital""")
+def b_default_limits(spark, folder):
+    """The ranges of the package, on columns that cross them."""
+    rate = F.col("heartrate")
+    rows = V.vital(spark, folder).withColumns({"respiration": rate / 5, "systemicmean": rate * 2})
+    return T.count_outliers(rows, RANGES_DEFAULT)
+
+
 @query("b_binary_label", f"""
 WITH {{patient}}
 SELECT patientunitstayid, {LABEL_SQL} AS mortality FROM patient""")

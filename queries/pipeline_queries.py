@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from cohortkit.constants import STAY
+from cohortkit.functions.names import col
 from cohortkit.operators import quality as Q
-from cohortkit.plans import clean, run_protocol
+from cohortkit.plans import clean, health, run_protocol
 from cohortkit.sources.readers import with_identifiers
 from queries import views as V
 from queries.cohort_queries import HITS, IN_COHORT, LABEL_SQL
@@ -104,3 +109,63 @@ def flagship_health(spark, folder):
     cleaned = cleaned_table(spark, folder)
     gaps = Q.missing_counts(cleaned).select("column", "n_missing")
     return rounded(Q.target_correlations(cleaned, "mortality").join(gaps, "column"))
+
+
+CORRELATED = (STAY, "site_id", *NUMBERS)
+EVERY_COLUMN = (STAY, "age", "gender", "ethnicity", "site_id", "mortality", *NUMBERS)
+N_COLUMNS, N_TEXT = len(EVERY_COLUMN) + 1, 3
+
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("flagship_health_report", f"""
+WITH {CLEANED},
+judged AS (SELECT *, coalesce(heartrate_mean, 0) + mortality AS final_rate FROM cleaned),
+r AS ({_union(f"SELECT '{c}' AS name, corr({c}, mortality) AS value FROM judged" for c in (*CORRELATED, "final_rate"))}),
+gaps AS ({_union(f"SELECT '{c}' AS name, count(*) - count({c}) AS n FROM judged" for c in EVERY_COLUMN)}),
+copies AS (SELECT count(*) - count(DISTINCT patientunitstayid) AS n FROM judged),
+found AS (
+SELECT 'overview' AS report, 'n_rows' AS name, CAST(count(*) AS DOUBLE) AS value FROM judged
+UNION ALL SELECT 'overview', 'n_columns', {N_COLUMNS}
+UNION ALL SELECT 'overview', 'n_numeric', {N_COLUMNS - N_TEXT}
+UNION ALL SELECT 'overview', 'n_categorical', {N_TEXT}
+UNION ALL SELECT 'id_column', 'patientunitstayid', NULL
+UNION ALL SELECT 'structure', CASE WHEN count(*) / CAST(count(DISTINCT patientunitstayid) AS DOUBLE) <= 1.1
+  THEN 'STATIC' ELSE 'DYNAMIC' END, count(DISTINCT patientunitstayid) FROM judged
+UNION ALL SELECT 'suspicious', 'final_rate', NULL
+UNION ALL SELECT 'high', name, value FROM r WHERE abs(value) > 0.9
+UNION ALL SELECT 'issues', 'total', 1 + (SELECT count(*) FROM r WHERE abs(value) > 0.9) + (n > 0)::INT FROM copies
+UNION ALL (SELECT 'top', name, value FROM r WHERE value IS NOT NULL ORDER BY abs(value) DESC, name LIMIT 5)
+UNION ALL SELECT 'duplicates', 'n_duplicates', n FROM copies
+UNION ALL SELECT 'target', CAST(mortality AS VARCHAR), count(*) FROM judged GROUP BY mortality
+UNION ALL (SELECT 'missing', name, n FROM gaps WHERE n > 0 ORDER BY n DESC, name LIMIT 5)
+UNION ALL {_union(f"SELECT 'levels', '{c}', count(DISTINCT {c}) FROM judged" for c in CATEGORIES if c != "site_id")})
+SELECT report, name, {r("value", "value")} FROM found""")
+def flagship_health_report(spark, folder):
+    """The whole quality job over the cleaned table and a column with a telling name."""
+    rate = F.coalesce("heartrate_mean", F.lit(0)) + F.col("mortality")
+    report = health(cleaned_table(spark, folder).withColumn("final_rate", rate), "mortality")
+
+    def part(name, df, label, value):
+        return df.select(F.lit(name).alias("report"), label.cast("string").alias("name"), value.cast("double").alias("value"))
+
+    def listed(name, *rows):
+        return spark.createDataFrame([(name, *x) for x in rows], "report STRING, name STRING, value DOUBLE")
+
+    overview = report["overview"].unpivot([], ["n_rows", "n_columns", "n_numeric", "n_categorical"], "name", "value")
+    parts = [
+        part("overview", overview, col("name"), col("value")),
+        listed("id_column", (report["id_column"], None)),
+        part("structure", report["structure"], col("data_type"), col("unique_ids")),
+        listed("suspicious", *[(c, None) for c, _ in report["suspicious_names"]]),
+        part("high", report["high_correlations"], col("column"), col("r")),
+        listed("issues", ("total", float(report["n_issues"]))),
+        part("top", report["top_correlations"], col("column"), col("r")),
+        part("duplicates", report["duplicates"], F.lit("n_duplicates"), col("n_duplicates")),
+        part("target", report["target"], col("value"), col("n_rows")),
+        part("missing", report["missing"], col("column"), col("n_missing")),
+        part("levels", report["cardinality"].where("kind = 'categorical'"), col("column"), col("n_levels")),
+    ]
+    return rounded(reduce(lambda a, b: a.unionByName(b), parts))

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from cohortkit.constants import STAY
+from cohortkit.operators import cohort as C
 from cohortkit.operators import columns as K
 from cohortkit.operators import evaluate as E
 from cohortkit.session import shared_folder
@@ -16,12 +17,15 @@ from cohortkit.sources import (
     feature_catalog,
     manifest,
     metrics_summary,
+    read_cleaned,
+    read_raw,
     read_table,
     write_membership, write_packs,
     write_predictions,
     write_table,
 )
 from queries import views as V
+from queries.cohort_queries import LABEL_SQL
 from queries.entities import ASSIGNED, PEOPLE, STAYS, assigned, stays
 from queries.quality_queries import fingerprint_sql
 from queries.registry import query, r, rounded
@@ -61,6 +65,43 @@ def a_csv_read(spark, folder):
     return rounded(read_table(spark, path, schema, "csv"))
 
 
+RAW_PRESENT = {"patient": "gender", "diagnosis": "icd9code", "vitalPeriodic": "heartrate", "lab": "labresult"}
+
+
+@query("a_read_raw", "WITH {patient}, {diagnosis}, {vital}, {lab}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT patientunitstayid) AS n_entities, "
+    f"count({c}) AS n_present FROM {'vital' if t == 'vitalPeriodic' else t}"
+    for t, c in RAW_PRESENT.items()
+))
+def a_read_raw(spark, folder):
+    """The four tables as a folder of text files."""
+    path = fresh_path(spark)
+    for name in RAW_PRESENT:
+        view = V.vital if name == "vitalPeriodic" else getattr(V, name)
+        write_table(view(spark, folder), f"{path}/{name}.csv", "csv")
+    profiles = [
+        raw.agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct(STAY).alias("n_entities"), F.count(RAW_PRESENT[name]).alias("n_present"),
+        )
+        for name, raw in read_raw(spark, path).items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), profiles)
+
+
+@query("a_read_cleaned", f"""
+WITH {{patient}}
+SELECT patientunitstayid, CAST(patientunitstayid AS VARCHAR) AS patient_id, age, gender, ethnicity,
+  CAST(hospitalid AS VARCHAR) AS site_id, {r("admissionweight", "admissionweight")}, {LABEL_SQL} AS mortality
+FROM patient""")
+def a_read_cleaned(spark, folder):
+    """A cleaned table as a text file, its features' types given."""
+    path = fresh_path(spark)
+    cohort = C.labelled_cohort(C.rename_site(V.patient(spark, folder)))
+    write_table(C.static_columns(cohort), path, "csv")
+    return rounded(read_cleaned(spark, path, "csv", features="admissionweight DOUBLE"))
+
+
 @query("a_membership_written", f"""
 WITH {ASSIGNED}
 SELECT 'patient_stratified' AS protocol, split, patient_id FROM assigned""")

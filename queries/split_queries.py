@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cohortkit.constants import STAY
 from cohortkit.operators import splits as S
-from cohortkit.session import materialize
+from cohortkit.plans import run_protocol
+from cohortkit.session import materialize, shared_folder
 from queries.entities import ASSIGNED, PEOPLE, assigned, draw_sql, people, quota_sql
 from queries.registry import query, r, rounded
 
@@ -152,3 +155,29 @@ WITH {ASSIGNED}
 SELECT patient_id, split FROM assigned""")
 def g_split_membership(spark, folder):
     return assigned(spark, folder).select("patient_id", "split")
+
+
+def _packs(spark, rows, protocol, **options):
+    path = f"{shared_folder(spark)}/cohortkit-{uuid.uuid4().hex}"
+    run_protocol(materialize(rows), protocol, path=path, **options)
+    packs = spark.read.parquet(f"{path}/packs")
+    members = spark.read.parquet(f"{path}/splits").withColumnRenamed("split", "member_of")
+    joined = packs.join(members, ["protocol", "patient_id"])
+    return joined.select("protocol", "patient_id", "mortality", "split", "member_of")
+
+
+@query("g_packs_site", f"""
+WITH {BY_SITE}
+SELECT 'site_holdout' AS protocol, patient_id, mortality, split, split AS member_of FROM drawn""")
+def g_packs_site(spark, folder):
+    """Packs and membership of the site protocol, read back."""
+    return _packs(spark, people(spark, folder), "site", exclude=["uniquepid"])
+
+
+@query("g_packs_temporal", TEMPORAL.replace(
+    "SELECT patient_id, uniquepid, split FROM people",
+    "SELECT 'temporal' AS protocol, patient_id, mortality, split, split AS member_of FROM people"))
+def g_packs_temporal(spark, folder):
+    """Packs and membership of the temporal protocol, read back."""
+    options = {"group_cols": ["uniquepid"], "order_key": STAY}
+    return _packs(spark, people(spark, folder), "temporal", split_options=options)

@@ -45,6 +45,24 @@ def k_label_encode_safe(spark, folder):
     return D.encode_labels(rows, dictionary, CATEGORIES).select(*IDS, *CATEGORIES)
 
 
+@query("k_label_unseen", f"""
+WITH {ASSIGNED},
+levelled AS (SELECT patient_id, split, age || '|' || site_id || '|' || gender AS level FROM assigned),
+dict_level AS (SELECT v, CAST(row_number() OVER (ORDER BY encode(v)) - 1 AS INTEGER) AS i
+  FROM (SELECT DISTINCT coalesce(level, 'Unknown') AS v FROM levelled WHERE split = 'train'))
+SELECT patient_id, split, coalesce(i, 0) AS level, i IS NULL AS unseen
+FROM levelled LEFT JOIN dict_level ON v = coalesce(level, 'Unknown')""")
+def k_label_unseen(spark, folder):
+    """Many levels, of which many are not in the training rows."""
+    level = F.concat("age", F.lit("|"), "site_id", F.lit("|"), "gender")
+    rows = assigned(spark, folder).withColumn("level", level)
+    dictionary = D.fit_label_dictionary(train_of(rows), ["level"])
+    known = train_of(rows).select(F.coalesce("level", F.lit("Unknown")).alias("known")).distinct()
+    seen = rows.join(known, F.coalesce("level", F.lit("Unknown")) == F.col("known"), "left")
+    encoded = D.encode_labels(seen, dictionary, ["level"])
+    return encoded.select(*IDS, "level", F.col("known").isNull().alias("unseen"))
+
+
 @query("k_label_encode", f"""
 WITH {ASSIGNED}, {index_ctes(["gender", "site_id"], "nan")}
 SELECT patient_id, split, {index_columns(["gender", "site_id"])}

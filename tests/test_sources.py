@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from cohortkit import sources as IO
 from cohortkit.operators.fingerprint import table_fingerprint
-from cohortkit.session import shared_folder
+from cohortkit.session import scratch, shared_folder
+from queries import queries
 
 
 def folders(path):
@@ -150,3 +151,30 @@ def test_metrics_summary(spark):
 
 def test_shared_folder_is_the_sessions(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = str(tmp_path / "d.csv")
+    with open(path, "w") as f:
+        f.write('patientunitstayid,diagnosisstring\n1,"acute\nstroke"\n2,"said ""no"""\n')
+    schema = "patientunitstayid LONG, diagnosisstring STRING"
+    rows = IO.read_table(spark, path, schema, "csv", multi_line=True).orderBy("patientunitstayid").collect()
+    assert [tuple(r) for r in rows] == [(1, "acute\nstroke"), (2, 'said "no"')]
+
+
+def test_features_of_given_type(spark, tmp_path):
+    path = str(tmp_path / "c.csv")
+    with open(path, "w") as f:
+        f.write("patientunitstayid,mortality,w,note\n1,0,1.5,007\n2,1,,x\n")
+    df = IO.read_cleaned(spark, path, "csv", features="w DOUBLE, note STRING")
+    assert dict(df.dtypes)["w"] == "double" and sorted(r["note"] for r in df.collect()) == ["007", "x"]
+
+
+def test_scratch_leaves_nothing(spark, small):
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    with scratch(spark):
+        assert queries()["flagship_train_ready"](spark, small).count() > 0
+        with scratch(spark):
+            queries()["flagship_health"](spark, small).collect()
+    assert set(os.listdir(folder)) == before

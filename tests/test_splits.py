@@ -180,3 +180,9 @@ def test_statistics(spark):
     stats = {r["split"]: r for r in S.split_statistics(S.split_by_entity(people(spark)), site_col="site_id").collect()}
     assert stats["test"]["n_rows"] == 80 and stats["test"]["label_mean"] == pytest.approx(0.2)
     assert stats["train"]["share"] == pytest.approx(279 / 400) and stats["train"]["n_sites"] == 7
+
+
+def test_missing_row_key_is_named(spark):
+    rows = people(spark).withColumn("patient_id", F.when(F.col("patientunitstayid") != 3, F.col("patient_id")))
+    with pytest.raises(ValueError, match="1 members have no key"):
+        S.split_by_site(rows)
