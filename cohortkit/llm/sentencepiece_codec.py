@@ -164,12 +164,12 @@ class Codec:
 
     If no piece reaches over a metaspace marker, the ids of a text are those of its words
     one after the other; then only words not seen lately are encoded. Batches are spread
-    over ``threads`` threads (the library works without Python's lock). Every
-    ``verify_one_in``-th whole text (chosen by its crc32; 1: all, 0: none) is also encoded
-    by sentencepiece and compared.
+    over ``threads`` threads (the library works without Python's lock). Every whole text is
+    also encoded by sentencepiece and compared; with ``verify_one_in`` above 1 only every
+    so many-th (chosen by its crc32), with 0 none.
     """
 
-    def __init__(self, model_bytes: bytes, verify_one_in: int = 8, threads: int = 1):
+    def __init__(self, model_bytes: bytes, verify_one_in: int = 1, threads: int = 1):
         # The library's own thread pool costs twice the CPU time on small batches.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
@@ -199,9 +199,9 @@ class Codec:
             text = text.replace(" ", MARK)
         return MARK + text if self.model.add_dummy_prefix else text
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
-        """(ids as little-endian 32-bit numbers, whether both libraries gave the same ids
-        where they were compared)."""
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool | None]]:
+        """(ids as little-endian 32-bit numbers, whether both libraries gave the same ids;
+        None where they were not compared)."""
         encode = lambda some: self.fast.encode_batch_fast(some, add_special_tokens=False)
         if self.by_word:
             split = [_WORDS(self._normal(t)) for t in texts]
@@ -212,13 +212,13 @@ class Codec:
             ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
         else:
             ids = [array("i", e.ids).tobytes() for e in self._spread(encode, texts)]
-        same = [True] * len(texts)
+        same: list[bool | None] = [None] * len(texts)
         if self.verify_one_in:
-            asked = [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % self.verify_one_in == 0]
+            n = self.verify_one_in
+            asked = [i for i, t in enumerate(texts) if n == 1 or zlib.crc32(t.encode()) % n == 0]
             for i, want in zip(asked, self.reference.encode([texts[i] for i in asked], num_threads=1)):
                 want = array("i", want).tobytes()
-                if ids[i] != want:
-                    ids[i], same[i] = want, False
+                same[i], ids[i] = ids[i] == want, want
         return ids, same
 
     def decode(self, ids: list[bytes]) -> list[str]:
@@ -236,14 +236,14 @@ def _parts(batch):
 
 
 def encode_documents(
-    docs: DataFrame, model_bytes: bytes, verify_one_in: int = 8, threads: int | None = None, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, model_bytes: bytes, verify_one_in: int = 1, threads: int | None = None, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per input row: doc_id, token_ids, n_tokens, n_byte_tokens, ids_sha256 (of the
     ids as little-endian 32-bit numbers), same_as_reference, decoded_sha256, round_trip.
 
     Whole texts are encoded in multithreaded batches and decoded again. same_as_reference
-    tells whether sentencepiece gave the same ids where it was asked (see Codec; if not,
-    its ids are the ones returned); round_trip whether decoding returned the text, which
+    tells whether sentencepiece gave the same ids for the whole text (if not, its ids are the
+    ones returned; NULL if ``verify_one_in`` left the text out, see Codec); round_trip whether decoding returned the text, which
     byte fallback makes true unless the model changes characters or the text holds the
     marker itself. A NULL text has the ids of the empty text, none; an empty table gives
     no rows and repeated rows come back repeated.
@@ -272,7 +272,7 @@ def encode_documents(
                     pa.array(lengths),
                     pa.array(by_bytes[ends] - by_bytes[ends - lengths]),
                     pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                    pa.array(same),
+                    pa.array(same, pa.bool_()),
                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded]),
                     pa.array([a == b for a, b in zip(decoded, some)]),
                 ], ["doc_id", "token_ids", "n_tokens", "n_byte_tokens", "ids_sha256", "same_as_reference",

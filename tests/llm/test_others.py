@@ -61,6 +61,24 @@ def test_unigram_models_are_rebuilt():
     assert codec.decode([np.array(x, "<i4").tobytes() for x in ids]) == [reference.decode(x) for x in ids]
 
 
+def test_every_text_is_compared():
+    """sentencepiece cuts user-defined pieces out first, the rebuilt merges do not: all texts get its ids."""
+    pieces = [("<unk>", 0.0, 2), ("▁", -4.0, 1), ("a", -3.0, 1), ("b", -3.0, 1), ("ab", -1.0, 1), ("ba", -9.0, 4)]
+    data = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in pieces)
+    data += field(2, field(3, 2)) + field(3, field(3, 1) + field(4, 0) + field(5, 1))
+    reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = ["ab" * i + "aba" for i in range(60)] + ["a", ""]
+    want = [reference.encode(t) for t in texts]
+    plain, unknown = sentencepiece_codec.Codec(data, verify_one_in=0).encode(texts)
+    plain = [np.frombuffer(x, "<i4").tolist() for x in plain]
+    assert unknown == [None] * len(texts) and sum(p != w for p, w in zip(plain, want)) >= 50
+    ids, same = sentencepiece_codec.Codec(data).encode(texts)
+    assert [np.frombuffer(x, "<i4").tolist() for x in ids] == want
+    assert same == [p == w for p, w in zip(plain, want)]
+    some = sentencepiece_codec.Codec(data, verify_one_in=8).encode(texts)[1]
+    assert None in some and all(s in (None, t) for s, t in zip(some, same))
+
+
 WEIGHTS = {("web",): 3, ("books",): 1, ("web", "en"): 2, ("web", "fr"): 1, ("off",): 0}
 
 
