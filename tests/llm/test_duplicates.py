@@ -5,8 +5,12 @@ import random
 import string
 
 import numpy as np
+import pandas as pd
 import xxhash
+import zstandard
+from pyspark.sql import functions as F
 
+from cohortkit.llm import repeats
 from cohortkit.llm.components import connected_components
 from cohortkit.llm.digest_index import DigestIndex
 from cohortkit.llm.repeats import order_by_prefix, prefix_classes, remove_repeats
@@ -212,6 +216,33 @@ def test_repeats(spark, docs_of):
     assert remove_repeats(docs_of([])).count() == 0
 
 
+def test_a_block_gets_each_piece_of_a_group_once():
+    """Every byte of a ruler line is an occurrence of its own; the block's table does not grow with them."""
+    group = pd.DataFrame({"g": 0, "doc_id": [1, 2, 3], "text": ["-" * 20_000, "ab" * 10_000, "-" * 30_000 + "ab" * 50], "copies": 1})
+    shared = repeats._shared_anchors(repeats._anchor_blobs(1)(group))
+    sent = repeats._pieces(1)(group, shared)
+    unpack = zstandard.ZstdDecompressor().decompress
+    raw = [unpack(x) if x[:4] == zstandard.FRAME_HEADER else x for c in sent for x in sent[c] if isinstance(x, bytes)]
+    assert len(sent) == 1 and 0 < sum(map(len, raw)) < 5000
+
+
+def test_large_ids_are_split(spark, docs_of):
+    """Rows without an id, an id on a third of the rows and an equal row many times meet in no one group."""
+    r = random.Random(5)
+    base = "".join(r.choice("abcd ") for _ in range(4000))
+    part = lambda: base[(s := r.randrange(3800)):s + 200]
+    same = part()
+    texts = [part() for _ in range(180)] + [same] * 40 + ["-" * 120, "-" * 90]
+    ids = [(None, 7, i)[i % 3] for i in range(180)] + [7] * 40 + [6, 1000]
+    docs = docs_of(texts, ids=ids)
+    dealt, n_groups = repeats._dealt(docs.select("doc_id", "text"), 2000)
+    sizes = dealt.groupBy("g").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert max(x["n"] for x in sizes) < 6000 and n_groups == -(-sum(len(t) for t, i in zip(texts, ids) if i is not None) // 2000)
+    assert dealt.where("doc_id IS NULL").isEmpty() and dealt.where("doc_id = 7").agg(F.sum("copies")).first()[0] == 100
+    got = remove_repeats(docs, 2000).collect()
+    assert sorted((tuple(x) for x in got), key=str) == cut(list(zip(ids, texts)))
+
+
 def test_repeats_returns_texts(spark, docs_of):
     shared = "The same passage of well over fifty bytes stands in two documents."
     got = {x["doc_id"]: bytes(x["kept_text"]) for x in remove_repeats(
