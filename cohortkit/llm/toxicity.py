@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortkit.llm.common import rows_of
+from cohortkit.session import materialize
 
 ORDERS = (3, 4, 5)
 FEATURE_BITS = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-# Bounds of the training sample: rows of each class, and characters of one text.
+# Bound of the training sample: rows of each class.
 ROWS_PER_CLASS = 1500
-SAMPLE_CHARS = 20_000
 KEEP_FEATURES = 20_000
 _CHUNK = 1 << 20
 
@@ -58,37 +58,35 @@ def features(text: str | None) -> np.ndarray:
     return np.flatnonzero(held).astype(np.int32)
 
 
-def fit(texts: list[str], labels: np.ndarray, rounds: int = 60, l2: float = 1e-2, alpha: float = 1.0) -> Weights:
-    """Log-count ratios, then logistic regression by full-batch Adam, in numpy."""
-    labels = np.asarray(labels, np.float64)
-    if not len(texts) or labels.min() == labels.max():
-        share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-3, 1 - 1e-3))
-        return Weights(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
-    held = [features(t) for t in texts]
-    sizes = np.array([len(h) for h in held])
-    ids = np.concatenate(held)
-    document = np.repeat(np.arange(len(texts)), sizes)
-    size = 1 << FEATURE_BITS
-    toxic = alpha + np.bincount(ids, labels[document], size)
-    other = alpha + np.bincount(ids, 1 - labels[document], size)
+def _constant(labels: np.ndarray) -> Weights:
+    """Every text scores the share of toxic rows."""
+    share = float(np.clip(labels.mean() if len(labels) else 0.0, 1e-3, 1 - 1e-3))
+    return Weights(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
+
+
+def _kept_ratios(toxic: np.ndarray, other: np.ndarray, labels: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """(kept feature ids, their log-count ratios) from the texts of each class that hold a feature."""
+    toxic, other = alpha + toxic, alpha + other
     ratio = np.log((toxic / toxic.sum()) / (other / other.sum()))
     ratio -= np.log(((labels.sum() + alpha) / toxic.sum()) / (((1 - labels).sum() + alpha) / other.sum()))
     # An n-gram of fewer than three texts, or one that tells little, is left out.
     keep = np.flatnonzero((toxic + other >= 3 + 2 * alpha))
     keep = keep[np.argsort(-np.abs(ratio[keep]) * np.sqrt((toxic + other)[keep]), kind="stable")[:KEEP_FEATURES]]
     keep.sort()
-    place = np.full(size, -1, np.int64)
-    place[keep] = np.arange(len(keep))
-    used = place[ids] >= 0
-    column, document = place[ids[used]], document[used]
-    scale = ratio[keep]
+    return keep, ratio[keep]
+
+
+def _regress(
+    keep: np.ndarray, scale: np.ndarray, column: np.ndarray, document: np.ndarray, labels: np.ndarray, rounds: int, l2: float,
+) -> Weights:
+    """Logistic regression by full-batch Adam; text ``document[i]`` holds feature ``keep[column[i]]``."""
     x = scale[column]
     w, bias = np.ones(len(keep)) * 0.1, 0.0
     m, v = np.zeros(len(keep) + 1), np.zeros(len(keep) + 1)
     balance = np.where(labels > 0, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     for step in range(1, rounds + 1):
-        score = bias + np.bincount(document, x * w[column], len(texts))
-        error = balance * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels) / len(texts)
+        score = bias + np.bincount(document, x * w[column], len(labels))
+        error = balance * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels) / len(labels)
         gradient = np.append(np.bincount(column, x * error[document], len(keep)) + l2 * w / len(keep), error.sum())
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -96,35 +94,91 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 60, l2: float = 1e-2
     return Weights(keep.astype(np.int64), w * scale, float(bias))
 
 
+def fit(texts: list[str], labels: np.ndarray, rounds: int = 60, l2: float = 1e-2, alpha: float = 1.0) -> Weights:
+    """Log-count ratios, then logistic regression, in numpy."""
+    labels = np.asarray(labels, np.float64)
+    if not len(texts) or labels.min() == labels.max():
+        return _constant(labels)
+    held = [features(t) for t in texts]
+    ids = np.concatenate(held)
+    document = np.repeat(np.arange(len(texts)), [len(h) for h in held])
+    size = 1 << FEATURE_BITS
+    keep, scale = _kept_ratios(
+        np.bincount(ids, labels[document], size), np.bincount(ids, 1 - labels[document], size), labels, alpha)
+    place = np.full(size, -1, np.int64)
+    place[keep] = np.arange(len(keep))
+    used = place[ids] >= 0
+    return _regress(keep, scale, place[ids[used]], document[used], labels, rounds, l2)
+
+
+def _feature_arrays(batches):
+    for batch in batches:
+        for i in range(len(batch)):
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"].slice(i, 1), batch["toxic"].slice(i, 1),
+                 pa.array([features(batch["text"][i].as_py())], pa.list_(pa.int32()))], ["doc_id", "toxic", "ids"])
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, train: Column | None = None, rows_per_class: int = ROWS_PER_CLASS,
-    id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rounds: int = 60, l2: float = 1e-2,
+    alpha: float = 1.0,
 ) -> Weights:
-    """Fits on a bounded sample: of each class the ``rows_per_class`` labelled rows (ids in
-    ``labels``, those that ``train`` allows) with the smallest id hashes, at most
-    SAMPLE_CHARS characters of each. NULL ids, labels and texts teach nothing; of rows with
-    one id the greatest text teaches; without both classes every text scores the share of
-    the one there is."""
+    """Fits, as ``fit`` does, on a bounded number of whole texts: of each class the
+    ``rows_per_class`` labelled rows (ids in ``labels``, those that ``train`` allows) with
+    the smallest id hashes. NULL ids, labels and texts teach nothing; of rows with one id
+    the greatest text teaches; without both classes every text scores the share of the one
+    there is.
+
+    Tasks find the features of the texts and count them by class; the driver gets the
+    counts (FEATURE_BITS bounds them) and of each text which of the KEEP_FEATURES kept
+    features it holds, so that no text reaches it, however long.
+    """
     marks = rows_of(labels, doc_id=id_col, toxic=label_col).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     if train is not None:
         marks = marks.where(train)
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marks = marks.withColumn("draw", F.xxhash64(F.lit("toxicity"), F.col("doc_id").cast("string")))
     chosen = None
     for value in (0, 1):
         some = marks.where(F.col("toxic") == value).orderBy("draw", "doc_id").limit(rows_per_class)
         chosen = some if chosen is None else chosen.union(some)
-    ids = [(r["doc_id"], int(r["toxic"])) for r in chosen.select("doc_id", "toxic").collect()]
-    of = dict(ids)
-    if not of:
-        return fit([], np.zeros(0))
-    wanted = docs.sparkSession.createDataFrame([(k,) for k in of], f"doc_id {marks.schema['doc_id'].dataType.simpleString()}")
-    rows = rows_of(docs, doc_id=id_col, text=text_col).where("text IS NOT NULL")
-    rows = rows.join(F.broadcast(wanted), "doc_id").select("doc_id", F.col("text").substr(1, SAMPLE_CHARS).alias("text"))
-    # An id may be repeated any number of times; one text of each reaches the driver.
-    texts = {r["doc_id"]: r["text"] for r in rows.groupBy("doc_id").agg(F.max("text").alias("text")).collect()}
-    order = sorted(texts, key=lambda k: (zlib.crc32(str(k).encode()), str(k)))
-    return fit([texts[k] for k in order], np.array([of[k] for k in order], np.float64))
+    marked = [(r["doc_id"], r["toxic"]) for r in chosen.select("doc_id", "toxic").collect()]
+    if not marked:
+        return _constant(np.zeros(0))
+    id_type = marks.schema["doc_id"].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame(marked, f"doc_id {id_type}, toxic int")
+    rows = rows_of(docs, doc_id=id_col, text=text_col).where("text IS NOT NULL").join(F.broadcast(wanted), "doc_id")
+    # An id may be repeated any number of times; one text of each teaches.
+    rows = rows.select(F.col("doc_id").cast(id_type).alias("doc_id"), "toxic", "text")
+    texts = rows.groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
+    held = materialize(texts.mapInArrow(_feature_arrays, f"doc_id {id_type}, toxic int, ids array<int>"))
+    of = {r["doc_id"]: r["toxic"] for r in held.select("doc_id", "toxic").collect()}
+    order = sorted(of, key=lambda k: (zlib.crc32(str(k).encode()), str(k)))
+    marks_of = np.array([of[k] for k in order], np.float64)
+    if not order or marks_of.min() == marks_of.max():
+        return _constant(marks_of)
+    counts = held.select("toxic", F.explode("ids").alias("id")).groupBy("id").agg(
+        F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).toArrow()
+    ids, ones, n = (counts[c].to_numpy() for c in ("id", "toxic", "n"))
+    toxic, other = np.zeros(1 << FEATURE_BITS), np.zeros(1 << FEATURE_BITS)
+    toxic[ids], other[ids] = ones, n - ones
+    keep, scale = _kept_ratios(toxic, other, marks_of, alpha)
+    shared = docs.sparkSession.sparkContext.broadcast(keep.astype(np.int32))
+
+    def columns(batches):
+        for batch in batches:
+            found = [np.flatnonzero(np.isin(shared.value, np.asarray(x.values), assume_unique=True)).astype(np.int32)
+                     for x in batch["ids"]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.list_(pa.int32()))], ["doc_id", "places"])
+
+    kept = held.select("doc_id", "ids").mapInArrow(columns, f"doc_id {id_type}, places array<int>").toArrow()
+    row_of = {k: i for i, k in enumerate(order)}
+    at = {row_of[k]: i for i, k in enumerate(kept["doc_id"].to_pylist())}
+    places = kept["places"].combine_chunks()
+    found = [np.asarray(places[at[i]].values) for i in range(len(order))]
+    document = np.repeat(np.arange(len(order), dtype=np.int32), [len(x) for x in found])
+    return _regress(keep, scale, np.concatenate(found), document, marks_of, rounds, l2)
 
 
 class Scorer:

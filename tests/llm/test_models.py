@@ -78,6 +78,18 @@ def test_toxicity_edges(spark, docs_of):
         assert all(0 <= r["score"] <= 1 for r in toxicity.score_toxicity(docs, toxicity.learn(docs, some)).collect())
 
 
+def test_whole_texts_teach(spark, docs_of):
+    """What is toxic may stand after any number of clean characters; all is as if fitted in one place."""
+    clean = "a kind word on a calm day. " * 1000
+    texts = [clean + f"{i} " + ("you vile rotten fool" if i % 2 else "you dear gentle friend") for i in range(24)]
+    docs = docs_of(texts)
+    weights = toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id bigint, toxic int"))
+    assert [r["predicted"] for r in toxicity.score_toxicity(docs, weights).orderBy("doc_id").collect()] == [0, 1] * 12
+    order = sorted(range(24), key=lambda i: (zlib.crc32(str(i).encode()), str(i)))
+    alone = toxicity.fit([texts[i] for i in order], np.array([i % 2 for i in order]))
+    assert weights.features.tolist() == alone.features.tolist() and np.allclose(weights.values, alone.values)
+
+
 def test_features_are_the_plain_ngrams():
     text = "Ünder, the IDIOT x" * 3
     data = toxicity._bytes(text)
