@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortkit.llm.common import rows_of
+from cohortkit.operators.running import running_totals
 from cohortkit.session import materialize
 
 PART_TURNS = 64
@@ -12,7 +13,10 @@ PART_TURNS = 64
 PART_ROWS = 1024
 SYSTEM = "system"
 START, END = "<|im_start|>", "<|im_end|>"
-_LOOSE_PARTS = 1024
+# The part of rows without a turn number, before that of any turn.
+_LOOSE_PART = -(1 << 63)
+# Different rows of over-full parts that one task may number.
+_RANGE_ROWS = 1 << 16
 
 
 def _content(text: Column) -> Column:
@@ -21,24 +25,29 @@ def _content(text: Column) -> Column:
 
 
 def _in_chunks(rows: DataFrame, part_rows: int) -> DataFrame:
-    """Adds ``chunk``: 0, or in a part of more than ``part_rows`` rows one of as many chunks
-    as keep each near that size, by hash of the row. Equal rows are counted first and dealt
-    out by ``part_rows`` copies, so that they do not all meet in one chunk."""
+    """Adds ``chunk``: 0, or in a part of more than ``part_rows`` rows the row's number in
+    the order of turn, speaker and content, divided by ``part_rows``. Equal rows are
+    counted first and numbered as one row, so that only different rows are ordered, by
+    ranges; a row whose copies reach over several chunks is dealt to each."""
     full = materialize(
         rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part_rows)
         .select(F.col("conv_id").alias("full_conv"), F.col("part").alias("full_part"),
-                F.ceil(F.col("n") / part_rows).cast("bigint").alias("chunks")))
+                F.monotonically_increasing_id().alias("full_no")))
     if full.isEmpty():
         return rows.withColumn("chunk", F.lit(0).cast("bigint"))
     same = F.col("conv_id").eqNullSafe(F.col("full_conv")) & (F.col("part") == F.col("full_part"))
     rows_ = rows.join(full, same, "left")
-    calm = rows_.where("chunks IS NULL").select(*rows.columns, F.lit(0).cast("bigint").alias("chunk"))
-    equal = rows_.where("chunks IS NOT NULL").groupBy(*rows.columns, "chunks").agg(F.count(F.lit(1)).alias("n"))
-    pieces = equal.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {int(part_rows)})")))
-    copies = F.least(F.lit(part_rows).cast("bigint"), F.col("n") - F.col("piece") * part_rows)
+    calm = rows_.where("full_no IS NULL").select(*rows.columns, F.lit(0).cast("bigint").alias("chunk"))
+    equal = materialize(rows_.where("full_no IS NOT NULL").groupBy(*rows.columns, "full_no").agg(F.count(F.lit(1)).alias("n")))
+    placed = running_totals(
+        equal.withColumn("place", F.struct("turn", "speaker", "content")), "place", {"upto": "n"}, within=["full_no"],
+        single_task_rows=_RANGE_ROWS)
+    size, begin = F.lit(part_rows).cast("bigint"), F.col("upto") - F.col("n")
+    pieces = placed.withColumn("chunk", F.explode(F.expr(
+        f"sequence((upto - n) div {int(part_rows)}, (upto - 1) div {int(part_rows)})")))
+    copies = F.least(F.col("upto"), (F.col("chunk") + 1) * size) - F.greatest(begin, F.col("chunk") * size)
     dealt = pieces.select(
-        *rows.columns, F.pmod(F.xxhash64("turn", "speaker", "content", "piece"), "chunks").alias("chunk"),
-        F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy")).drop("copy")
+        *rows.columns, "chunk", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("copy")).drop("copy")
     return calm.unionByName(dealt)
 
 
@@ -56,12 +65,13 @@ def render_perspectives(
     parts of ``part_turns`` turn numbers, so that no row or task holds a dialogue of any
     length; the parts in their order are the whole dialogue. Only where more than
     ``part_rows`` rows share a part (turn numbers that repeat, rows without a dialogue id)
-    are its rows dealt to several chunks, each in order of turns; elsewhere chunk is 0.
+    is it cut into chunks of ``part_rows`` rows, which in their order are the whole part;
+    elsewhere chunk is 0.
 
     Turns with equal numbers follow by speaker and text, repeated rows are all rendered.
     A NULL text is empty; a NULL speaker is a user without a name and has no perspective;
-    a NULL dialogue id is a dialogue of its own; rows without a turn number come in parts
-    below zero, dealt by hash. A dialogue without speakers, like an empty table, gives no
+    a NULL dialogue id is a dialogue of its own; rows without a turn number are a part before
+    all others, in the order of speaker and text. A dialogue without speakers, like an empty table, gives no
     rows. Marks of the template inside a text are defused; names keep letters, digits,
     _ and -.
 
@@ -69,7 +79,7 @@ def render_perspectives(
     of their dialogue in a join that adaptive execution splits at a long dialogue.
     """
     rows = rows_of(turns, conv_id=conv_col, turn=turn_col, speaker=speaker_col, text=text_col)
-    loose = -1 - F.pmod(F.xxhash64("speaker", "text"), F.lit(_LOOSE_PARTS))
+    loose = F.lit(_LOOSE_PART).cast("bigint")
     rows = rows.select(
         "conv_id", F.col("turn").cast("bigint").alias("turn"), "speaker", _content(F.col("text")).alias("content"),
         F.coalesce(F.floor(F.col("turn") / part_turns).cast("bigint"), loose).alias("part"))

@@ -213,3 +213,29 @@ def test_over_full_parts_come_in_chunks(spark):
     for r in got:
         spans = [tuple(map(int, s.split(":"))) for s in r["mask"].split(",") if s]
         assert len(spans) == r["n_own_turns"] and all(r["text"][a:b].endswith("<|im_end|>") for a, b in spans)
+
+
+def test_chunks_in_order_are_the_dialogue(spark, monkeypatch):
+    """Over-full parts, also of rows without a turn or a dialogue id, are cut in the order of the dialogue."""
+    r = random.Random(3)
+    rows = [(None, i % 5, "ab"[i % 2], f"t{i}") for i in range(200)] + [(7, 70, "a", "same")] * 60 + [(7, 70, "b", f"u{i}") for i in range(50)]
+    rows += [(7, 71, None, "x")] * 3 + [(8, None, "abc"[i % 3], f"loose {i}") for i in range(10)] + [(8, -1, "a", "early"), (8, 0, "b", "first")]
+    rows += [(9, None, "ab"[i % 2], f"v{i % 70}") for i in range(90)]
+    r.shuffle(rows)
+
+    def texts(part_rows):
+        got = perspectives.render_perspectives(chat(spark, rows), part_rows=part_rows).orderBy("part", "chunk").collect()
+        out = {}
+        for x in got:
+            out.setdefault((x["conv_id"], x["perspective"]), []).append(x)
+        return out
+
+    whole = texts(1000)
+    assert {k: len(v) for k, v in whole.items()} == {
+        (None, "a"): 1, (None, "b"): 1, (7, "a"): 1, (7, "b"): 1, (8, "a"): 3, (8, "b"): 3, (8, "c"): 3, (9, "a"): 1, (9, "b"): 1}
+    for range_rows in (1 << 16, 20):
+        monkeypatch.setattr(perspectives, "_RANGE_ROWS", range_rows)
+        cut = texts(25)
+        assert {k: "".join(x["text"] for x in v) for k, v in cut.items()} == {k: "".join(x["text"] for x in v) for k, v in whole.items()}
+        assert [x["n_turns"] for x in cut[7, "a"]] == [25, 25, 25, 25, 13] and [x["chunk"] for x in cut[7, "a"]] == [0, 1, 2, 3, 4]
+        assert [x["n_turns"] for x in cut[8, "c"]] == [10, 1, 1]
