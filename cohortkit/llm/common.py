@@ -23,6 +23,11 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+def first_row(row: str) -> Column:
+    """One of a group's rows (structs): the first by its JSON form. Merged before the shuffle."""
+    return F.min_by(row, F.to_json(row))
+
+
 def rows_of(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names.
 

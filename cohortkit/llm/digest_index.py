@@ -6,7 +6,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm.common import ascii_lower, rows_of
+from cohortkit.llm.common import ascii_lower, first_row, rows_of
 from cohortkit.operators.sizing import small_side
 from cohortkit.session import materialize
 
@@ -66,15 +66,25 @@ class DigestIndex:
         )
 
     def deduplicate(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """The rows of a batch, with all their columns, that ``add`` keeps.
+        """The rows of a batch, with all their columns, that ``add`` keeps; of several kept
+        rows with one digest and id (or none) one stays, the first by its JSON form.
 
         Rows that go are matched by digest and id: in a broadcast if they were counted to
-        be few, else in a join that a large group of copies cannot skew.
+        be few, else in a join that a large group of copies cannot skew. Rows that share
+        an id are reduced to one in each task before they move.
         """
-        gone = materialize(self.add(docs, id_col, text_col).where("NOT kept").select("doc_id", DIGEST))
+        found = self.add(docs, id_col, text_col)
+        gone = materialize(found.where("NOT kept").select("doc_id", DIGEST))
+        again = materialize(found.where("kept AND group_size > 1").groupBy("doc_id", DIGEST).count()
+                            .where("count > 1").select("doc_id", DIGEST))
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
         text = F.col(f"`{text_col}`")
         digest = F.sha2(ascii_lower(F.coalesce(text, F.lit(""))).cast("binary"), 256)
         held = docs.select(row, F.col(f"`{id_col}`").alias("own_id"), digest.alias("own_digest"))
         same = (F.col("own_digest") == F.col(DIGEST)) & F.col("own_id").eqNullSafe(F.col("doc_id"))
-        return held.join(small_side(gone), same, "left_anti").select("row.*")
+        stay = held.join(small_side(gone), same, "left_anti")
+        if again.isEmpty():
+            return stay.select("row.*")
+        again = small_side(again)
+        one = stay.join(again, same, "left_semi").groupBy("own_digest", "own_id").agg(first_row("row").alias("row"))
+        return stay.join(again, same, "left_anti").select("row.*").unionByName(one.select("row.*"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortkit.llm.common import rows_of
+from cohortkit.llm.common import first_row, rows_of
 from cohortkit.llm.components import connected_components
 from cohortkit.operators.sizing import small_side
 from cohortkit.session import materialize
@@ -269,6 +269,13 @@ def near_duplicates(
 
     Equal fingerprints are merged before any key is made, so exact copies cost one row.
     """
+    prints, decided = _components(docs, words, max_bits, id_col, text_col)
+    return prints.join(decided, "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of all rows, and (fp, root, component_id) of all fingerprints."""
     prints = materialize(fingerprints(docs, words, id_col, text_col))
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = connected_components(link_edges(nodes, max_bits))
@@ -276,19 +283,35 @@ def near_duplicates(
         nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    decided = materialize(labelled.join(smallest, "root").select("fp", "component_id"))
-    return prints.join(decided, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return prints, materialize(labelled.join(smallest, "root").select("fp", "root", "component_id"))
 
 
 def one_of_each_group(docs: DataFrame, words: int = 3, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose id is the smallest of their component.
+    """Of each component one row, with all its columns, whose id is the smallest; of
+    several rows with that id (or of rows without one) the first by its JSON form.
 
-    Ids that go are broadcast if they were counted to be few, else joined. A NULL id goes
-    only if every row with a NULL id goes.
+    Ids that go are broadcast if they were counted to be few, else joined. Only where an
+    id that stays is on several rows are their texts fingerprinted once more, to tell which
+    of them stand in its component; they are reduced to one in each task before they move.
     """
-    found = near_duplicates(docs, words, max_bits, id_col, text_col)
+    prints, decided = _components(docs, words, max_bits, id_col, text_col)
     own = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = materialize(found.groupBy("doc_id").agg(own.alias("kept")).where("NOT kept").select(F.col("doc_id").alias("gone_id")))
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("own_id"))
-    return held.join(small_side(gone), F.col("own_id").eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")
+    ids = prints.join(decided, "fp").groupBy("doc_id").agg(own.alias("kept"), F.count(F.lit(1)).alias("n"))
+    ids = materialize(ids.where("NOT kept OR n > 1").withColumnRenamed("doc_id", "found_id"))
+    text = F.col(f"`{text_col}`")
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("own_id"), text.alias("own_text"))
+    same = F.col("own_id").eqNullSafe(F.col("found_id"))
+    stay = held.join(small_side(ids.where("NOT kept").select("found_id")), same, "left_anti")
+    again = ids.where("kept").select("found_id")
+    if again.isEmpty():
+        return stay.select("row.*")
+    again = small_side(again)
+    several = stay.join(again, same, "left_semi").withColumn(
+        "own_digest", F.sha2(F.coalesce("own_text", F.lit("")).cast("binary"), 256))
+    texts = several.groupBy("own_digest").agg(F.min("own_text").alias("own_text"))
+    roots = fingerprints(texts, words, "own_digest", "own_text").join(decided, "fp").select(
+        F.col("doc_id").alias("own_digest"), "root", "component_id")
+    one = several.join(roots, "own_digest").where(F.col("own_id").eqNullSafe(F.col("component_id")))
+    one = one.groupBy("root").agg(first_row("row").alias("row"))
+    return stay.join(again, same, "left_anti").select("row.*").unionByName(one.select("row.*"))

@@ -177,6 +177,26 @@ def test_near_duplicates(spark, docs_of):
     assert one_of_each_group(docs).columns == docs.columns
 
 
+def test_copies_that_share_an_id_go(spark, docs_of, tmp_path):
+    """One row of each text (component) stays, also of repeated rows and of rows without an id."""
+    one, two, three = ("alpha beta gamma delta", "some other words that stand here", "nothing like the rest of them at all")
+    texts = [one, one, one.upper(), two, two, three, three, one, three]
+    docs = docs_of(texts, ids=[5, 5, 5, None, None, 8, 8, 2, None], sources=list("abcdefghi"))
+    index = DigestIndex(spark, str(tmp_path / "index"), 2)
+    for _ in range(2):
+        got = index.deduplicate(docs)
+        assert sorted((r["text"].lower(), r["doc_id"]) for r in got.collect()) == sorted([(one, 5), (two, None), (three, 8)])
+        assert got.columns == docs.columns
+    got = one_of_each_group(docs)
+    assert sorted((r["text"].lower(), r["doc_id"]) for r in got.collect()) == sorted([(one, 2), (two, None), (three, 8)])
+    assert got.columns == docs.columns
+    # Ids that stand in two components, and two components without any id.
+    docs = docs_of([one, one, two, two, three, three], ids=[5, 5, 5, 7, None, None])
+    got = one_of_each_group(docs).unionByName(one_of_each_group(docs_of([one, one, two], ids=[None, None, None])))
+    assert sorted(((r["text"], r["doc_id"]) for r in got.collect()), key=str) == sorted(
+        [(one, 5), (two, 5), (three, None), (one, None), (two, None)], key=str)
+
+
 def cut(docs):
     first = {}
     for i, t in docs:
