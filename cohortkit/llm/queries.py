@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cohortkit.llm import hamming_topk, language, mixing, perspectives, pii, repeats, sentencepiece_codec, simhash, toxicity
+from cohortkit.llm import (
+    hamming_topk, hard_negatives, language, lexical, mixing, perspectives, pii, repeats, sentencepiece_codec, simhash, toxicity, wrapper)
 from cohortkit.llm.common import id_remainder, table
 from cohortkit.llm.digest_index import DigestIndex
 from cohortkit.session import shared_folder
@@ -21,6 +22,7 @@ WEIGHTS = {
 MIXTURE = {"budget_share": 0.8, "max_epochs": 2, "seed": 17}
 QUERY_EVERY = 50
 NEIGHBOURS = 10
+ANCHOR_EVERY = 100
 
 
 def levels():
@@ -86,6 +88,20 @@ def op10_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark, folder):
+    label = F.expr("CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    rows = hard_negatives.quantised(table(spark, folder, "embeddings"), label=label)
+    return hard_negatives.hard_negatives(rows, F.col("id") % ANCHOR_EVERY == 0)
+
+
+def op12_lexical_search(spark, folder):
+    return lexical.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_main_text(spark, folder):
+    return wrapper.extract_text(table(spark, folder, "pages"))
+
+
 OP2_SQL = """
 WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 sections AS (
@@ -179,8 +195,39 @@ WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)"""
 
+OP11_SQL = f"""
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.vec, b.vec)::BIGINT AS score
+  FROM v a, v b WHERE a.id % {ANCHOR_EVERY} = 0 AND a.id <> b.id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10"""
+
+OP12_SQL = """
+WITH t AS (SELECT rowid AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)),
+d AS (SELECT r, doc_id, count(*) AS n FROM t GROUP BY r, doc_id),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM t GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term, docs),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term) JOIN d USING (r), c GROUP BY item_id, doc_id, r),
+n AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM n WHERE rank <= 50"""
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_repeats, op3_mixing, op4_topk, op5_perspectives, op6_language, op7_toxicity,
-    op8_exact_dedup, op9_pii, op10_simhash)}
+    op8_exact_dedup, op9_pii, op10_simhash, op11_hard_negatives, op12_lexical_search, op13_main_text)}
 SQL = {"op2_repeats": OP2_SQL, "op3_mixing": _mixing_sql(), "op4_topk": OP4_SQL, "op5_perspectives": OP5_SQL,
-       "op8_exact_dedup": OP8_SQL}
+       "op8_exact_dedup": OP8_SQL, "op11_hard_negatives": OP11_SQL, "op12_lexical_search": OP12_SQL}
