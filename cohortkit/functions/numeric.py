@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from cohortkit.functions.names import col
+
 FLOATS = (T.DoubleType, T.FloatType)
 NUMBERS = (T.NumericType,)
 
@@ -29,12 +31,25 @@ def null_for_nan(value: Column, dtype: T.DataType) -> Column:
     return F.nanvl(value, F.lit(None).cast(dtype)) if isinstance(dtype, FLOATS) else value
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """A column of a table in its own type; NaN is missing."""
+    return null_for_nan(col(name), df.schema[name].dataType)
+
+
 def present(value: Column) -> Column:
     """A number as DOUBLE; NaN is missing."""
     value = value.cast("double")
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
+def digamma(x: Column) -> Column:
+    """The logarithmic derivative of the gamma function for x >= 1, to about 1e-11."""
+    y = x + 6.0
+    square = 1.0 / (y * y)
+    tail = square * (1 / 12 - square * (1 / 120 - square * (1 / 252 - square * (1 / 240))))
+    return F.log(y) - 0.5 / y - tail - sum((1.0 / (x + float(i)) for i in range(1, 6)), 1.0 / x)
+
+
 def is_number(dtype: T.DataType) -> bool:
     return isinstance(dtype, NUMBERS)
 

@@ -17,7 +17,7 @@ from cohortkit.constants import (
 )
 from cohortkit.functions.names import col
 from cohortkit.functions.text import code_matches, died, text_matches
-from cohortkit.operators.sizing import measured_small
+from cohortkit.operators.keyfilter import within_keys
 from cohortkit.session import materialize
 
 
@@ -64,9 +64,9 @@ def select_cohort(patient: DataFrame, diagnosis: DataFrame, key: str = STAY, **o
 
 
 def restrict_to(df: DataFrame, keys: DataFrame, key: str = STAY) -> DataFrame:
-    """Rows whose key is in ``keys``: broadcast when small, else a shuffled semi join."""
-    side = materialize(keys.select(key).distinct())
-    return df.join(F.broadcast(side) if measured_small(side) else side, key, "left_semi")
+    """Rows whose key is in ``keys``: broadcast when small, else a shuffled semi join of the
+    rows that pass a bitmap of the keys."""
+    return within_keys(df, materialize(keys.select(key).distinct()), key)
 
 
 def add_label(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortkit.constants import IMBALANCE_RATIO, THRESHOLD_GRID
 from cohortkit.functions.names import col
+from cohortkit.functions.numeric import known, present
 from cohortkit.operators.running import running_totals
 from cohortkit.operators.sizing import small_side
 from cohortkit.session import keep, materialize
@@ -18,21 +19,34 @@ METRICS = ("youden", "f1", "balanced_accuracy")
 def merge_predictions(
     truth: DataFrame, scores: DataFrame, key: str = "patient_id", threshold: float = 0.5
 ) -> DataFrame:
-    """Truth and score of each key with the class at a threshold."""
-    joined = truth.select(col(key), "y_true").join(scores.select(col(key), "y_pred_proba"), key)
-    return joined.withColumn("y_pred_class", (F.col("y_pred_proba") >= threshold).cast("int"))
+    """Truth and score of each key with the class at a threshold (none for a missing score).
+
+    A key that a table has more than once is an error when the rows are computed. Counting
+    its rows takes no shuffle besides the join's own.
+    """
+    joined = _one_each(truth, key, "y_true").join(_one_each(scores, key, "y_pred_proba"), key)
+    return joined.withColumn("y_pred_class", (present(F.col("y_pred_proba")) >= threshold).cast("int"))
+
+
+def _one_each(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value) of every key; a repeated key fails by name."""
+    rows = df.where(col(key).isNotNull()).groupBy(col(key)).agg(
+        F.count(F.lit(1)).alias("__n"), F.any_value(col(value)).alias("__value"))
+    message = F.concat(F.lit(f"'{key}' repeats: "), col(key).cast("string"))
+    dtype = df.schema[value].dataType
+    return rows.select(
+        col(key), F.when(F.col("__n") == 1, F.col("__value")).otherwise(F.raise_error(message).cast(dtype)).alias(value))
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     """(class, n) of the present labels."""
-    return df.where(col(label).isNotNull()).groupBy(col(label).alias("class")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    label_ = known(df, label)
+    return df.where(label_.isNotNull()).groupBy(label_.alias("class")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_imbalance(df: DataFrame, label: str, threshold: float = IMBALANCE_RATIO) -> DataFrame:
     """(n_rows, n_minority, minority_ratio, imbalanced); the ratio is of all rows."""
-    groups = df.groupBy(col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(known(df, label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
     sizes = groups.agg(
         F.sum("n").alias("n_rows"),
         F.min(F.when(F.col("class").isNotNull(), F.col("n"))).alias("n_minority"),
@@ -63,16 +77,17 @@ def sample_weights(df: DataFrame, train: DataFrame, label: str, method: str = "b
     return df.join(small_side(weights), col(label) == F.col("__class")).drop("__class")
 
 
-def _positives(label: str, score: str) -> tuple[Column, list[Column]]:
-    positive = col(label) == 1
-    return col(score).isNotNull() & col(label).isNotNull(), [
+def _positives(df: DataFrame, label: str, score: str) -> tuple[Column, list[Column]]:
+    label_ = known(df, label)
+    positive = label_ == 1
+    return present(col(score)).isNotNull() & label_.isNotNull(), [
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"),
     ]
 
 
 def _merged_scores(df: DataFrame, label: str, score: str) -> DataFrame:
     """(threshold, pos, neg): one row per distinct score, written once."""
-    usable, totals = _positives(label, score)
+    usable, totals = _positives(df, label, score)
     by_score = df.where(usable).groupBy(col(score).cast("double").alias("threshold"))
     return materialize(by_score.agg(*totals))
 
@@ -130,7 +145,7 @@ def grid_points(
     guess = F.floor(p * (size - 1)).cast("int")
     inside_ = F.when(p >= at(guess + 1), guess + 1).when(p >= at(guess), guess).otherwise(guess - 1)
     slot = F.when(p < 0, -1).when(p >= 1, size - 1).otherwise(inside_)
-    usable, totals = _positives(label, score)
+    usable, totals = _positives(df, label, score)
     reached = keep(df.where(usable).select(slot.alias("slot"), label).groupBy("slot").agg(*totals))
     n_pos, n_neg = _class_sizes(reached)
     grid = df.sparkSession.range(size).select(F.col("id").cast("int").alias("slot"))
@@ -180,7 +195,7 @@ def classification_metrics(
     predictions: DataFrame, by: tuple[str, ...] = (), truth: str = "y_true", predicted: str = "y_pred_class"
 ) -> DataFrame:
     """Long metrics (…by, metric, value) of scored classes, for the summary table."""
-    yes, said = col(truth) == 1, col(predicted) == 1
+    yes, said = known(predictions, truth) == 1, known(predictions, predicted) == 1
     cells = predictions.groupBy(*by).agg(
         F.count_if(yes & said).cast("double").alias("tp"),
         F.count_if(~yes & said).cast("double").alias("fp"),

@@ -10,9 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortkit.constants import MINUTES_PER_HOUR, STAY, WINDOW_HOURS
 from cohortkit.functions.names import col
 from cohortkit.functions.numeric import inside, is_number, outside, present
+from cohortkit.operators.sizing import small_side
 from cohortkit.session import materialize
 
 WIDE_STATS = ("mean", "std", "slope")
+# The rows of a key with more are merged by draw before they are brought together.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
+BY_NAME = "__by_name"
 
 
 def in_window(df: DataFrame, offset: str, hours: int = WINDOW_HOURS) -> DataFrame:
@@ -125,6 +130,50 @@ def aggregate_long(
     )
 
 
+def statistics_by_key(
+    df: DataFrame,
+    key: str = STAY,
+    name: str = "labname",
+    value: str = "labresult",
+    time: str = "labresultoffset",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """(key, BY_NAME): the statistics of :func:`aggregate_long` as one map a key.
+
+    The rows are brought together by key once; draws, statistics and map are then made
+    where they are, and a join on the key needs no further shuffle of this side. Keys with
+    more than ``hot_rows`` rows are counted first; their rows are merged by draw before
+    they move, so that no task gets all rows of a key.
+    """
+    there = [col(c).isNotNull() for c in (key, name, time)]
+    rows = df.where(there[0] & there[1] & there[2] & present(col(value)).isNotNull()).select(
+        col(key), col(time).alias("__time"), col(name).alias("__name"), present(col(value)).alias("__sum"), F.lit(1).cast("long").alias("__n"))
+    hot = rows.groupBy(col(key)).agg(F.sum("__n").alias("__rows")).where(F.col("__rows") > hot_rows).select(col(key))
+    # At most one in hot_rows rows; usually there is none.
+    found = hot.limit(HOT_KEYS + 1).collect()
+    if found:
+        few = len(found) <= HOT_KEYS
+        side = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema)) if few else small_side(materialize(hot))
+        merged = rows.join(side, key, "left_semi").groupBy(col(key), "__time", "__name").agg(
+            F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"))
+        rows = rows.join(side, key, "left_anti").unionByName(merged)
+    draws = rows.repartition(col(key)).groupBy(col(key), "__time", "__name").agg(
+        (F.sum("__sum") / F.sum("__n")).alias("value"))
+    long = draws.groupBy(col(key), "__name").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    entry = F.struct("__name", F.struct("mean", "std"))
+    return long.groupBy(col(key)).agg(F.map_from_entries(F.collect_list(entry)).alias(BY_NAME))
+
+
+def spread_statistics(df: DataFrame, prefix: str = "lab_") -> DataFrame:
+    """The map of :func:`statistics_by_key` as columns ``{prefix}{name}_{mean,std}``, by name.
+
+    ``df`` is read twice: pass a written table.
+    """
+    names = attribute_names(df.select(F.explode(F.map_keys(BY_NAME)).alias("name")), "name")
+    others = [col(c) for c in df.columns if c != BY_NAME]
+    return df.select(*others, *[F.col(BY_NAME)[n][s].alias(f"{prefix}{n}_{s}") for n in names for s in ("mean", "std")])
+
+
 def attribute_names(long: DataFrame, name: str = "labname") -> list[str]:
     """Sorted distinct names. They become columns; data with too many names for that stays
     long (``aggregate_long``), or the caller gives ``pivot_statistics`` the names wanted."""

@@ -15,7 +15,7 @@ from cohortkit.constants import (
     TIME_WORDS,
 )
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import is_number, present
+from cohortkit.functions.numeric import is_number, known, present
 from cohortkit.operators.columns import level_counts, missing_counts, missing_rows, present_counts
 from cohortkit.operators.quantiles import exact_quantiles
 from cohortkit.operators.sizing import small_side
@@ -186,9 +186,8 @@ def duplicate_rows(df: DataFrame, wide: int = 16) -> DataFrame:
 def value_distribution(df: DataFrame, column: str) -> DataFrame:
     """(value, n_rows, percent) of the present values; percent of all rows."""
     total = df.agg(F.count(F.lit(1)).alias("total"))
-    counts = df.where(col(column).isNotNull()).groupBy(col(column).alias("value")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
+    value = known(df, column)
+    counts = df.where(value.isNotNull()).groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.withColumn("percent", F.col("n_rows") * 100.0 / total.scalar())
 
 

@@ -135,13 +135,12 @@ def _finish(df: DataFrame, searches: Sequence[_Search]) -> None:
     values = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
     counted = values.groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("value"))
-    wanted = df.sparkSession.createDataFrame(
-        [(g, s.rank - s.below) for g, group in enumerate(groups) for s in group],
-        "bracket INT, rank LONG",
-    ).distinct()
-    hits = counted.withColumn("upto", upto).join(F.broadcast(wanted), "bracket").where(
-        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
-    )
+    # The wanted ranks, a few of each bracket, are part of the plan.
+    wanted = F.create_map(*[
+        x for g, group in enumerate(groups)
+        for x in (F.lit(g), F.array(*[F.lit(r).cast("long") for r in sorted({s.rank - s.below for s in group})]))])
+    covered = F.filter(wanted[F.col("bracket")], lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")))
+    hits = counted.withColumn("upto", upto).select("bracket", "value", F.explode(covered).alias("rank"))
     found = {(r["bracket"], r["rank"]): r["value"] for r in hits.select("bracket", "rank", "value").collect()}
     for g, group in enumerate(groups):
         for s in group:
@@ -171,12 +170,16 @@ def order_statistics(
     return {(s.column, s.rank): s.answer for s in searches}
 
 
-def order_statistic(df: DataFrame, column: str, rank: int, count: int) -> int | float:
-    """The value of one rank, exact for LONG too: a DOUBLE does not hold all of them, so
-    their upper and lower 32 bits are searched one after the other."""
+def order_statistic(df: DataFrame, column: str, rank: int, count: int, ends: tuple | None = None) -> int | float:
+    """The value of one rank, exact for LONG too. A DOUBLE holds whole numbers of 53 bits: where
+    the smallest and the largest value (``ends``) are no further apart, distances from the
+    smallest are searched; else the upper and the lower 32 bits one after the other."""
     if not isinstance(df.schema[column].dataType, T.IntegralType):
         return order_statistics(df, {column: [rank]}, {column: count})[(column, rank)]
     value = col(column).cast("long")
+    if ends and ends[1] - ends[0] < 1 << 53:
+        apart = df.select((value - F.lit(ends[0])).cast("double").alias("apart"))
+        return ends[0] + int(order_statistics(apart, {"apart": [rank]}, {"apart": count})[("apart", rank)])
     halves = df.select(F.shiftright(value, 32).alias("high"), value.bitwiseAND(F.lit(0xFFFFFFFF)).alias("low"))
     high = int(order_statistics(halves, {"high": [rank]}, {"high": count})[("high", rank)])
     seen = halves.agg(F.count_if(F.col("high") < high).alias("below"), F.count_if(F.col("high") == high).alias("n")).first()

@@ -11,7 +11,7 @@ from cohortkit.session import SINGLE_TASK_ROWS, materialize
 
 def running_totals(
     df: DataFrame,
-    order_by: str,
+    order_by: str | Sequence[str],
     totals: dict[str, str],
     within: Sequence[str] = (),
     descending: bool = False,
@@ -20,20 +20,21 @@ def running_totals(
 ) -> DataFrame:
     """Add ``{new: running sum of old}`` along ``order_by`` inside each ``within`` group.
 
-    ``(within, order_by)`` must be unique; ``n_rows`` saves counting. A table counted to be small is done
+    ``(within, order_by)`` must be unique, but for rows that add nothing; ``n_rows`` saves counting. A table counted to be small is done
     with one window. A larger one is range partitioned and written, so that each
     row carries the number of its range; the sums of whole ranges (one row per
     range) are added to the running sums inside each range.
     """
-    order = F.desc(order_by) if descending else F.asc(order_by)
+    columns = [order_by] if isinstance(order_by, str) else order_by
+    order = [F.desc(c) if descending else F.asc(c) for c in columns]
     n_rows = df.count() if n_rows is None else n_rows
     if n_rows <= single_task_rows:
-        window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        window = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({new: F.sum(old).over(window) for new, old in totals.items()})
 
     keys = [F.asc(c) for c in within]
     n_ranges = -(-n_rows // single_task_rows)
-    ranged = df.repartitionByRange(n_ranges, *keys, order).withColumn("__range", F.spark_partition_id())
+    ranged = df.repartitionByRange(n_ranges, *keys, *order).withColumn("__range", F.spark_partition_id())
     ranged = materialize(ranged)
     per_range = ranged.groupBy("__range", *within).agg(
         *[F.sum(old).alias(f"__{new}") for new, old in totals.items()]
@@ -44,7 +45,7 @@ def running_totals(
         *within,
         *[F.coalesce(F.sum(f"__{new}").over(before), F.lit(0)).alias(f"__{new}") for new in totals],
     )
-    inner = Window.partitionBy("__range", *within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("__range", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # At most one row per range and group that meets in it.
     joined = ranged.join(F.broadcast(offsets) if not within else offsets, ["__range", *within])
     summed = joined.withColumns({

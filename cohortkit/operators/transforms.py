@@ -8,10 +8,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from cohortkit.constants import DEVIATION_EPSILON
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import inside, is_number, present
+from cohortkit.functions.numeric import digamma, inside, is_number, known, present
 from cohortkit.operators import dictionary as D
 from cohortkit.operators.quantiles import exact_quantiles
 
@@ -51,18 +52,20 @@ def moments(df: DataFrame, columns: Sequence[str]) -> dict[str, Moments]:
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str | float | None]:
-    """Most frequent present value of each column; a tie takes the smallest.
+    """Most frequent present value of each column; a tie takes the smallest. NaN is missing.
 
     Values are counted as (column, value) pairs spread over the cluster, so a
-    column with very many values does not meet in one task.
+    column with very many values does not meet in one task. Whole numbers are counted as
+    such, since a DOUBLE does not hold all of them.
     """
-    numbers = {f.name for f in df.schema.fields if is_number(f.dataType)}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    kinds = {c: "bigint" if isinstance(types[c], T.IntegralType) else "double" if is_number(types[c]) else "string" for c in columns}
     result: dict[str, str | float | None] = dict.fromkeys(columns)
-    for kind in ("double", "string"):
-        group = [c for c in columns if (c in numbers) == (kind == "double")]
+    for kind in ("bigint", "double", "string"):
+        group = [c for c in columns if kinds[c] == kind]
         if not group:
             continue
-        values = df.select(*[col(c).cast(kind).alias(f"c{i}") for i, c in enumerate(group)])
+        values = df.select(*[known(df, c).cast(kind).alias(f"c{i}") for i, c in enumerate(group)])
         counted = (
             values.unpivot([], values.columns, "slot", "value")
             .where(F.col("value").isNotNull())
@@ -100,8 +103,8 @@ def impute(df: DataFrame, fills: Mapping[str, float | str | None]) -> DataFrame:
 
     def filled(c: str, v) -> Column:
         if isinstance(v, str):
-            return F.coalesce(col(c).cast("string"), F.lit(v))
-        return F.coalesce(col(c).cast("double"), F.lit(v).cast("double"))
+            return F.coalesce(known(df, c).cast("string"), F.lit(v))
+        return F.coalesce(present(col(c)), F.lit(v).cast("double"))
 
     return df.withColumns({c: filled(c, v) for c, v in fills.items()}) if fills else df
 
@@ -161,9 +164,10 @@ def f_scores(train: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     One grouped pass gives count, mean and spread of each class; the rest works
     on (classes x features) rows.
     """
-    stats = train.where(col(label).isNotNull()).groupBy(col(label).alias("class")).agg(*[
+    label_ = known(train, label)
+    stats = train.where(label_.isNotNull()).groupBy(label_.alias("class")).agg(*[
         F.struct(F.count(x), F.avg(x), F.var_pop(x)).alias(f"s{i}")
-        for i, x in enumerate(col(c).cast("double") for c in columns)
+        for i, x in enumerate(present(col(c)) for c in columns)
     ])
     entries = [
         F.struct(F.lit(i).alias("place"), F.lit(c).alias("feature"), F.col(f"s{i}").alias("s"))
@@ -204,14 +208,15 @@ def mutual_information(
     cuts = exact_quantiles(train, columns, [i / bins for i in range(1, bins)])
     entries = []
     for i, c in enumerate(columns):
-        x = col(c).cast("double")
+        x = present(col(c))
         edges = sorted({v for v in cuts[c].values() if v is not None})
         part = sum((F.when(x > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
         entries.append(F.struct(
             F.lit(i).alias("place"), F.lit(c).alias("feature"), F.when(x.isNotNull(), part).alias("bin")
         ))
-    rows = train.where(col(label).isNotNull()).select(
-        col(label).alias("class"), F.inline(F.array(*entries))
+    label_ = known(train, label)
+    rows = train.where(label_.isNotNull()).select(
+        label_.alias("class"), F.inline(F.array(*entries))
     ).where(F.col("bin").isNotNull())
     cells = rows.groupBy("place", "feature", "bin", "class").agg(F.count(F.lit(1)).alias("n"))
     # From here on: features x bins x classes rows.
@@ -235,7 +240,7 @@ def select_best(scores: DataFrame, score: str, k: int | None) -> list[str]:
 def check_complete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Raise, naming the columns, when a value is missing."""
     columns = list(columns if columns is not None else df.columns)
-    row = df.agg(*[F.count_if(col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    row = df.agg(*[F.count_if(known(df, c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]).first()
     left = {c: row[f"c{i}"] for i, c in enumerate(columns) if row[f"c{i}"]}
     if left:
         raise ValueError(f"missing values remain: {left}")
@@ -247,7 +252,7 @@ def refuse_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def guarded(c: str) -> Column:
         message = F.lit(f"missing values remain in column {c}")
-        return F.coalesce(col(c), F.raise_error(message).cast(df.schema[c].dataType))
+        return F.coalesce(known(df, c), F.raise_error(message).cast(df.schema[c].dataType))
 
     return df.withColumns({c: guarded(c) for c in columns})
 
@@ -352,7 +357,7 @@ class Preprocessor:
             fitted.target_columns = [c for c in self.target_encode if c in train.columns]
             fitted.target_means = D.fit_target_means(filled, fitted.target_columns, self.label)
             if self.unseen_target == "global":
-                fitted.label_mean = train.agg(F.avg(col(self.label))).first()[0]
+                fitted.label_mean = train.agg(F.avg(present(col(self.label)))).first()[0]
         if self.scale_method:
             full = {c: after_fill(found[c], fills[c]) for c in numeric}
             fitted.scales = fit_scale(filled, numeric, self.scale_method, full)
@@ -389,7 +394,7 @@ def add_train_features(df: DataFrame, stats: Mapping[str, Mapping[str, float | N
     for c, s in stats.items():
         if c not in df.columns:
             continue
-        x = col(c).cast("double")
+        x = present(col(c))
         spread = F.lit(s["std"]).cast("double") + F.lit(DEVIATION_EPSILON)
         new[f"{c}_deviation_from_train_mean"] = (x - F.lit(s["mean"]).cast("double")) / spread
         between = inside(x, *(s["q25"], s["q75"])) if s["q25"] is not None else F.lit(False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cohortkit.constants import (
     CODE_PREFIXES,
@@ -23,12 +23,15 @@ from cohortkit.operators.cohort import (
 )
 from cohortkit.operators.columns import SparseReport, check_cleaned, drop_sparse
 from cohortkit.operators.features import (
-    aggregate_and_pivot,
     aggregate_wide,
     blank_outliers,
     in_window,
     join_features,
+    spread_statistics,
+    statistics_by_key,
 )
+from cohortkit.operators.keyfilter import keep_possible, key_bitmap
+from cohortkit.operators.sizing import measured_small
 from cohortkit.session import materialize
 from cohortkit.sources.readers import nan_to_null
 
@@ -49,17 +52,24 @@ def cohort_features(
     value_cols: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per stay of ``keys`` that has measurements in the window.
+    """One row per stay of ``keys`` that has measurements in the window; the statistics of
+    labs are a map, which ``spread_statistics`` makes columns.
 
     The restriction to the cohort is on the grouping key, so it is written after the
-    aggregates, where it meets one row per stay instead of all raw rows. When the
-    cohort is small enough to be broadcast the optimizer moves it down to the raw
-    rows by itself; ``keys`` should be a written table, whose size is known.
+    aggregates, where it meets one row per stay instead of all raw rows. A small cohort is
+    broadcast, and the optimizer moves it down to the raw rows by itself. For a larger one
+    a bitmap of its keys is tested on the raw rows, so that few foreign rows are
+    aggregated and shuffled. ``keys`` should be a written table.
     """
     vital = blank_outliers(in_window(vital, "observationoffset", window_hours), ranges)
     lab = in_window(lab, "labresultoffset", window_hours)
+    if measured_small(keys):
+        keys = F.broadcast(keys)
+    else:
+        bitmap = key_bitmap(keys, STAY, keys.count())
+        vital, lab = keep_possible(vital, STAY, bitmap, keys), keep_possible(lab, STAY, bitmap, keys)
     wide = aggregate_wide(vital, value_cols=value_cols, exclude=exclude).join(keys, STAY, "left_semi")
-    return join_features(wide, aggregate_and_pivot(lab, within=keys), how=feature_join)
+    return join_features(wide, statistics_by_key(lab).join(keys, STAY, "left_semi"), how=feature_join)
 
 
 def clean(
@@ -82,8 +92,9 @@ def clean(
 ) -> CleanResult:
     """Cohort, window, outliers, features, label, sparse columns, checks.
 
-    The wide table is written once: counting its gaps and reading the kept
-    columns are then two column scans.
+    All steps on labs and the joins share one shuffle by stay. The joined table is written
+    once with the labs as a map, which tells their names, and once as columns: counting
+    gaps and reading the kept columns are then two column scans.
     """
     patient, vital, lab = nan_to_null(patient), nan_to_null(vital), nan_to_null(lab)
     cohort = select_cohort(
@@ -94,7 +105,7 @@ def clean(
     features = cohort_features(
         static.select(STAY), vital, lab, window_hours, ranges, feature_join, value_cols, exclude
     )
-    merged = materialize(static.join(features, STAY, "left"))
+    merged = materialize(spread_statistics(materialize(static.join(features, STAY, "left"))))
     measured = [c for c in merged.columns if c != STAY]
     cleaned, report = drop_sparse(merged, missing_threshold, measured)
     return CleanResult(check_cleaned(cleaned), report)

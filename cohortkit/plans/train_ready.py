@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from cohortkit.constants import DEFAULT_SEED, LABEL, PROTOCOLS
 from cohortkit.functions.names import col
 from cohortkit.operators.columns import feature_roles
-from cohortkit.operators.dictionary import encode_labels, fit_label_dictionary
+from cohortkit.operators.dictionary import encode_labels, fit_labels
 from cohortkit.operators.splits import Split, entity_split, split_by_site, split_by_time
 from cohortkit.operators.transforms import after_fill, fit_impute, fit_scale, impute, moments, scale
 from cohortkit.session import materialize
@@ -56,10 +56,10 @@ def dual_tower(
     fills = fit_impute(train, numbers, impute_strategy, found=found)
     filled = {c: after_fill(found[c], fills[c]) for c in numbers}
     scales = fit_scale(impute(train, fills), numbers, scale_method, filled)
-    dictionary = fit_label_dictionary(train, cats)
+    dictionary, sizes = fit_labels(train, cats)
 
     scaled = scale(impute(rows, fills), scales)
-    encoded = encode_labels(scaled, dictionary, cats, unseen)
+    encoded = encode_labels(scaled, dictionary, cats, unseen, sizes=sizes)
     return encoded.select(
         "patient_id", "split", col(label), *[col(c) for c in cats], *[col(c) for c in numbers]
     )

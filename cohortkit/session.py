@@ -91,14 +91,19 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later passes scan only the columns they need, Spark knows the size on disk,
-    and a lost executor costs a re-read instead of the whole lineage. A folder without
-    files, which the reader cannot see, is an error and not an empty table. Inside
-    ``scratch`` the table goes when the job ends.
+    and a lost executor costs a re-read instead of the whole lineage. The reader is given
+    the schema, so no file has to be opened to find it. A folder without files, which the
+    reader cannot see, is an error and not an empty table. Inside ``scratch`` the table
+    goes when the job ends.
     """
-    job = _JOB.get()
-    path = f"{job.folder if job else shared_folder(df.sparkSession)}/cohortkit-{uuid.uuid4().hex}"
+    spark, job = df.sparkSession, _JOB.get()
+    path = f"{job.folder if job else shared_folder(spark)}/cohortkit-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    if not any(f.getPath().getName().startswith("part-") for f in files):
+        raise RuntimeError(f"no files of the written table can be seen in {path}")
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def keep(df: DataFrame) -> DataFrame:
