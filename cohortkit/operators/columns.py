@@ -95,7 +95,7 @@ def check_cleaned(df: DataFrame, label: str = LABEL, leakage: Sequence[str] = LE
     return df
 
 
-def _short(text: Column) -> Column:
+def short_level(text: Column) -> Column:
     """Long texts as their SHA-256, so that whole documents are not shuffled to be told apart."""
     digest = F.concat(F.lit("sha256:"), F.sha2(text, 256))
     return F.when(F.octet_length(text) > 71, digest).otherwise(text)
@@ -112,7 +112,7 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     # Adding zero makes -0.0 and 0.0 one level.
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, FLOATS)}
     text = df.select(*[
-        _short((present(col(c)) + F.lit(0.0) if c in floats else col(c)).cast("string")).alias(f"c{i}")
+        short_level((present(col(c)) + F.lit(0.0) if c in floats else col(c)).cast("string")).alias(f"c{i}")
         for i, c in enumerate(columns)
     ])
     names = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(f"c{i}"), F.lit(c))])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cohortkit.constants import MINUTES_PER_HOUR, STAY, WINDOW_HOURS
 from cohortkit.functions.names import col
 from cohortkit.functions.numeric import inside, is_number, outside, present
+from cohortkit.operators.running import running_totals
 from cohortkit.operators.sizing import small_side
 from cohortkit.session import materialize
 
@@ -209,6 +210,25 @@ def pivot_statistics(
     ])
 
 
+def sparse_statistics(
+    long: DataFrame, key: str = STAY, name: str = "labname", prefix: str = "lab"
+) -> tuple[DataFrame, DataFrame]:
+    """Long statistics as lists instead of columns, for any number of names.
+
+    First (name, index), the names numbered from 0 in code point order; then one row a key:
+    ``{prefix}_indices`` (ascending), ``{prefix}_means`` and ``{prefix}_stds`` of the names it has. The
+    names stay on the executors; a small table of them is broadcast.
+    """
+    long = materialize(long)
+    names = materialize(long.select(col(name)).distinct().withColumn("__one", F.lit(1).cast("long")))
+    dictionary = materialize(running_totals(names, name, {"__upto": "__one"}).select(
+        col(name), (F.col("__upto") - 1).cast("int").alias("index")))
+    entry = F.sort_array(F.collect_list(F.struct("index", "mean", "std")))
+    lists = long.join(small_side(dictionary), name).groupBy(col(key)).agg(entry.alias("__held"))
+    return dictionary, lists.select(col(key), *[
+        F.col("__held")[part].alias(f"{prefix}_{out}") for part, out in (("index", "indices"), ("mean", "means"), ("std", "stds"))])
+
+
 def aggregate_and_pivot(
     df: DataFrame,
     key: str = STAY,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from cohortkit.constants import (
     HIGH_CARDINALITY,
@@ -15,8 +16,8 @@ from cohortkit.constants import (
     TIME_WORDS,
 )
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import is_number, known, present
-from cohortkit.operators.columns import level_counts, missing_counts, missing_rows, present_counts
+from cohortkit.functions.numeric import FLOATS, is_number, known, present
+from cohortkit.operators.columns import level_counts, missing_counts, missing_rows, present_counts, short_level
 from cohortkit.operators.quantiles import exact_quantiles
 from cohortkit.operators.sizing import small_side
 from cohortkit.operators.transforms import moments
@@ -68,6 +69,67 @@ def structure_of(entities: DataFrame, tolerance: float = STATIC_ROWS_PER_ENTITY)
     )
 
 
+_COUNTED = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+class ValueCounts:
+    """How often each value of several columns and each whole row occurs, from one scan.
+
+    Every row gives a (slot, value) pair for each of ``columns`` and one with its hash;
+    pairs are counted where they are read and spread by value. Reports on entities, the
+    target, levels and duplicates then read the counts, not the table.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], text: Sequence[str]):
+        self.df, self.columns = df, list(dict.fromkeys([*columns, *text]))
+        none, no_hash = F.lit(None).cast("string"), F.lit(None).cast("long")
+        pairs = [
+            F.struct(F.lit(i).alias("slot"), (short_level(self._text(c)) if c in text else self._text(c)).alias("value"),
+                     no_hash.alias("h1"), no_hash.alias("h2"))
+            for i, c in enumerate(self.columns)]
+        whole = F.struct(F.lit(-1).alias("slot"), none.alias("value"), *[
+            F.xxhash64(F.lit(seed), *[col(c) for c in df.columns]).alias(f"h{seed}") for seed in (1, 2)])
+        rows = df.select(F.inline(F.array(whole, *pairs)))
+        self.counts = materialize(rows.groupBy("slot", "value", "h1", "h2").agg(F.count(F.lit(1)).alias("n_rows")))
+
+    def _text(self, column: str) -> Column:
+        value = known(self.df, column)
+        # Adding zero makes -0.0 and 0.0 one value.
+        return (value + F.lit(0.0) if isinstance(self.df.schema[column].dataType, FLOATS) else value).cast("string")
+
+    @staticmethod
+    def holds(df: DataFrame, column: str) -> bool:
+        """Values of this type can be counted as text and read back from it."""
+        return isinstance(df.schema[column].dataType, _COUNTED)
+
+    def of(self, column: str) -> DataFrame:
+        """(column, n_rows) of each value of a column, missing among them."""
+        rows = self.counts.where(F.col("slot") == self.columns.index(column))
+        return rows.select(F.col("value").cast(self.df.schema[column].dataType).alias(column), "n_rows")
+
+    def distribution(self, column: str, total: int) -> DataFrame:
+        """:func:`value_distribution` of a column of a table with ``total`` rows."""
+        counts = self.of(column).where(col(column).isNotNull()).withColumnRenamed(column, "value")
+        return counts.withColumn("percent", F.col("n_rows") * 100.0 / F.lit(total))
+
+    def levels(self, columns: Sequence[str]) -> DataFrame:
+        """(column, n_levels) of the present values."""
+        if not columns:
+            return self.df.sparkSession.createDataFrame([], "column STRING, n_levels LONG")
+        names = F.create_map(*[x for i, c in enumerate(self.columns) for x in (F.lit(i), F.lit(c))])
+        rows = self.counts.where(F.col("slot").isin([self.columns.index(c) for c in columns]))
+        return rows.groupBy("slot").agg(F.count("value").alias("n_levels")).select(names[F.col("slot")].alias("column"), "n_levels")
+
+    def duplicates(self) -> DataFrame:
+        """:func:`duplicate_rows`: the table is read again only if a row's hash repeats."""
+        row = self.counts.where(F.col("slot") == -1).agg(
+            F.sum("n_rows").alias("n_rows"), F.max("n_rows").alias("most")).first()
+        if (row["most"] or 0) > 1:
+            return duplicate_rows(self.df)
+        return self.df.sparkSession.createDataFrame(
+            [(row["n_rows"] or 0, 0, 0.0)], "n_rows LONG, n_duplicates LONG, percent DOUBLE")
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if is_number(f.dataType) and f.name not in set(exclude)]
 
@@ -273,17 +335,21 @@ def _estimated_levels(df: DataFrame, columns: Sequence[str], deviation: float) -
 
 
 def cardinality(
-    df: DataFrame, exclude: Sequence[str] = (), limit: int = HIGH_CARDINALITY, deviation: float | None = None
+    df: DataFrame, exclude: Sequence[str] = (), limit: int = HIGH_CARDINALITY, deviation: float | None = None,
+    counts: ValueCounts | None = None,
 ) -> DataFrame:
     """(column, kind, n_levels, too_many): levels of text columns; numbers are only named.
 
     Exact by default. With a relative ``deviation`` the levels are estimated in one
-    pass without a shuffle of values.
+    pass without a shuffle of values. ``counts`` that are known save the scan.
     """
     names = [f.name for f in df.schema.fields if f.name not in set(exclude)]
     numbers = set(numeric_columns(df))
     text = [c for c in names if c not in numbers]
-    counted = level_counts(df, text) if deviation is None else _estimated_levels(df, text, deviation)
+    if counts is not None:
+        counted = counts.levels(text)
+    else:
+        counted = level_counts(df, text) if deviation is None else _estimated_levels(df, text, deviation)
     levels = counted.select(
         "column", F.lit("categorical").alias("kind"), "n_levels", (F.col("n_levels") > limit).alias("too_many")
     )

@@ -12,13 +12,14 @@ from pyspark.sql import types as T
 
 from cohortkit.constants import DEVIATION_EPSILON
 from cohortkit.functions.names import col
-from cohortkit.functions.numeric import digamma, inside, is_number, known, present
+from cohortkit.functions.numeric import inside, is_number, known, present
 from cohortkit.operators import dictionary as D
+from cohortkit.operators.neighbours import neighbour_information
 from cohortkit.operators.quantiles import exact_quantiles
 
 IMPUTE = ("median", "mean", "most_frequent", "constant")
 SCALE = ("standard", "minmax", "robust")
-SELECT = ("f_classif", "mutual_info")
+SELECT = ("f_classif", "mutual_info", "mutual_info_knn")
 
 
 @dataclass
@@ -203,7 +204,8 @@ def mutual_information(
     """(feature, mutual_info) in nats between the binned column and the label.
 
     An approximation: columns are cut at their exact quantiles into ``bins``
-    parts, and the contingency table of (bin, class) gives the information.
+    parts, and the contingency table of (bin, class) gives the information. The estimate
+    from nearest neighbours is ``neighbour_information`` (``mutual_info_knn``).
     """
     cuts = exact_quantiles(train, columns, [i / bins for i in range(1, bins)])
     entries = []
@@ -366,7 +368,8 @@ class Preprocessor:
             if self.feature_selection == "f_classif":
                 fitted.selected = select_best(f_scores(scaled, numeric, self.label), "f_score", self.n_features)
             else:
-                scores = mutual_information(scaled, numeric, self.label)
+                by = mutual_information if self.feature_selection == "mutual_info" else neighbour_information
+                scores = by(scaled, numeric, self.label)
                 fitted.selected = select_best(scores, "mutual_info", self.n_features)
         return fitted
 

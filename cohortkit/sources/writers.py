@@ -9,25 +9,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortkit.functions.names import col
 from cohortkit.operators.fingerprint import table_fingerprint
+from cohortkit.sources.published import replace_folder
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write a table; folders are made as needed and no row index is added."""
-    writer = df.write.mode(mode)
-    (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(path)
+    """Write a table; folders are made as needed and no row index is added.
 
-
-def _write_by(df: DataFrame, path: str, columns: Sequence[str], fmt: str, mode: str) -> None:
-    # Only the folders this write touches are replaced, so protocols can be
-    # written one after another below the same path.
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*columns)
-    (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(path)
+    A table that is overwritten stays as it was until the new one is there.
+    """
+    writer = df.write if mode == "overwrite" else df.write.mode(mode)
+    write = writer.option("header", True).csv if fmt == "csv" else writer.parquet
+    if mode == "overwrite":
+        replace_folder(df.sparkSession, path, write)
+    else:
+        write(path)
 
 
 def _write_protocol(df: DataFrame, path: str, protocol: str, fmt: str) -> None:
     # The protocol's whole folder is replaced: a split that the new rows do not have goes.
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("split")
-    (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(f"{path.rstrip('/')}/protocol={protocol}")
+    writer = df.write.partitionBy("split")
+    write = writer.option("header", True).csv if fmt == "csv" else writer.parquet
+    replace_folder(df.sparkSession, f"{path.rstrip('/')}/protocol={protocol}", write)
 
 
 def write_packs(packs: DataFrame, path: str, protocol: str, fmt: str = "parquet") -> None:
@@ -45,9 +47,8 @@ def write_membership(
 def write_predictions(
     predictions: DataFrame, path: str, protocol: str, version: str, fmt: str = "parquet"
 ) -> None:
-    """Scored rows, a folder per protocol and version."""
-    tagged = predictions.withColumns({"protocol": F.lit(protocol), "version": F.lit(version)})
-    _write_by(tagged, path, ["protocol", "version"], fmt, "overwrite")
+    """Scored rows, a folder per protocol and version; only this version's is replaced."""
+    write_table(predictions, f"{path.rstrip('/')}/protocol={protocol}/version={version}", fmt)
 
 
 def feature_catalog(df: DataFrame, kinds: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -65,6 +65,34 @@ def d_lab_mean_std_long(spark, folder):
     return rounded(T.aggregate_long(V.lab(spark, folder)))
 
 
+@query("d_lab_sparse", """
+WITH {lab},
+draws AS (SELECT patientunitstayid, labresultoffset, labname, avg(labresult) AS value FROM lab GROUP BY ALL),
+long AS (SELECT patientunitstayid, labname, avg(value) AS m, stddev_samp(value) AS s FROM draws GROUP BY ALL),
+names AS (SELECT labname, row_number() OVER (ORDER BY encode(labname)) - 1 AS i FROM (SELECT DISTINCT labname FROM long))
+SELECT patientunitstayid, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS indices,
+  """ + r("max(m)", "largest") + ", " + r("arg_min(m, i)", "first_mean") + ", count(s) AS n_std" + """
+FROM long JOIN names USING (labname) GROUP BY patientunitstayid""")
+def d_lab_sparse(spark, folder):
+    """Lists of names and statistics instead of two columns a name."""
+    _, rows = T.sparse_statistics(T.aggregate_long(V.lab(spark, folder)))
+    return rounded(rows.select(
+        STAY, F.array_join(F.col("lab_indices").cast("array<string>"), ",").alias("indices"),
+        F.array_max("lab_means").alias("largest"), F.get("lab_means", F.lit(0)).alias("first_mean"),
+        F.size(F.array_compact("lab_stds")).cast("long").alias("n_std")))
+
+
+@query("d_lab_by_key", """
+WITH {lab_events}, draws AS (SELECT patientunitstayid, labresultoffset, labname, avg(labresult) AS value FROM lab_events GROUP BY ALL)
+SELECT patientunitstayid, labname, """ + r("avg(value)", "mean") + ", " + r("stddev_samp(value)", "std") + """
+FROM draws GROUP BY patientunitstayid, labname""")
+def d_lab_by_key(spark, folder):
+    """One shuffle by key; keys with more than 50 rows count as hot, so nearly all are."""
+    maps = T.statistics_by_key(V.lab_events(spark, folder), hot_rows=50)
+    return rounded(maps.select(STAY, F.explode(T.BY_NAME).alias("labname", "s")).select(
+        STAY, "labname", F.col("s.mean").alias("mean"), F.col("s.std").alias("std")))
+
+
 @query("d_lab_pivot", f"""
 WITH {{lab}}, {PER_DRAW.replace("{source}", "lab")}
 SELECT patientunitstayid, {pivot_sql(TYPES)} FROM draws GROUP BY patientunitstayid""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cohortkit.constants import STAY
@@ -9,6 +11,8 @@ from cohortkit.operators import columns as K
 from cohortkit.operators import fingerprint as P
 from cohortkit.operators import quality as Q
 from cohortkit.operators.cohort import add_label
+from cohortkit.operators.sketches import ScanState
+from cohortkit.session import shared_folder
 from queries import views as V
 from queries.cohort_queries import LABEL_SQL
 from queries.entities import PEOPLE, STAYS, stays
@@ -76,10 +80,19 @@ def d_table_fingerprint(spark, folder):
     return P.table_fingerprint(V.table(spark, folder, "documents"), portable=True)
 
 
-@query("d_table_fingerprint_fast")
+@query("d_table_fingerprint_fast", """
+SELECT count(*) AS n_rows, true AS same_in_other_order, true AS other_without_a_row, true AS other_with_a_change FROM lineitem""")
 def d_table_fingerprint_fast(spark, folder):
-    """No SQL: the comparison engine has no such row hash."""
-    return P.table_fingerprint(V.table(spark, folder, "lineitem"))
+    """The row hash is the engine's own, so what is compared is what it can tell apart."""
+    rows = V.table(spark, folder, "lineitem")
+    last = F.col("l_orderkey") == rows.agg(F.max("l_orderkey")).first()[0]
+    changed = F.when(last, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    marks = [P.table_fingerprint(df).first() for df in (
+        rows, rows.repartition(3, "l_quantity"), rows.where(~last), rows.withColumn("l_quantity", changed))]
+    first, *others = [m["fingerprint"] for m in marks]
+    return spark.createDataFrame(
+        [(marks[0]["n_rows"], first == others[0], first != others[1], first != others[2])],
+        "n_rows LONG, same_in_other_order BOOLEAN, other_without_a_row BOOLEAN, other_with_a_change BOOLEAN")
 
 
 CORRELATED = ("patientunitstayid", "admissionweight", "heartrate_mean", "sao2_mean")
@@ -88,6 +101,37 @@ STAY_CORRELATIONS = "\nUNION ALL\n".join(
 )
 
 
+KEPT_STATE = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "gap")
+
+
+@query("l_cardinality_increment", """
+WITH rows_ AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+  CASE WHEN o_custkey % 3 = 0 THEN o_custkey END AS gap FROM orders),
+found AS (
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS n_present, "
+    + (f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high" if c not in ("o_orderstatus", "o_orderpriority")
+       else "NULL AS low, NULL AS high") + " FROM rows_" for c in KEPT_STATE) + """)
+SELECT "column", n_rows, n_present, low, high, true AS near, 0 AS read_again FROM found""")
+def l_cardinality_increment(spark, folder):
+    """Two appends; the second scan reads the new files only, and estimates are near a full scan."""
+    path = f"{shared_folder(spark)}/cohortkit-{uuid.uuid4().hex}"
+    state = ScanState(spark, f"{path}/table", f"{path}/state")
+    gap = F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).alias("gap")
+    rows = V.table(spark, folder, "orders").select(*KEPT_STATE[:-1], gap)
+    read_again = 0
+    for part in (0, 1):
+        before = {r["path"] for r in state.files().collect()} if part else set()
+        rows.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == part).write.mode("append").parquet(f"{path}/table")
+        added = {r["path"] for r in state.files().collect()} - before
+        read_again += state.update() - len(added)
+    exact = K.level_counts(rows, rows.columns).withColumnRenamed("n_levels", "exact")
+    # Five standard deviations.
+    near = F.abs(F.col("n_levels") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.04)
+    report = state.report().join(exact, "column")
+    return report.select("column", "n_rows", "n_present", "low", "high", near.alias("near"), F.lit(read_again).alias("read_again"))
+
+
 @query("l_target_correlation", f"""
 WITH {STAYS_SQL}
 SELECT "column", {r("r", "r")} FROM ({STAY_CORRELATIONS})""")

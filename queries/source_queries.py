@@ -17,7 +17,10 @@ from cohortkit.sources import (
     feature_catalog,
     manifest,
     metrics_summary,
+    publish,
     read_cleaned,
+    read_or_report,
+    read_published,
     read_raw,
     read_table,
     write_membership, write_packs,
@@ -123,6 +126,36 @@ def a_packs_rewritten(spark, folder):
     return spark.read.parquet(path).select("protocol", "split", "patient_id")
 
 
+@query("a_packs_published", f"""
+WITH {ASSIGNED}
+SELECT 2 AS version, split, patient_id FROM assigned WHERE split <> 'val'
+UNION ALL SELECT 1, split, patient_id FROM assigned""")
+def a_packs_published(spark, folder):
+    """Two committed versions: the latest is what a reader gets, the first can be asked for."""
+    path = fresh_path(spark)
+    rows = assigned(spark, folder).select("patient_id", "split")
+    publish(rows, path, "packs")
+    latest = publish(rows.where("split <> 'val'"), path, "packs")
+    versions = [(latest, read_published(spark, path, "packs")), (1, read_published(spark, path, "packs", 1))]
+    return reduce(lambda a, b: a.unionByName(b), [
+        df.select(F.lit(v).alias("version"), "split", "patient_id") for v, df in versions])
+
+
+@query("a_read_or_report", """
+WITH {vital}
+SELECT 'written' AS path, count(*) AS n_rows, NULL AS reason FROM vital
+UNION ALL SELECT 'absent', NULL, 'PATH_NOT_FOUND'""")
+def a_read_or_report(spark, folder):
+    """A table that is there, and the reason why another cannot be read."""
+    path = fresh_path(spark)
+    write_table(V.vital(spark, folder), path)
+    rows = []
+    for name, at in (("written", path), ("absent", f"{path}-absent")):
+        df, reason = read_or_report(spark, at)
+        rows.append((name, None if df is None else df.count(), reason))
+    return spark.createDataFrame(rows, "path STRING, n_rows LONG, reason STRING")
+
+
 SCORED = "CASE WHEN y_pred_proba >= 0.5 THEN 1 ELSE 0 END AS y_pred_class"
 
 

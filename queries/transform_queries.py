@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from cohortkit.operators import dictionary as D
 from cohortkit.operators import evaluate as E
+from cohortkit.operators import neighbours as N
+from cohortkit.operators import quality as Q
 from cohortkit.operators import transforms as X
+from queries import views as V
 from queries.entities import ASSIGNED, CATEGORIES, NUMBERS, assigned
+from queries.evaluate_queries import GRID, ROC
 from queries.registry import query, r, rounded
 
 IDS = ["patient_id", "split"]
@@ -223,6 +229,128 @@ def k_select_mutual_info(spark, folder):
     return rounded(X.mutual_information(filled, NUMBERS, "mortality").select("feature", "mutual_info"))
 
 
+def digamma_sql(x: str) -> str:
+    """From x + 20 downwards, in other steps than the library's."""
+    y = f"({x} + 20)"
+    return (f"(ln({y}) - 1 / (2 * {y}) - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6)"
+            f" - list_sum(list_transform(range(20), lambda i: 1 / ({x} + i))))")
+
+
+def neighbour_ctes(c: str, k: int = 3) -> str:
+    """CTEs ending in mi_{c}: neighbours by rank among the rows of a class, counts by pairs."""
+    far = ", ".join(f"abs({c} - {f}({c}, {i}) OVER w)" for f in ("lag", "lead") for i in range(1, k + 1))
+    y = "CAST({} AS DOUBLE)"
+    return f"""near_{c} AS (
+  SELECT mortality, {c} AS x, count(*) OVER (PARTITION BY mortality) AS size,
+    list_sort(list_filter([{far}], lambda d: d IS NOT NULL))[{k}] AS r
+  FROM filled_train WINDOW w AS (PARTITION BY mortality ORDER BY {c})),
+point_{c} AS (SELECT mortality, x, size, r, count(*) AS n FROM near_{c} GROUP BY ALL),
+all_{c} AS (SELECT x, count(*) AS n FROM near_{c} GROUP BY x),
+inside_{c} AS (
+  SELECT p.mortality, p.x, p.size, p.n, {k} AS k, sum(o.n) AS m FROM point_{c} p JOIN all_{c} o
+  ON o.x > p.x - p.r AND o.x < p.x + p.r WHERE p.r > 0 GROUP BY ALL
+  UNION ALL SELECT p.mortality, p.x, p.size, p.n, p.n AS k, o.n AS m FROM point_{c} p JOIN all_{c} o USING (x) WHERE p.r = 0),
+mi_{c} AS (SELECT '{c}' AS feature, greatest(0, {digamma_sql(y.format("sum(n)"))}
+    + sum(n * ({digamma_sql(y.format("k"))} - {digamma_sql(y.format("size"))} - {digamma_sql(y.format("m"))})) / sum(n)) AS mi
+  FROM inside_{c})"""
+
+
+@query("k_select_mutual_info_knn", f"""
+WITH {ASSIGNED}, {fill_sql(MEDIAN)}, {FILLED}, {", ".join(neighbour_ctes(c) for c in NUMBERS)}
+SELECT feature, {r("mi", "mutual_info")} FROM ({" UNION ALL ".join(f"SELECT * FROM mi_{c}" for c in NUMBERS)})""")
+def k_select_mutual_info_knn(spark, folder):
+    """The imputed median makes many equal values."""
+    train = train_of(assigned(spark, folder))
+    filled = X.impute(train, X.fit_impute(train, NUMBERS))
+    return rounded(N.neighbour_information(filled, NUMBERS, "mortality").select("feature", "mutual_info"))
+
+
+def gaps_as_nan(df, column: str, present=None):
+    """The column as DOUBLE with NaN for its gaps, and where ``present`` does not hold."""
+    value = F.col(column).cast("double")
+    value = value if present is None else F.when(present, value)
+    return df.withColumn(column, F.coalesce(value, F.lit(float("nan"))))
+
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("k_nan_is_missing", f"""
+WITH {ASSIGNED}, {{predictions}},
+dirty AS (SELECT * EXCLUDE (mortality), CASE WHEN patientunitstayid % 13 <> 0 THEN mortality END AS mortality FROM train),
+filled_train AS (SELECT * FROM dirty WHERE mortality IS NOT NULL),
+scored AS (SELECT * FROM predictions WHERE CAST(patient_id AS BIGINT) % 7 <> 0 AND CAST(patient_id AS BIGINT) % 11 <> 0),
+{ROC.replace("FROM predictions", "FROM scored")}, {GRID.replace("FROM predictions", "FROM scored")},
+found AS (
+SELECT 'f_score' AS what, feature AS name, f_score AS value FROM ({_union(f_score_sql(c) for c in NUMBERS)})
+UNION ALL SELECT 'mutual_info', feature, mi FROM ({_union(
+    mutual_sql(c).replace("FROM filled_train, (", f"FROM (SELECT * FROM filled_train WHERE {c} IS NOT NULL), (")
+    .replace("FROM filled_train)", "FROM dirty)") for c in NUMBERS)})
+UNION ALL SELECT 'class_weight', CAST(mortality AS VARCHAR), sum(count(*)) OVER () / CAST(count(*) OVER () * count(*) AS DOUBLE)
+  FROM filled_train GROUP BY mortality
+UNION ALL SELECT 'imbalance', 'ratio', min(n) FILTER (mortality IS NOT NULL) / CAST(sum(n) AS DOUBLE)
+  FROM (SELECT mortality, count(*) AS n FROM dirty GROUP BY mortality)
+UNION ALL SELECT 'share', CAST(mortality AS VARCHAR), count(*) * 100.0 / (SELECT count(*) FROM dirty) FROM filled_train GROUP BY mortality
+UNION ALL SELECT 'mode', 'admissionweight', {mode_sql("admissionweight", "w")}
+UNION ALL SELECT 'levels', 'heartrate_mean', count(DISTINCT heartrate_mean) + max((heartrate_mean IS NULL)::INT) FROM dirty
+UNION ALL SELECT 'slots', 'heartrate_mean', count(DISTINCT heartrate_mean) + max((heartrate_mean IS NULL)::INT) FROM dirty
+UNION ALL SELECT 'target_mean', 'heartrate_mean', avg(m) FROM
+  (SELECT avg(mortality) AS m FROM dirty WHERE heartrate_mean IS NOT NULL GROUP BY heartrate_mean)
+UNION ALL (SELECT 'youden', 'value', tp / CAST((SELECT sum(pos) FROM points) AS DOUBLE) - fp / CAST((SELECT sum(neg) FROM points) AS DOUBLE) AS j
+  FROM roc ORDER BY j DESC LIMIT 1)
+UNION ALL SELECT 'f1', 'value', max(2 * tp / (p + tp + fp)) FROM cells
+UNION ALL SELECT 'balanced_accuracy', 'value', max((tp / p + (n - fp) / n) / 2) FROM cells)
+SELECT what, name, {r("value", "value")} FROM found""")
+def k_nan_is_missing(spark, folder):
+    """Every fit, score and report on tables whose gaps are NaN, against SQL on NULLs."""
+    rows = assigned(spark, folder)
+    for c in NUMBERS:
+        rows = gaps_as_nan(rows, c)
+    train = train_of(gaps_as_nan(rows, "mortality", F.col("patientunitstayid") % 13 != 0))
+    number = F.col("patient_id").cast("long")
+    scored = gaps_as_nan(V.predictions(spark, folder), "y_pred_proba", number % 7 != 0)
+    scored = gaps_as_nan(scored, "y_true", number % 11 != 0)
+
+    def part(what, df, name, value):
+        return df.select(F.lit(what).alias("what"), name.cast("string").alias("name"), value.cast("double").alias("value"))
+
+    whole = F.col("class").cast("int")
+    one = lambda name: F.lit(name)
+    parts = [
+        part("f_score", X.f_scores(train, NUMBERS, "mortality"), F.col("feature"), F.col("f_score")),
+        part("mutual_info", X.mutual_information(train, NUMBERS, "mortality"), F.col("feature"), F.col("mutual_info")),
+        part("class_weight", E.class_weights(train, "mortality"), whole, F.col("weight")),
+        part("imbalance", E.class_imbalance(train, "mortality"), one("ratio"), F.col("minority_ratio")),
+        part("share", Q.value_distribution(train, "mortality"), F.col("value").cast("int"), F.col("percent")),
+        spark.createDataFrame([("mode", "admissionweight", X.most_frequent(train, ["admissionweight"])["admissionweight"])],
+                              "what STRING, name STRING, value DOUBLE"),
+        part("levels", D.fit_label_dictionary(train, ["heartrate_mean"]).agg(F.count("*").alias("n")), one("heartrate_mean"), F.col("n")),
+        part("slots", D.fit_one_hot_slots(train, ["heartrate_mean"]).agg(F.count("*").alias("n")), one("heartrate_mean"), F.col("n")),
+        part("target_mean", D.fit_target_means(train, ["heartrate_mean"], "mortality").agg(F.avg("mean").alias("m")), one("heartrate_mean"), F.col("m")),
+        *[part(m, E.optimal_threshold(scored, m), one("value"), F.col("value")) for m in E.METRICS],
+    ]
+    return rounded(reduce(lambda a, b: a.unionByName(b), parts))
+
+
+@query("k_onehot_sparse", f"""
+WITH {ASSIGNED},
+levels AS (SELECT DISTINCT 0 AS place, age AS v FROM train UNION SELECT 1, coalesce(gender, 'nan') FROM train
+  UNION SELECT 2, site_id FROM train),
+slots AS (SELECT place, v, row_number() OVER (ORDER BY place, v = 'nan', encode(v)) - 1 AS i FROM levels)
+SELECT patient_id, split, admissionweight, concat_ws(',', a.i, g.i, s.i) AS slots,
+  CAST((a.i IS NOT NULL)::INT + (g.i IS NOT NULL)::INT + (s.i IS NOT NULL)::INT AS DOUBLE) AS total
+FROM assigned LEFT JOIN slots a ON a.place = 0 AND a.v = age LEFT JOIN slots g ON g.place = 1 AND g.v = coalesce(gender, 'nan')
+  LEFT JOIN slots s ON s.place = 2 AND s.v = site_id""")
+def k_onehot_sparse(spark, folder):
+    """Slots of the levels instead of a column a level."""
+    columns = ["age", "gender", "site_id"]
+    rows = assigned(spark, folder).select(*IDS, "admissionweight", *columns)
+    sparse = D.encode_one_hot_sparse(rows, D.fit_one_hot_slots(train_of(rows), columns), columns)
+    total = F.aggregate("one_hot_values", F.lit(0.0), lambda a, x: a + x)
+    return sparse.select(*IDS, "admissionweight", F.array_join(F.col("one_hot_indices").cast("array<string>"), ",").alias("slots"), total.alias("total"))
+
+
 @query("k_train_only_pipeline", f"""
 WITH {ASSIGNED}, {fill_sql(MEDIAN)}, {FILLED},
 modes AS (SELECT {mode_sql("gender", "g")}),
