@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass, field
@@ -23,6 +23,7 @@ SINGLE_TASK_ROWS = 1_000_000
 class _Job:
     folder: str
     kept: list[DataFrame] = field(default_factory=list)
+    last: list[Callable[[], None]] = field(default_factory=list)
 
 
 _JOB: ContextVar[_Job | None] = ContextVar("cohortkit_job", default=None)
@@ -83,6 +84,8 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         _JOB.reset(outer)
         for df in job.kept:
             df.unpersist()
+        for function in job.last:
+            function()
         path = spark._jvm.org.apache.hadoop.fs.Path(job.folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -106,6 +109,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_end(function: Callable[[], None]) -> None:
+    """Call ``function`` when the job of ``scratch`` that is under way ends (never without one)."""
+    job = _JOB.get()
+    if job:
+        job.last.append(function)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Reuse a small aggregate in several actions; lost blocks are recomputed."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)

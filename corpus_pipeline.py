@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortkit.llm import language, mixing, queries, sentencepiece_codec, simhash
 from cohortkit.llm.common import table
-from cohortkit.session import shared_folder
+from cohortkit.session import scratch, shared_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,16 +47,21 @@ STAGES = [
     ("mixing", mix_sources),
     ("sentencepiece", encode),
 ]
-# Compression, fingerprints and token ids have no SQL form; tests/llm has a brute-force one.
+# Compression, fingerprints and token ids have no SQL form; tests/llm/test_pipeline.py has
+# each stage in plain Python and compares run() with them row by row.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over the table documents of ``sf_dir``."""
+    """The last stage's rows over the table documents of ``sf_dir``.
+
+    A stage's own intermediate tables go when its result is written.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/cohortkit-pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         path = f"{folder}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

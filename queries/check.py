@@ -12,7 +12,7 @@ from pathlib import Path
 
 import duckdb
 
-from cohortkit import build_session
+from cohortkit import build_session, scratch
 from queries import oracle_sql, queries
 
 
@@ -42,8 +42,9 @@ def main(folder: str, names: list[str]) -> int:
             continue
         start = time.time()
         try:
-            df = query(spark, folder)
-            got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+            with scratch(spark):
+                df = query(spark, folder)
+                got = rows_of(df.columns, [tuple(r) for r in df.collect()])
         except Exception as error:  # report and go on with the next query
             bad += 1
             print(f"FAIL {name}: {type(error).__name__}: {str(error)[:600]}")
