@@ -11,8 +11,10 @@ from cohortkit.llm.common import rows_of
 from cohortkit.session import materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"
-# Leading hex digits of the draw that make a range: 16**3 ranges a leaf.
+# Leading hex digits of the draw that make a range: 16**3 ranges a leaf, and as many more
+# of the range that a prefix ends in while it has more draws than RANGE_ROWS.
 RANGE_DIGITS = 3
+RANGE_ROWS = 1_000_000
 BIG = "decimal(38,0)"
 
 
@@ -96,6 +98,8 @@ def mixing_plan(rows: DataFrame, names: Sequence[str], weights: Mapping[tuple, i
     ``rows`` (doc_id, tokens, levels) are read twice. The prefix of a pass needs no sort of
     a leaf: token sums per leaf and 1/4096 of the draws tell in which range it ends, and
     only that range is ordered, so a leaf with a third of all rows is as cheap as others.
+    A range of very many draws is narrowed again. Rows of one draw (repeated ids) share their
+    fate and are summed in the tasks that read them, so they never meet in one task.
     """
     leaves = materialize(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     if budget is None:
@@ -107,15 +111,24 @@ def mixing_plan(rows: DataFrame, names: Sequence[str], weights: Mapping[tuple, i
         F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(max_epochs)).cast("bigint").alias("whole"),
         F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(F.lit(0)).cast("bigint").alias("rest")))
     drawn = _join(rows, passes, names).withColumn("draw", _draw(seed))
-    drawn = drawn.withColumn("bucket", F.substring("draw", 1, RANGE_DIGITS))
-    sums = drawn.groupBy(*names, "bucket").agg(F.sum("tokens").alias("size"), F.first("rest").alias("rest"))
-    upto = F.sum("size").over(Window.partitionBy(*names).orderBy("bucket"))
-    ends = materialize(  # the range in which the prefix ends: the first that does not fit whole
-        sums.withColumn("upto", upto).where("upto > rest").groupBy(*names)
-        .agg(F.min(F.struct("bucket", (F.col("rest") - F.col("upto") + F.col("size")).alias("left"))).alias("end"))
-        .select(*names, F.col("end.bucket").alias("end_bucket"), F.col("end.left").alias("left")))
+    near, digits = drawn.withColumnRenamed("rest", "left"), RANGE_DIGITS
+    while True:
+        bucket = F.substring("draw", 1, digits)
+        sums = near.withColumn("bucket", bucket).groupBy(*names, "bucket").agg(
+            F.sum("tokens").alias("size"), F.first("left").alias("left"), F.approx_count_distinct("draw").alias("draws"))
+        upto = F.sum("size").over(Window.partitionBy(*names).orderBy("bucket"))
+        ends = materialize(  # the range in which the prefix ends: the first that does not fit whole
+            sums.withColumn("upto", upto).where("upto > left").groupBy(*names)
+            .agg(F.min(F.struct("bucket", (F.col("left") - F.col("upto") + F.col("size")).alias("left"), "draws")).alias("end"))
+            .select(*names, F.col("end.bucket").alias("end_bucket"), F.col("end.left").alias("left"), F.col("end.draws").alias("draws")))
+        near = _join(near.drop("left"), ends.drop("draws"), names).where(bucket == F.col("end_bucket"))
+        if (ends.agg(F.max("draws")).first()[0] or 0) <= RANGE_ROWS or digits >= 30:
+            break
+        near, digits = materialize(near.drop("end_bucket")), digits + RANGE_DIGITS
+    merged = near.groupBy(*names, "draw").agg(
+        F.sum("tokens").alias("tokens"), F.first("left").alias("left"), F.first("end_bucket").alias("end_bucket"))
     running = F.sum("tokens").over(Window.partitionBy(*names).orderBy("draw"))
-    inside = (_join(drawn, ends, names).where("bucket = end_bucket").withColumn("running", running)
+    inside = (merged.withColumn("running", running)
               .groupBy(*names).agg(F.max(F.when(F.col("running") <= F.col("left"), F.col("draw"))).alias("last"),
                                    F.first("end_bucket").alias("end_bucket")))
     # Every draw of an earlier range is smaller than the digits of the last one.

@@ -13,6 +13,7 @@ from cohortkit.llm.digest_index import DigestIndex
 from cohortkit.session import shared_folder
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+ENCODING_THREADS = 2
 DOMAIN = ("CASE WHEN source = 'src0' THEN 'web' WHEN source IN ('src1', 'src2', 'src3', 'src4', 'src5', 'src6') "
           "THEN 'books' ELSE 'reference' END")
 WEIGHTS = {
@@ -40,7 +41,7 @@ def new_index(spark) -> DigestIndex:
 
 def op1_sentencepiece(spark, folder):
     model = sentencepiece_codec.read_model(MODEL_PATH)
-    return sentencepiece_codec.encode_documents(table(spark, folder, "documents"), model)
+    return sentencepiece_codec.encode_documents(table(spark, folder, "documents"), model, threads=ENCODING_THREADS)
 
 
 def op2_repeats(spark, folder):

@@ -149,7 +149,7 @@ def build_tokenizer(model: Model):
         steps.append(normalizers.Prepend(MARK))
     if steps:
         tokenizer.normalizer = normalizers.Sequence(steps)
-    if not any(re.search(f"[^{MARK}]{MARK}", p) for p, k in zip(model.pieces, model.kinds) if k == NORMAL):
+    if not any(re.search(f"[^{MARK}]{MARK}", p) for p, k in zip(model.pieces, model.kinds) if k in (NORMAL, USER_DEFINED, UNUSED)):
         # No piece reaches over a marker, so words can be cut apart (and are cached).
         tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
     tail = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
@@ -163,10 +163,13 @@ class Codec:
     """Encodes and decodes batches; where the two libraries differ, sentencepiece's ids win.
 
     If no piece reaches over a metaspace marker, the ids of a text are those of its words
-    one after the other; then only words not seen lately are encoded. Batches are spread
-    over ``threads`` threads (the library works without Python's lock). Every whole text is
-    also encoded by sentencepiece and compared; with ``verify_one_in`` above 1 only every
-    so many-th (chosen by its crc32), with 0 none.
+    one after the other, in both libraries; then only words not seen lately are encoded.
+    Batches are spread over ``threads`` threads (the libraries work without Python's lock).
+
+    Everything is compared with sentencepiece: each different word when it enters the
+    cache, if the model leaves characters as they are (so that a word can be given to
+    sentencepiece alone), else each whole text. With ``verify_one_in`` above 1 only every so many-th
+    text is compared, as a whole (chosen by its crc32), with 0 none.
     """
 
     def __init__(self, model_bytes: bytes, verify_one_in: int = 1, threads: int = 1):
@@ -183,10 +186,16 @@ class Codec:
         self.by_word = self.fast.pre_tokenizer is not None
         if self.by_word:  # texts are normalised and cut here
             self.fast.normalizer = self.fast.pre_tokenizer = None
+        model = self.model
+        plain = model.add_dummy_prefix and model.escape_whitespaces and not model.charsmap and not model.remove_extra_whitespaces
+        self.words_compared = verify_one_in == 1 and self.by_word and plain and MARK in model.pieces
+        self.other: set[str] = set()  # words that the two libraries encode differently
         self.pool, self.threads = ThreadPoolExecutor(threads), threads
 
     def _spread(self, function, items: list) -> list:
-        step = -(-len(items) // self.threads) or 1
+        if self.threads == 1 or len(items) < 16 * self.threads:
+            return list(function(items))
+        step = -(-len(items) // self.threads)
         parts = [items[i:i + step] for i in range(0, len(items), step)]
         return [x for part in self.pool.map(function, parts) for x in part]
 
@@ -207,20 +216,34 @@ class Codec:
             split = [_WORDS(self._normal(t)) for t in texts]
             if len(self.words) > KNOWN_WORDS:
                 self.words.clear()
+                self.other.clear()
             new = list(set(itertools.chain.from_iterable(split)).difference(self.words))
-            self.words.update(zip(new, [array("i", e.ids).tobytes() for e in self._spread(encode, new)]))
+            found = [array("i", e.ids).tobytes() for e in self._spread(encode, new)]
+            if self.words_compared:
+                # The dummy prefix stands for a word's first marker; it is not put before nothing,
+                # so a marker alone is its piece.
+                wanted = self._spread(self._by_reference, [w[1:] for w in new])
+                if MARK in new:
+                    wanted[new.index(MARK)] = array("i", [self.model.pieces.index(MARK)]).tobytes()
+                self.other.update(w for w, a, b in zip(new, found, wanted) if a != b)
+                found = wanted
+            self.words.update(zip(new, found))
             ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
+            if self.words_compared:
+                return ids, [not self.other or self.other.isdisjoint(words) for words in split]
         else:
             ids = [array("i", e.ids).tobytes() for e in self._spread(encode, texts)]
         same: list[bool | None] = [None] * len(texts)
         if self.verify_one_in:
             n = self.verify_one_in
             asked = [i for i, t in enumerate(texts) if n == 1 or zlib.crc32(t.encode()) % n == 0]
-            for i, want in zip(asked, self.reference.encode([texts[i] for i in asked], num_threads=1)):
-                want = array("i", want).tobytes()
+            for i, want in zip(asked, self._spread(self._by_reference, [texts[i] for i in asked])):
                 same[i], ids[i] = ids[i] == want, want
         return ids, same
 
+    def _by_reference(self, texts: list[str]) -> list[bytes]:
+        return [array("i", x).tobytes() for x in self.reference.encode(texts, num_threads=1)]
+
     def decode(self, ids: list[bytes]) -> list[str]:
         decoded = lambda some: self.fast.decode_batch(
             [memoryview(x).cast("i").tolist() for x in some], skip_special_tokens=False)
@@ -242,8 +265,8 @@ def encode_documents(
     ids as little-endian 32-bit numbers), same_as_reference, decoded_sha256, round_trip.
 
     Whole texts are encoded in multithreaded batches and decoded again. same_as_reference
-    tells whether sentencepiece gave the same ids for the whole text (if not, its ids are the
-    ones returned; NULL if ``verify_one_in`` left the text out, see Codec); round_trip whether decoding returned the text, which
+    tells whether sentencepiece gave the same ids for the text, word by word or as a whole (if
+    not, its ids are the ones returned; NULL if ``verify_one_in`` left the text out, see Codec); round_trip whether decoding returned the text, which
     byte fallback makes true unless the model changes characters or the text holds the
     marker itself. A NULL text has the ids of the empty text, none; an empty table gives
     no rows and repeated rows come back repeated.

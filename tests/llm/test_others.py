@@ -239,3 +239,50 @@ def test_chunks_in_order_are_the_dialogue(spark, monkeypatch):
         assert {k: "".join(x["text"] for x in v) for k, v in cut.items()} == {k: "".join(x["text"] for x in v) for k, v in whole.items()}
         assert [x["n_turns"] for x in cut[7, "a"]] == [25, 25, 25, 25, 13] and [x["chunk"] for x in cut[7, "a"]] == [0, 1, 2, 3, 4]
         assert [x["n_turns"] for x in cut[8, "c"]] == [10, 1, 1]
+
+
+def test_words_are_compared_where_they_stand_alone():
+    """The ids of a text are those of its words, also in several threads and with a small cache; a word
+    that the libraries encode differently marks each text that holds it."""
+    pieces = [("<unk>", 0.0, 2), ("▁", -4.0, 1), ("a", -3.0, 1), ("b", -3.0, 1), ("ab", -1.0, 1), ("ba", -9.0, 4), ("▁a", -2.0, 1)]
+    data = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in pieces)
+    data += field(2, field(3, 2)) + field(3, field(3, 1) + field(4, 0) + field(5, 1))
+    reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+    r = random.Random(5)
+    texts = ["".join(r.choice("aab  ") for _ in range(r.randint(0, 12))) for _ in range(300)] + ["▁a ▁", " ", "", "é a"]
+    for threads in (1, 3):
+        codec = sentencepiece_codec.Codec(data, threads=threads)
+        assert codec.words_compared
+        ids, same = codec.encode(texts)
+        assert [np.frombuffer(x, "<i4").tolist() for x in ids] == [reference.encode(t) for t in texts]
+        assert all(s == ("aba" not in t and "bab" not in t) or not s for s, t in zip(same, texts)) and False in same and True in same
+    # A user-defined piece over a marker: no cutting into words, whole texts are compared.
+    data = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in [*pieces, ("a▁", 0.0, 4)])
+    data += field(2, field(3, 2)) + field(3, field(3, 1) + field(4, 0) + field(5, 1))
+    codec, reference = sentencepiece_codec.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    assert not codec.by_word and not codec.words_compared
+    assert [np.frombuffer(x, "<i4").tolist() for x in codec.encode(texts)[0]] == [reference.encode(t) for t in texts]
+
+
+def test_mix_of_repeated_ids_and_narrow_ranges(spark, docs_of, monkeypatch):
+    """A third of the rows without an id, many of one id, long texts: the same at any range size."""
+    r = random.Random(10)
+    texts = [" ".join(["w"] * r.randint(0, 9)) for _ in range(600)] + ["long " * 60_000, None, ""]
+    ids = [None if i % 3 == 0 else 7 if i % 5 == 0 else i for i in range(len(texts))]
+    sources = [r.choice(["a", "b"]) for _ in texts]
+    docs = docs_of(texts, ids=ids, sources=sources)
+
+    def taken(share):
+        got = mixing.mix(docs, [F.col("source")], {("a",): 2}, share, max_epochs=2, seed=1).collect()
+        return sorted((x["level0"], str(x["doc_id"]), x["tokens"], x["epochs"]) for x in got)
+
+    want = {share: taken(share) for share in (0.2, 0.8)}
+    for share, rows in want.items():
+        # Rows of one id and leaf are taken equally often, and budgets are kept.
+        for key in {(s, i) for s, i, _, _ in rows}:
+            assert len({e for s, i, _, e in rows if (s, i) == key}) == 1
+        size = sum(len((t or "").split()) for t in texts)
+        assert sum(t * e for _, _, t, e in rows) <= share * size
+    monkeypatch.setattr(mixing, "RANGE_DIGITS", 1)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 3)
+    assert {share: taken(share) for share in want} == want
