@@ -12,16 +12,21 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortkit.llm.common import rows_of
+from cohortkit.llm.common import release_memory, rows_of
 
-# Bounds of the training sample, and how texts are compressed.
+# Bound of the training sample and its unit, and how texts are compressed.
 DICTIONARY_BYTES = 128_000
 SLICE_CHARS = 300
 BLOCK_BYTES = 8192
 LEVEL = 9
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]").search
+_ASCII_LETTER = re.compile("[A-Za-z]").search
+
+
+def has_letter(text: str) -> bool:
+    """A character of Unicode's letter categories; number signs such as ½ or Ⅷ are none."""
+    return bool(_ASCII_LETTER(text)) or any(map(str.isalpha, text))
 
 
 def learn_dictionaries(
@@ -30,28 +35,35 @@ def learn_dictionaries(
 ) -> dict[str, bytes]:
     """Raw dictionary content by language, from a bounded sample of labelled rows.
 
-    Per language the documents with the smallest id hashes give a slice each from their
-    middle, lower-cased and without repeats, until ``dictionary_bytes`` are filled. Rows
-    with a NULL language or text, and rows that ``train`` excludes, teach nothing. The
+    Whole texts are cut into slices of ``slice_chars`` characters, and of all slices of a
+    language those with the smallest hashes of (id, place) are taken, lower-cased and without
+    repeats, until ``dictionary_bytes`` are filled: every part of every text has the same chance.
+    Rows with a NULL language or text, and rows that ``train`` excludes, teach nothing. The
     driver sees one count and at most about two dictionaries' worth of slices a language.
     """
     if train is not None:
         docs = docs.where(train)
     rows = rows_of(docs, doc_id=id_col, text=text_col, lang=lang_col).where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
     wanted = 2 * dictionary_bytes // slice_chars
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumn("n", F.ceil(F.length("text") / slice_chars).cast("int"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not counts:
         return {}
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, wanted / n))).otherwise(share)
-    # A hash in [0, 1); documents below the language's share are about `wanted` many.
-    draw = (F.xxhash64(F.lit("language"), F.col("doc_id").cast("string")).cast("double") / 2.0**64 + 0.5)
-    start = F.greatest(F.lit(1), F.floor((F.length("text") - slice_chars) / 2).cast("int") + 1)
-    sample = rows.select("lang", draw.alias("draw"), share.alias("share"), F.col("text").substr(start, F.lit(slice_chars)).alias("slice"))
+
+    def draw(place: Column) -> Column:
+        """A hash in [0, 1); slices below the language's share are about `wanted` many."""
+        return F.xxhash64(F.lit("language"), F.col("doc_id").cast("string"), place).cast("double") / 2.0**64 + 0.5
+
+    # Only places are looked at until a slice is taken.
+    places = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: draw(i) < F.col("share"))
+    taken = rows.withColumn("share", share).select("lang", "doc_id", "text", F.explode(places).alias("place"))
     found: dict[str, list[tuple[float, str]]] = {}
-    # An id may be repeated any number of times: equal rows count once, and the bound holds.
-    drawn = sample.where("draw < share").select("lang", "draw", "slice").distinct()
+    # An id may be repeated any number of times: equal slices count once, and the bound holds.
+    drawn = taken.select("lang", draw(F.col("place")).alias("draw"), F.col("text").substr(
+        F.col("place") * slice_chars + 1, F.lit(slice_chars)).alias("slice")).distinct()
     for r in drawn.orderBy("draw", "lang", "slice").limit(2 * wanted * len(counts)).collect():
         found.setdefault(r["lang"], []).append((r["draw"], r["slice"].lower()))
     dictionaries = {}
@@ -80,7 +92,7 @@ class CompressionClassifier:
 
     def classify(self, text: str | None) -> tuple[str, float]:
         """(language, margin): margin is how much smaller the best is than the runner-up."""
-        if not text or not self.compressors or not _LETTER(text):
+        if not text or not self.compressors or not has_letter(text):
             return UNKNOWN, 0.0
         data = text.lower().encode("utf-8", "surrogatepass")
         blocks = [data[i:i + self.block] for i in range(0, len(data), self.block)]
@@ -96,7 +108,7 @@ def identify_language(
 ) -> DataFrame:
     """Adds nothing but decisions: doc_id, lang_pred, score (the margin, 0 to 1), rejected.
 
-    Whole texts are compressed in blocks against each dictionary and the sizes summed. A
+    A letter is a character of Unicode's categories L*. Whole texts are compressed in blocks against each dictionary and the sizes summed. A
     text that is NULL or has no letter is ``und`` with score 0 and rejected; a text whose
     margin is below ``min_margin`` keeps its language (the first by name of equal ones)
     but is rejected. Without dictionaries every text is ``und``. Repeated rows come back
@@ -120,6 +132,8 @@ def filter_language(docs: DataFrame, dictionaries: dict[str, bytes], min_margin:
             found = [classifier.classify(t.as_py()) for t in batch[text_col]]
             keep = [lang != UNKNOWN and margin >= min_margin for lang, margin in found]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        del classifier
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -135,5 +149,7 @@ def _classify(shared, min_margin: float, carried: list[str]):
                 + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()),
                    pa.array(rejected, pa.bool_())],
                 [*carried, "lang_pred", "score", "rejected"])
+        del classifier
+        release_memory()
 
     return run

@@ -180,3 +180,72 @@ def test_training_stays_bounded_when_ids_repeat(spark, docs_of):
     weights = toxicity.learn(docs, labels)
     alone = toxicity.fit(["good day to you", "vile awful slur"], np.array([0.0, 1.0]))
     assert weights.features.tolist() == alone.features.tolist() and abs(weights.bias - alone.bias) < 1e-9
+
+
+def test_number_signs_are_no_letters(spark, docs_of):
+    known = {"en": b"some words here", "de": b"andere worte hier"}
+    texts = ["½", "² ①", "Ⅷ 12", "٣", "ª", "é", "字", "12 ½ é"]
+    got = [r["lang_pred"] == "und" for r in language.identify_language(docs_of(texts), known).orderBy("doc_id").collect()]
+    assert got == [True, True, True, True, False, False, False, False]
+
+
+def test_every_part_of_a_text_teaches(spark, docs_of):
+    """Slices come from beginnings, middles and ends alike."""
+    text = "".join(f"p{i:04d} " * 50 for i in range(400))  # 300 characters a part
+    known = language.learn_dictionaries(docs_of([text]), dictionary_bytes=12_000)
+    places = sorted({int(w[1:]) for w in known["en"].decode().split() if len(w) == 5})
+    assert len(places) > 25 and places[0] < 60 and places[-1] > 340
+    assert any(100 < p < 300 for p in places)
+
+
+def plain_language(rows, train, dictionary_bytes=128_000, chars=300, block=8192, level=9):
+    """{doc_id: (language, margin)} by loops: rows of (id, text, lang)."""
+    import xxhash
+    import zstandard
+
+    slices = {}
+    for i, text, lang in rows:
+        if lang is not None and text and train(i):
+            for place in range(-(-len(text) // chars)):
+                seed = xxhash.xxh64_intdigest(b"language", 42)
+                seed = xxhash.xxh64_intdigest(str(i).encode(), seed) if i is not None else seed
+                number = xxhash.xxh64_intdigest(place.to_bytes(4, "little"), seed)
+                number = number - 2**64 if number >> 63 else number
+                slices.setdefault(lang, []).append((float(number) / 2.0**64 + 0.5, text[place * chars:(place + 1) * chars]))
+    wanted, known = 2 * dictionary_bytes // chars, {}
+    for lang, some in slices.items():
+        some = sorted({s for s in some if s[0] < min(1.0, wanted / len(some))})
+        content, seen = b"", set()
+        for _, s in some:
+            s = s.lower()
+            if s in seen:
+                continue
+            if len(content) + len(s.encode()) + 1 > dictionary_bytes:
+                break
+            seen.add(s)
+            content += s.encode() + b"\n"
+        known[lang] = content
+    out = {}
+    for i, text, _ in rows:
+        if not text or not any(c.isalpha() for c in text):
+            out[i] = ("und", 0.0)
+            continue
+        data, sizes = text.lower().encode(), []
+        for lang, content in known.items():
+            shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            settings = zstandard.ZstdCompressionParameters.from_level(
+                level, source_size=block, dict_size=len(content), write_content_size=False, write_dict_id=False)
+            total = 0
+            for at in range(0, len(data), block):
+                total += len(zstandard.ZstdCompressor(dict_data=shared, compression_params=settings).compress(data[at:at + block]))
+            sizes.append((total, lang))
+        sizes.sort()
+        out[i] = (sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0])
+    return out
+
+
+def test_language_is_the_plain_one(spark, small):
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    want = plain_language(rows, lambda i: zlib.crc32(str(i).encode()) % 4 != 2)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in QUERIES["op6_language"](spark, small).collect()}
+    assert got == want and len(got) == len(rows)
