@@ -1,8 +1,8 @@
 """Toxicity: a linear classifier over character n-grams scaled by log-count ratios.
 
-The features are which hashed n-grams of 3 to 5 bytes a text holds. Each is scaled by
-its naive Bayes log-count ratio between toxic and other texts; a logistic regression on
-the scaled features gives the score.
+The features are which n-grams of 3 to 5 characters a text holds, hashed to 2^FEATURE_BITS
+numbers. Each is scaled by its naive Bayes log-count ratio between toxic and other texts; a
+logistic regression on the scaled features gives the score.
 """
 
 from __future__ import annotations
@@ -14,15 +14,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortkit.llm.common import rows_of
+from cohortkit.llm.common import release_memory, rows_of
 from cohortkit.session import materialize
 
 ORDERS = (3, 4, 5)
 FEATURE_BITS = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0x100000001B3)
 # Bound of the training sample: rows of each class.
 ROWS_PER_CLASS = 1500
-KEEP_FEATURES = 20_000
+# An n-gram of fewer training texts tells nothing that can be trusted.
+LEAST_TEXTS = 3
 _CHUNK = 1 << 20
 
 
@@ -33,27 +35,28 @@ class Weights:
     bias: float
 
 
-def ngram_ids(data: bytes):
-    """Ids of all n-grams, an array per order and stretch of the text."""
-    for at in range(0, max(1, len(data)), _CHUNK):
-        part = np.frombuffer(data[at:at + _CHUNK + max(ORDERS) - 1], np.uint8).astype(np.uint64)
+def ngram_ids(points: np.ndarray):
+    """Ids of all n-grams of characters, an array per order and stretch of the text."""
+    for at in range(0, max(1, len(points)), _CHUNK):
+        part = points[at:at + _CHUNK + max(ORDERS) - 1].astype(np.uint64)
         gram = part
         for order in range(2, max(ORDERS) + 1):
             if len(gram) < 2:
                 break
-            gram = gram[:-1] | part[order - 1:] << np.uint64(8 * (order - 1))
+            gram = gram[:-1] * _STEP + part[order - 1:]
             if order in ORDERS:
                 yield ((gram + np.uint64(order << 56)) * _MIX) >> np.uint64(64 - FEATURE_BITS)
 
 
-def _bytes(text: str | None) -> bytes:
-    return f" {(text or '').lower()} ".encode("utf-8", "surrogatepass")
+def characters(text: str | None) -> np.ndarray:
+    """Code points of the lower-cased text between two spaces."""
+    return np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def features(text: str | None) -> np.ndarray:
     """The different feature ids of a whole text."""
     held = np.zeros(1 << FEATURE_BITS, bool)
-    for ids in ngram_ids(_bytes(text)):
+    for ids in ngram_ids(characters(text)):
         held[ids] = True
     return np.flatnonzero(held).astype(np.int32)
 
@@ -69,10 +72,7 @@ def _kept_ratios(toxic: np.ndarray, other: np.ndarray, labels: np.ndarray, alpha
     toxic, other = alpha + toxic, alpha + other
     ratio = np.log((toxic / toxic.sum()) / (other / other.sum()))
     ratio -= np.log(((labels.sum() + alpha) / toxic.sum()) / (((1 - labels).sum() + alpha) / other.sum()))
-    # An n-gram of fewer than three texts, or one that tells little, is left out.
-    keep = np.flatnonzero((toxic + other >= 3 + 2 * alpha))
-    keep = keep[np.argsort(-np.abs(ratio[keep]) * np.sqrt((toxic + other)[keep]), kind="stable")[:KEEP_FEATURES]]
-    keep.sort()
+    keep = np.flatnonzero((toxic + other >= LEAST_TEXTS + 2 * alpha))
     return keep, ratio[keep]
 
 
@@ -80,14 +80,13 @@ def _regress(
     keep: np.ndarray, scale: np.ndarray, column: np.ndarray, document: np.ndarray, labels: np.ndarray, rounds: int, l2: float,
 ) -> Weights:
     """Logistic regression by full-batch Adam; text ``document[i]`` holds feature ``keep[column[i]]``."""
-    x = scale[column]
     w, bias = np.ones(len(keep)) * 0.1, 0.0
     m, v = np.zeros(len(keep) + 1), np.zeros(len(keep) + 1)
     balance = np.where(labels > 0, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
     for step in range(1, rounds + 1):
-        score = bias + np.bincount(document, x * w[column], len(labels))
+        score = bias + np.bincount(document, (scale * w)[column], len(labels))
         error = balance * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels) / len(labels)
-        gradient = np.append(np.bincount(column, x * error[document], len(keep)) + l2 * w / len(keep), error.sum())
+        gradient = np.append(scale * np.bincount(column, error[document], len(keep)) + l2 * w / len(keep), error.sum())
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
@@ -131,8 +130,8 @@ def learn(
     there is.
 
     Tasks find the features of the texts and count them by class; the driver gets the
-    counts (FEATURE_BITS bounds them) and of each text which of the KEEP_FEATURES kept
-    features it holds, so that no text reaches it, however long.
+    counts (FEATURE_BITS bounds them) and of each text which of the features that
+    LEAST_TEXTS texts have it holds, so that no text reaches it, however long.
     """
     marks = rows_of(labels, doc_id=id_col, toxic=label_col).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     if train is not None:
@@ -167,16 +166,18 @@ def learn(
     shared = docs.sparkSession.sparkContext.broadcast(keep.astype(np.int32))
 
     def columns(batches):
+        place = np.full(1 << FEATURE_BITS, -1, np.int32)
+        place[shared.value] = np.arange(len(shared.value), dtype=np.int32)
         for batch in batches:
-            found = [np.flatnonzero(np.isin(shared.value, np.asarray(x.values), assume_unique=True)).astype(np.int32)
-                     for x in batch["ids"]]
+            found = [(p := place[np.asarray(x.values)])[p >= 0] for x in batch["ids"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.list_(pa.int32()))], ["doc_id", "places"])
 
     kept = held.select("doc_id", "ids").mapInArrow(columns, f"doc_id {id_type}, places array<int>").toArrow()
     row_of = {k: i for i, k in enumerate(order)}
     at = {row_of[k]: i for i, k in enumerate(kept["doc_id"].to_pylist())}
     places = kept["places"].combine_chunks()
-    found = [np.asarray(places[at[i]].values) for i in range(len(order))]
+    ends, values = places.offsets.to_numpy(), places.values.to_numpy()
+    found = [values[ends[at[i]]:ends[at[i] + 1]] for i in range(len(order))]
     document = np.repeat(np.arange(len(order), dtype=np.int32), [len(x) for x in found])
     return _regress(keep, scale, np.concatenate(found), document, marks_of, rounds, l2)
 
@@ -190,7 +191,7 @@ class Scorer:
         self.bias = weights.bias
 
     def score(self, text: str | None) -> float:
-        found = [ids[self.used[ids]] for ids in ngram_ids(_bytes(text))]
+        found = [ids[self.used[ids]] for ids in ngram_ids(characters(text))]
         total = self.bias + (self.table[np.unique(np.concatenate(found))].sum() if found else 0.0)
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
@@ -200,7 +201,7 @@ def score_toxicity(docs: DataFrame, weights: Weights, id_col: str = "doc_id", te
 
     Whole texts are scored; NULL counts as empty, and an empty text gets the score of its
     few boundary n-grams. One pass without a shuffle; the broadcast model holds at most
-    KEEP_FEATURES numbers.
+    2^FEATURE_BITS numbers.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     rows = rows_of(docs, doc_id=id_col, text=text_col)
@@ -212,6 +213,8 @@ def score_toxicity(docs: DataFrame, weights: Weights, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(found, pa.float64()), pa.array([int(s >= 0.5) for s in found], pa.int32())],
                 ["doc_id", "score", "predicted"])
+        del scorer
+        release_memory()
 
     return rows.mapInArrow(
         run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")

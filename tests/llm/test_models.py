@@ -90,15 +90,70 @@ def test_whole_texts_teach(spark, docs_of):
     assert weights.features.tolist() == alone.features.tolist() and np.allclose(weights.values, alone.values)
 
 
+def plain_features(text):
+    line = f" {(text or '').lower()} "
+    out = set()
+    for n in (3, 4, 5):
+        for i in range(len(line) - n + 1):
+            number = 0
+            for c in line[i:i + n]:
+                number = (number * 0x100000001B3 + ord(c)) % 2**64
+            out.add(((number + (n << 56)) * 0x9E3779B97F4A7C15 % 2**64) >> 44)
+    return out
+
+
+def plain_toxicity(texts, marks, rounds=60, l2=1e-2, alpha=1.0):
+    """Scores of all texts {id: text} by loops over sets; ``marks`` {id: 0 or 1}, fewer than the bound."""
+    order = sorted((i for i in marks if texts.get(i) is not None), key=lambda k: (zlib.crc32(str(k).encode()), str(k)))
+    held = {i: plain_features(texts[i]) for i in texts}
+    y = np.array([marks[i] for i in order], float)
+    toxic, other = {}, {}
+    for i in order:
+        for f in held[i]:
+            side = toxic if marks[i] else other
+            side[f] = side.get(f, 0) + 1
+    size = 2**20
+    sums = alpha * size + sum(toxic.values()), alpha * size + sum(other.values())
+    level = np.log(((y.sum() + alpha) / sums[0]) / (((1 - y).sum() + alpha) / sums[1]))
+    ratio = {f: np.log(((alpha + toxic.get(f, 0)) / sums[0]) / ((alpha + other.get(f, 0)) / sums[1])) - level
+             for f in {*toxic, *other} if toxic.get(f, 0) + other.get(f, 0) >= 3}
+    names = sorted(ratio)
+    place = {f: n for n, f in enumerate(names)}
+    rows = [[place[f] for f in held[i] if f in place] for i in order]
+    scale = np.array([ratio[f] for f in names])
+    w, bias, m, v = np.full(len(names), 0.1), 0.0, np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    balance = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    for step in range(1, rounds + 1):
+        gradient = np.zeros(len(names) + 1)
+        for row, label, part in zip(rows, y, balance):
+            score = bias + (scale[row] * w[row]).sum()
+            error = part * (1 / (1 + np.exp(-score)) - label) / len(y)
+            gradient[row] += scale[row] * error
+            gradient[-1] += error
+        gradient[:-1] += l2 * w / len(names)
+        m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
+        move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        w, bias = w - move[:-1], bias - move[-1]
+    return {i: 1 / (1 + np.exp(-(bias + sum(scale[place[f]] * w[place[f]] for f in some if f in place)))) for i, some in held.items()}
+
+
+def test_toxicity_is_the_plain_one(spark, small):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    marks = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    marks = {i: t for i, t in marks.items() if zlib.crc32(str(i).encode()) % 5 != 0}
+    want = plain_toxicity(texts, marks)
+    got = {r["doc_id"]: r for r in QUERIES["op7_toxicity"](spark, small).collect()}
+    assert set(got) == set(want)
+    for i, score in want.items():
+        assert abs(got[i]["score"] - score) < 1e-4 and got[i]["predicted"] == int(got[i]["score"] >= 0.5)
+
+
 def test_features_are_the_plain_ngrams():
     text = "Ünder, the IDIOT x" * 3
-    data = toxicity._bytes(text)
-    grams = {data[i:i + n] for n in toxicity.ORDERS for i in range(len(data) - n + 1)}
-    ids = set()
-    for g in grams:
-        number = (int.from_bytes(g, "little") + (len(g) << 56)) % 2**64
-        ids.add((number * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.FEATURE_BITS))
-    assert set(toxicity.features(text).tolist()) == ids
+    assert set(toxicity.features(text).tolist()) == plain_features(text)
+    # n-grams of characters, not of bytes: three characters of three bytes each make one.
+    assert len(toxicity.features("字")) == 1 and len(toxicity.features("")) == 0
+    assert set(toxicity.features("é" * 3_000_000).tolist()) == plain_features("é" * 9)
 
 
 def plain_spans(t):
