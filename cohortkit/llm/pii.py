@@ -2,32 +2,38 @@
 
 The model is a bidirectional LSTM over characters with CRF transitions, trained in numpy.
 Texts are covered by overlapping windows; the emissions of overlapping windows are merged
-and one best path is decoded over every stretch of windows.
+and one best path is decoded over the whole text. A tag other than "outside" is allowed
+only within REACH characters of a digit or an @, which every kind has. Windows that cover
+no such place cannot change the path, so they need not be computed.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from cohortkit.llm.common import rows_of
+from cohortkit.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 N_TAGS = 1 + 2 * len(KINDS)  # 0 outside; 1 + 2k begins kind k, 2 + 2k is inside it
 WINDOW, STRIDE = 64, 32
-# Bounds of the training sample: documents drawn (about), of them used, characters of each,
-# windows with and without spans.
-DRAWN_DOCS, SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_WINDOWS = 30_000, 2000, 20_000, 1200
+# How far from a digit or an @ the path may leave "outside".
+REACH = 32
+# Bounds of the training sample: documents drawn (about), of them used; windows with and
+# without spans.
+DRAWN_DOCS, SAMPLE_DOCS, SAMPLE_WINDOWS = 30_000, 2000, 1200
 EMBED, HIDDEN = 12, 16
 _AT_ONCE = 2048
 
-# Every kind needs a digit or an @: the CRF lets no span begin in a window without one,
-# so such windows are all outside and need not be computed.
 _ANCHOR = re.compile(r"[0-9@]").finditer
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}").finditer
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++").finditer
@@ -49,7 +55,7 @@ def valid(kind: str, found: str) -> bool:
     digits = _DIGITS.sub("", found)
     if kind == "ip":
         parts = found.split(".")
-        return len(parts) == 4 and all(0 < len(p) and len(p.lstrip("0")) <= 3 and int(p.lstrip("0")[:3] or 0) <= 255 for p in parts)
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p.lstrip("0")) <= 3 and int(p.lstrip("0")[:3] or 0) <= 255 for p in parts)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
     if kind == "phone":
@@ -90,13 +96,31 @@ def char_classes(text: str) -> np.ndarray:
 N_CLASSES = 131
 
 
-def anchored_windows(text: str) -> list[int]:
-    """Starts of the windows (one at every STRIDE) that hold an anchor."""
-    found = set()
+def allowed_places(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the stretches within REACH characters of a digit or an @."""
+    out: list[list[int]] = []
     for m in _ANCHOR(text):
-        last = m.start() // STRIDE
-        found.update(w for w in range(last - WINDOW // STRIDE + 1, last + 1) if w >= 0)
-    return [w * STRIDE for w in sorted(found)]
+        start, end = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+        if out and start <= out[-1][1]:
+            out[-1][1] = end
+        else:
+            out.append([start, end])
+    return [(s, e) for s, e in out]
+
+
+def windows_over(places: list[tuple[int, int]]) -> list[int]:
+    """Starts of the windows (one at every STRIDE) that cover one of the places."""
+    out: list[int] = []
+    for start, end in places:
+        first = max(0, (start - WINDOW) // STRIDE + 1)
+        after = out[-1] // STRIDE + 1 if out else 0
+        out.extend(w * STRIDE for w in range(max(first, after), (end - 1) // STRIDE + 1))
+    return out
+
+
+def every_window(text: str) -> list[int]:
+    """Starts of all windows of a text."""
+    return list(range(0, len(text), STRIDE))
 
 
 @dataclass
@@ -199,21 +223,6 @@ class Tagger:
             g["E"] += by_class @ self.p["W" + d].T
         return float((total - gold).mean()), {k: (v / b).astype(np.float32) for k, v in g.items()}
 
-    def path(self, e: np.ndarray) -> np.ndarray:
-        """The best tag path over merged emissions (T, tags)."""
-        a = self.transitions()
-        score = np.where((np.arange(N_TAGS) % 2 == 0) & (np.arange(N_TAGS) > 0), -1e4, 0) + e[0]
-        back = np.zeros(e.shape, np.int8)
-        for i in range(1, len(e)):
-            every = score[:, None] + a
-            back[i] = every.argmax(0)
-            score = every.max(0) + e[i]
-        tags = np.zeros(len(e), np.int64)
-        tags[-1] = score.argmax()
-        for i in range(len(e) - 1, 0, -1):
-            tags[i - 1] = back[i, tags[i]]
-        return tags
-
 
 def train(windows: np.ndarray, tags: np.ndarray, epochs: int = 8, batch: int = 64, seed: int = 0) -> Tagger:
     """Adam over shuffled batches; without windows an untrained model that finds nothing."""
@@ -248,105 +257,197 @@ def _window(classes: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
+def tagged_windows(text: str):
+    """(window, tags) of every window of a whole text, by its pattern spans."""
+    spans, classes = base_spans(text), char_classes(text)
+    tags = np.zeros(len(classes) + WINDOW, np.int64)
+    for k, s, e in sorted(spans, key=lambda x: (x[2] - x[1], x)):  # of overlapping ones the longest
+        tags[s:e] = 2 + 2 * k
+        tags[s] = 1 + 2 * k
+    for start in every_window(text):
+        y = tags[start:start + WINDOW].copy()
+        for i in np.flatnonzero((y % 2 == 0) & (y > 0)):  # a window may begin inside a span; its rest is a span too
+            if i == 0 or y[i - 1] not in (y[i], y[i] - 1):
+                y[i] -= 1
+        yield _window(classes, start), y
+
+
 def training_windows(texts: list[str], most: int = SAMPLE_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
-    """Anchored windows and their tags: ``most`` with spans and as many without."""
+    """Windows and their tags: the first ``most`` with spans and as many without."""
     kept = {True: [], False: []}
-    for text in texts:
-        spans, classes = base_spans(text), char_classes(text)
-        tags = np.zeros(len(classes) + WINDOW, np.int64)
-        for k, s, e in sorted(spans, key=lambda x: (x[2] - x[1], x)):  # of overlapping ones the longest
-            tags[s:e] = 2 + 2 * k
-            tags[s] = 1 + 2 * k
-        for start in anchored_windows(text):
-            y = tags[start:start + WINDOW].copy()
-            inside = np.flatnonzero(y % 2 == 0)
-            for i in inside:  # a window may begin inside a span; its rest is a span too
-                if y[i] and (i == 0 or y[i - 1] not in (y[i], y[i] - 1)):
-                    y[i] -= 1
-            some = kept[bool(y.any())]
-            if len(some) < most:
-                some.append((_window(classes, start), y))
-    both = kept[True] + kept[False]
-    if not kept[True]:
+    for x, y in itertools.chain.from_iterable(map(tagged_windows, texts)):
+        some = kept[bool(y.any())]
+        if len(some) < most:
+            some.append((x, y))
+    return _stacked(kept[True], kept[False])
+
+
+def _stacked(with_spans: list, without: list) -> tuple[np.ndarray, np.ndarray]:
+    if not with_spans:
         return np.zeros((0, WINDOW), np.int16), np.zeros((0, WINDOW), np.int64)
+    both = with_spans + without
     return np.stack([x for x, _ in both]), np.stack([y for _, y in both])
 
 
+def _window_rows(batches):
+    """Of the sampled texts every window as bytes: those with spans, those without but near a
+    digit or an @ (from which the model learns most), and the others."""
+    for batch in batches:
+        for text in batch["text"]:
+            text = text.as_py()
+            near = set(windows_over(allowed_places(text)))
+            rows = [(xxhash.xxh64_intdigest(x.tobytes(), 7) >> 1, 0 if y.any() else 1 if start in near else 2, x.tobytes(), y.astype(np.int8).tobytes())
+                    for start, (x, y) in zip(every_window(text), tagged_windows(text))]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())],
+                ["draw", "kind", "x", "y"])
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger:
     """Trains on a bounded sample: of the DRAWN_DOCS documents (about) with the smallest id
-    hashes those with a digit or an @, SAMPLE_DOCS at most, SAMPLE_CHARS characters of each
-    around the first such sign; the spans of the patterns are the labels."""
+    hashes those with a digit or an @, SAMPLE_DOCS at most. Their whole texts are cut into
+    windows inside tasks, with the spans of the patterns as labels; of all windows the driver
+    gets the SAMPLE_WINDOWS with the smallest hashes that have spans, as many without
+    (three of four near a digit or an @), and no text."""
     rows = rows_of(docs, doc_id=id_col, text=text_col)
     share = min(1.0, DRAWN_DOCS / max(1, rows.count()))
     draw = F.xxhash64(F.lit("pii"), F.col("doc_id").cast("string")).cast("double") / 2.0**64 + 0.5
-    first = F.greatest(F.lit(1), F.regexp_instr("text", F.lit("[0-9@]")) - SAMPLE_CHARS // 2)
-    sample = (rows.select(draw.alias("draw"), "text").where(F.col("draw") <= share).where(F.col("text").rlike("[0-9@]"))
-              .select("draw", F.col("text").substr(first, F.lit(SAMPLE_CHARS)).alias("text"))
-              .orderBy("draw", "text").limit(SAMPLE_DOCS))
-    return train(*training_windows([r["text"] for r in sample.collect()]))
+    near = rows.select(draw.alias("draw"), "doc_id", "text").where(F.col("draw") <= share).where(F.col("text").rlike("[0-9@]"))
+    # The sample is chosen by id and hash of the text; texts stay where they are.
+    marked = near.withColumn("mark", F.xxhash64("text"))
+    last = marked.select("draw", "mark").orderBy("draw", "mark").limit(SAMPLE_DOCS).agg(F.max(F.struct("draw", "mark")).alias("m")).first()["m"]
+    if last is None:
+        return train(*_stacked([], []))
+    within = F.struct("draw", "mark") <= F.struct(F.lit(last[0]).alias("draw"), F.lit(last[1]).alias("mark"))
+    # Rows with equal ids and texts teach once.
+    sample = marked.where(within).groupBy("draw", "mark").agg(F.max("text").alias("text"))
+    windows = materialize(sample.select("text").mapInArrow(_window_rows, "draw bigint, kind int, x binary, y binary"))
+    found = []
+    for kind, most in ((0, SAMPLE_WINDOWS), (1, SAMPLE_WINDOWS * 3 // 4), (2, SAMPLE_WINDOWS // 4)):
+        some = windows.where(F.col("kind") == kind).distinct().orderBy("draw", "x", "y").limit(most).collect()
+        found.append([(np.frombuffer(r["x"], np.int16), np.frombuffer(r["y"], np.int8).astype(np.int64)) for r in some])
+    return train(*_stacked(found[0], found[1] + found[2]))
+
+
+class _Path:
+    """The best path over a stretch whose merged emissions come window by window.
+
+    Only the rows that a later window may still add to are held; of the others there is a byte
+    a tag, so the memory and the time of a stretch grow with its length.
+    """
+
+    def __init__(self, tagger: Tagger, start: int, length: int, allowed: list[tuple[int, int]]):
+        self.a, self.start, self.length, self.at = tagger.transitions(), start, length, start
+        self.allowed, self.next = allowed, 0
+        self.total, self.weights = np.zeros((WINDOW, N_TAGS), np.float32), np.zeros((WINDOW, 1), np.float32)
+        self.score, self.back = None, []
+
+    def add(self, start: int, emitted: np.ndarray, weight: np.ndarray):
+        self._settle(start)
+        self.total += emitted * weight
+        self.weights += weight
+
+    def _settle(self, upto: int):
+        """Rows before ``upto`` are complete: step over them."""
+        n = min(upto, self.start + self.length) - self.at
+        if n <= 0:
+            return
+        rows = self.total[:n] / self.weights[:n]
+        open_ = np.zeros(n, bool)
+        while self.next < len(self.allowed) and self.allowed[self.next][0] < self.at + n:
+            s, e = self.allowed[self.next]
+            open_[max(0, s - self.at):max(0, e - self.at)] = True
+            if e > self.at + n:
+                break
+            self.next += 1
+        rows[~open_, 1:] = -1e4
+        back = np.zeros((n, N_TAGS), np.int8)
+        for i in range(n):
+            if self.score is None:
+                closed = (np.arange(N_TAGS) % 2 == 0) & (np.arange(N_TAGS) > 0)
+                self.score = np.where(closed, -1e4, 0) + rows[i]
+                continue
+            every = self.score[:, None] + self.a
+            back[i] = every.argmax(0)
+            self.score = every.max(0) + rows[i]
+            self.score -= self.score.max()  # however long the stretch, sums stay small
+        self.back.append(back)
+        self.total = np.concatenate((self.total[n:], np.zeros((n, N_TAGS), np.float32)))
+        self.weights = np.concatenate((self.weights[n:], np.zeros((n, 1), np.float32)))
+        self.at += n
+
+    def spans(self) -> list[tuple[int, int, int]]:
+        self._settle(self.start + self.length)
+        back = np.concatenate(self.back) if self.back else np.zeros((0, N_TAGS), np.int8)
+        if not len(back):
+            return []
+        tags = np.zeros(len(back), np.int8)
+        tag = int(self.score.argmax())
+        for i in range(len(back) - 1, -1, -1):
+            tags[i] = tag
+            tag = back[i, tag]
+        out = []
+        for s in np.flatnonzero(tags % 2 == 1).tolist():
+            e = s + 1
+            while e < len(tags) and tags[e] == tags[s] + 1:
+                e += 1
+            out.append(((int(tags[s]) - 1) // 2, self.start + s, self.start + e))
+        return out
 
 
-def model_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, int]]]:
+def model_spans(texts: list[str], tagger: Tagger, every: bool = False) -> list[list[tuple[int, int, int]]]:
     """Spans of the model alone, of whole texts; overlapping windows are merged with more
-    weight on a window's middle before each stretch is decoded."""
-    places = [(i, s) for i, t in enumerate(texts) for s in anchored_windows(t)]
+    weight on a window's middle before the path is decoded.
+
+    With ``every`` all windows are computed and each text is one stretch. The spans are the
+    same: a place that may leave "outside" has all its windows either way, and between two
+    stretches every place is outside.
+    """
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    allowed = [allowed_places(t) for t in texts]
+    places = ((i, s) for i, t in enumerate(texts) for s in (every_window(t) if every else windows_over(allowed[i])))
     weight = (1 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])).astype(np.float32)[:, None]
     classes: dict[int, np.ndarray] = {}
-    stretch: list = []  # [document, start, weighted emissions, weights]
-
-    def decode():
-        if not stretch:
-            return
-        i, start, total, weights = stretch
-        length = min(len(total), len(texts[i]) - start)
-        tags = tagger.path(total[:length] / weights[:length])
-        at = 0
-        while at < length:
-            if tags[at] % 2 == 1:
-                end = at + 1
-                while end < length and tags[end] == tags[at] + 1:
-                    end += 1
-                found[i].append(((int(tags[at]) - 1) // 2, start + at, start + end))
-                at = end
-            else:
-                at += 1
-
-    for at in range(0, len(places), _AT_ONCE):
-        part = places[at:at + _AT_ONCE]
+    path, of, upto = None, -1, -1
+    while part := list(itertools.islice(places, _AT_ONCE)):
         for i in {i for i, _ in part}:
             if i not in classes:
                 classes[i] = char_classes(texts[i])
         emitted = tagger.emissions(np.stack([_window(classes[i], s) for i, s in part]))
         for (i, s), e in zip(part, emitted):
-            if stretch and stretch[0] == i and s < stretch[1] + len(stretch[2]):
-                shift = s - stretch[1]
-                more = shift + WINDOW - len(stretch[2])
-                stretch[2] = np.concatenate((stretch[2], np.zeros((more, N_TAGS), np.float32)))
-                stretch[3] = np.concatenate((stretch[3], np.zeros((more, 1), np.float32)))
-                stretch[2][shift:] += e * weight
-                stretch[3][shift:] += weight
-            else:
-                decode()
-                stretch[:] = [i, s, e * weight, weight.copy()]
+            if path is None or i != of or s > upto:
+                if path is not None:
+                    found[of] += path.spans()
+                path = _Path(tagger, s, 0, allowed[i])
+                # Stretches before this one are done with their places.
+                path.next = bisect.bisect_left(allowed[i], (s, 0))
+                path.next -= path.next > 0 and allowed[i][path.next - 1][1] > s
+                of = i
+            upto = s + WINDOW
+            path.length = min(upto, len(texts[i])) - path.start
+            path.add(s, e, weight)
         classes = {i: classes[i] for i in list(classes)[-1:]}
-    decode()
+    if path is not None:
+        found[of] += path.spans()
     return found
 
 
 def all_spans(base: list[tuple[int, int, int]], found: list[tuple[int, int, int]], text: str) -> list[tuple[int, int, int]]:
     """The pattern spans, and those of the model that overlap none of them and pass the
     kind's own check (an email also needs an @ between two signs)."""
-    spans = list(base)
+    spans, held = list(base), sorted((s, e) for _, s, e in base)
+    starts, ends = [s for s, _ in held], list(itertools.accumulate((e for _, e in held), max))
     for k, s, e in found:
         part = text[s:e]
         fits = valid(KINDS[k], part) if k else bool(re.search(r"\S@\S", part))
-        if fits and not any(s < end and start < e for _, start, end in base):
+        before = bisect.bisect_left(starts, e)  # pattern spans that start before the end
+        if fits and not (before and ends[before - 1] > s):
             spans.append((k, s, e))
     return sorted(spans)
 
 
-def find_pii(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_pii(docs: DataFrame, tagger: Tagger, every: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone (pattern spans),
     base_sha256 (of those spans), spans (all spans, kind:start:end joined by commas), n_added.
 
@@ -354,7 +455,8 @@ def find_pii(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col:
     points, ends exclusive. Spans of different kinds may overlap; spans of the model never
     overlap one of a pattern. Repeated rows come back repeated; an empty table gives none.
 
-    One pass without a shuffle; the broadcast model has some thousand numbers.
+    One pass without a shuffle; the broadcast model has some thousand numbers. ``every``
+    computes all windows, with the same result (see ``model_spans``).
     """
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
     rows = rows_of(docs, doc_id=id_col, text=text_col)
@@ -366,7 +468,7 @@ def find_pii(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col:
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             base = [base_spans(t) for t in texts]
-            spans = [all_spans(b, f, t) for b, f, t in zip(base, model_spans(texts, shared.value), texts)]
+            spans = [all_spans(b, f, t) for b, f, t in zip(base, model_spans(texts, shared.value, every), texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"]]
                 + [pa.array([sum(x[0] == k for x in b) for b in base], pa.int64()) for k in range(len(KINDS))]

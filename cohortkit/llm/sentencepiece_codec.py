@@ -152,10 +152,8 @@ def build_tokenizer(model: Model):
     if not any(re.search(f"[^{MARK}]{MARK}", p) for p, k in zip(model.pieces, model.kinds) if k in (NORMAL, USER_DEFINED, UNUSED)):
         # No piece reaches over a marker, so words can be cut apart (and are cached).
         tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+"), "isolated")
-    tail = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
-    if model.add_dummy_prefix:
-        tail.append(decoders.Strip(" ", 1, 0))
-    tokenizer.decoder = decoders.Sequence(tail)
+    # The space of the dummy prefix is taken off where whole texts are put together.
+    tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
     return tokenizer
 
 
@@ -211,6 +209,11 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool | None]]:
         """(ids as little-endian 32-bit numbers, whether both libraries gave the same ids;
         None where they were not compared)."""
+        return self.encode_and_decode(texts, False)[:2]
+
+    def encode_and_decode(self, texts: list[str], back: bool = True) -> tuple[list[bytes], list[bool | None], list[str]]:
+        """:meth:`encode`, and (``back``) what :meth:`decode` makes of the ids. Where ids are put
+        together from those of words, so is the text: a character's bytes are one word's."""
         encode = lambda some: self.fast.encode_batch_fast(some, add_special_tokens=False)
         if self.by_word:
             split = [_WORDS(self._normal(t)) for t in texts]
@@ -227,10 +230,12 @@ class Codec:
                     wanted[new.index(MARK)] = array("i", [self.model.pieces.index(MARK)]).tobytes()
                 self.other.update(w for w, a, b in zip(new, found, wanted) if a != b)
                 found = wanted
-            self.words.update(zip(new, found))
-            ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
+            self.words.update(zip(new, zip(found, self._decoded(found) if back else itertools.repeat(None))))
+            parts = [list(map(self.words.__getitem__, words)) for words in split]
+            ids = [b"".join([x for x, _ in some]) for some in parts]
             if self.words_compared:
-                return ids, [not self.other or self.other.isdisjoint(words) for words in split]
+                same = [not self.other or self.other.isdisjoint(words) for words in split]
+                return ids, same, [self._whole("".join([t for _, t in some])) for some in parts] if back else []
         else:
             ids = [array("i", e.ids).tobytes() for e in self._spread(encode, texts)]
         same: list[bool | None] = [None] * len(texts)
@@ -239,16 +244,22 @@ class Codec:
             asked = [i for i, t in enumerate(texts) if n == 1 or zlib.crc32(t.encode()) % n == 0]
             for i, want in zip(asked, self._spread(self._by_reference, [texts[i] for i in asked])):
                 same[i], ids[i] = ids[i] == want, want
-        return ids, same
+        return ids, same, self.decode(ids) if back else []
 
     def _by_reference(self, texts: list[str]) -> list[bytes]:
         return [array("i", x).tobytes() for x in self.reference.encode(texts, num_threads=1)]
 
     def decode(self, ids: list[bytes]) -> list[str]:
+        return [self._whole(t) for t in self._decoded(ids)]
+
+    def _decoded(self, ids: list[bytes]) -> list[str]:
         decoded = lambda some: self.fast.decode_batch(
             [memoryview(x).cast("i").tolist() for x in some], skip_special_tokens=False)
         return self._spread(decoded, ids)
 
+    def _whole(self, text: str) -> str:
+        return text[1:] if self.model.add_dummy_prefix and text.startswith(" ") else text
+
 
 def _parts(batch):
     """Slices of a record batch with about BATCH_CHARS characters of text."""
@@ -283,8 +294,7 @@ def encode_documents(
         for batch in batches:
             for part in _parts(batch):
                 some = [t or "" for t in part["text"].to_pylist()]
-                ids, same = codec.encode(some)
-                decoded = codec.decode(ids)
+                ids, same, decoded = codec.encode_and_decode(some)
                 lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 flat = np.frombuffer(b"".join(ids), "<i4")
                 ends = np.cumsum(lengths)
