@@ -32,8 +32,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Texts go to the library in batches of about this many characters.
 BATCH_CHARS = 1_000_000
-# Words whose ids a task remembers (some tens of MB).
-KNOWN_WORDS = 200_000
+# Words whose ids a task remembers (some 200 bytes each).
+KNOWN_WORDS = 300_000
 
 
 @dataclass
@@ -187,7 +187,8 @@ class Codec:
         model = self.model
         plain = model.add_dummy_prefix and model.escape_whitespaces and not model.charsmap and not model.remove_extra_whitespaces
         self.words_compared = verify_one_in == 1 and self.by_word and plain and MARK in model.pieces
-        self.other: set[str] = set()  # words that the two libraries encode differently
+        self.other: set[str] = set()
+        self.odd: dict[str, str] = {}
         self.pool, self.threads = ThreadPoolExecutor(threads), threads
 
     def _spread(self, function, items: list) -> list:
@@ -212,50 +213,72 @@ class Codec:
         return self.encode_and_decode(texts, False)[:2]
 
     def encode_and_decode(self, texts: list[str], back: bool = True) -> tuple[list[bytes], list[bool | None], list[str]]:
-        """:meth:`encode`, and (``back``) what :meth:`decode` makes of the ids. Where ids are put
-        together from those of words, so is the text: a character's bytes are one word's."""
-        encode = lambda some: self.fast.encode_batch_fast(some, add_special_tokens=False)
+        """:meth:`encode`, and (``back``) what :meth:`decode` makes of the ids."""
+        if self.words_compared:
+            return self._by_words(texts, back)
         if self.by_word:
             split = [_WORDS(self._normal(t)) for t in texts]
-            if len(self.words) > KNOWN_WORDS:
-                self.words.clear()
-                self.other.clear()
-            new = list(set(itertools.chain.from_iterable(split)).difference(self.words))
-            found = [array("i", e.ids).tobytes() for e in self._spread(encode, new)]
-            if self.words_compared:
-                # The dummy prefix stands for a word's first marker; it is not put before nothing,
-                # so a marker alone is its piece.
-                wanted = self._spread(self._by_reference, [w[1:] for w in new])
-                if MARK in new:
-                    wanted[new.index(MARK)] = array("i", [self.model.pieces.index(MARK)]).tobytes()
-                self.other.update(w for w, a, b in zip(new, found, wanted) if a != b)
-                found = wanted
-            self.words.update(zip(new, zip(found, self._decoded(found) if back else itertools.repeat(None))))
-            parts = [list(map(self.words.__getitem__, words)) for words in split]
-            ids = [b"".join([x for x, _ in some]) for some in parts]
-            if self.words_compared:
-                same = [not self.other or self.other.isdisjoint(words) for words in split]
-                return ids, same, [self._whole("".join([t for _, t in some])) for some in parts] if back else []
+            new = self._new_words(split)
+            self.words.update(zip(new, self._encoded(new)))
+            ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
         else:
-            ids = [array("i", e.ids).tobytes() for e in self._spread(encode, texts)]
+            ids = self._encoded(texts)
         same: list[bool | None] = [None] * len(texts)
         if self.verify_one_in:
             n = self.verify_one_in
             asked = [i for i, t in enumerate(texts) if n == 1 or zlib.crc32(t.encode()) % n == 0]
-            for i, want in zip(asked, self._spread(self._by_reference, [texts[i] for i in asked])):
+            for i, want in zip(asked, self._by_reference([texts[i] for i in asked])):
                 same[i], ids[i] = ids[i] == want, want
         return ids, same, self.decode(ids) if back else []
 
+    def _by_words(self, texts: list[str], back: bool) -> tuple[list[bytes], list[bool | None], list[str]]:
+        """Ids and texts put together from those of words, known without their first marker.
+
+        Each new word is encoded by both libraries and decoded again: ``other`` has the words that
+        they encode differently, ``odd`` those that do not come back as they were.
+        """
+        split = []
+        for t in texts:
+            simple = t and MARK not in t and "  " not in t and t[0] != " " and t[-1] != " "
+            split.append(t.split(" ") if simple else [w[1:] for w in _WORDS(self._normal(t))])
+        new = self._new_words(split)
+        found, wanted = self._encoded([MARK + w for w in new]), self._by_reference(new)
+        if "" in new:  # the dummy prefix is not put before nothing; a marker alone is its piece
+            wanted[new.index("")] = array("i", [self.model.pieces.index(MARK)]).tobytes()
+        self.other.update(w for w, a, b in zip(new, found, wanted) if a != b)
+        self.odd.update((w, t) for w, t in zip(new, self._decoded(wanted)) if t != " " + w.replace(MARK, " "))
+        self.words.update(zip(new, wanted))
+        ids = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        same = [not self.other or self.other.isdisjoint(words) for words in split]
+        if not back:
+            return ids, same, []
+        whole = []
+        for t, words in zip(texts, split):
+            if self.odd and not self.odd.keys().isdisjoint(words):
+                t = "".join([self.odd.get(w) or " " + w.replace(MARK, " ") for w in words])[1:]
+            whole.append(t.replace(MARK, " "))
+        return ids, same, whole
+
+    def _new_words(self, split: list[list[str]]) -> list[str]:
+        if len(self.words) > KNOWN_WORDS:
+            for known in (self.words, self.other, self.odd):
+                known.clear()
+        return list(set(itertools.chain.from_iterable(split)).difference(self.words))
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self._spread(lambda some: self.fast.encode_batch_fast(some, add_special_tokens=False), texts)
+        return [array("i", e.ids).tobytes() for e in found]
+
     def _by_reference(self, texts: list[str]) -> list[bytes]:
-        return [array("i", x).tobytes() for x in self.reference.encode(texts, num_threads=1)]
+        found = self._spread(lambda some: self.reference.encode(some, num_threads=1), texts)
+        return [array("i", x).tobytes() for x in found]
 
     def decode(self, ids: list[bytes]) -> list[str]:
         return [self._whole(t) for t in self._decoded(ids)]
 
     def _decoded(self, ids: list[bytes]) -> list[str]:
-        decoded = lambda some: self.fast.decode_batch(
-            [memoryview(x).cast("i").tolist() for x in some], skip_special_tokens=False)
-        return self._spread(decoded, ids)
+        plain = [memoryview(x).cast("i").tolist() for x in ids]
+        return self._spread(lambda some: self.fast.decode_batch(some, skip_special_tokens=False), plain)
 
     def _whole(self, text: str) -> str:
         return text[1:] if self.model.add_dummy_prefix and text.startswith(" ") else text
