@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -65,6 +66,31 @@ class DigestIndex:
             F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), DIGEST,
         )
 
+    def drop(self) -> None:
+        """Forget the table and delete its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def add_from_largest(self, docs: DataFrame, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """The rows of :meth:`add` for a whole table that is added batch by batch, the largest ids first.
+
+        Of equal texts the earlier batch stays, so over all batches the row with the
+        largest id does, as if the table were one batch; group_size counts all equal rows.
+        Batches are ranges of ids of equal width; rows with a NULL id come with the last.
+        """
+        ids = docs.agg(F.min(f"`{id_col}`").alias("low"), F.max(f"`{id_col}`").alias("high")).first()
+        own, found = F.col(f"`{id_col}`"), []
+        low, high = ids["low"] or 0, ids["high"] or 0
+        edges = [low + (high + 1 - low) * i // batches for i in range(batches + 1)]
+        for i in reversed(range(batches)):
+            inside = (own >= edges[i]) & (own < edges[i + 1])
+            batch = docs.where(F.coalesce(inside, F.lit(i == 0)))
+            found.append(materialize(self.add(batch, id_col, text_col)).drop("group_size"))
+        rows = reduce(DataFrame.unionByName, found)
+        sizes = rows.groupBy(DIGEST).agg(F.count(F.lit(1)).alias("group_size"))
+        return rows.join(materialize(sizes), DIGEST).select("doc_id", "keep_id", "group_size", "kept", DIGEST)
+
     def deduplicate(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """The rows of a batch, with all their columns, that ``add`` keeps; of several kept
         rows with one digest and id (or none) one stays, the first by its JSON form.

@@ -10,7 +10,7 @@ from cohortkit.llm import (
     hamming_topk, hard_negatives, language, lexical, mixing, perspectives, pii, repeats, sentencepiece_codec, simhash, toxicity, wrapper)
 from cohortkit.llm.common import id_remainder, table
 from cohortkit.llm.digest_index import DigestIndex
-from cohortkit.session import shared_folder
+from cohortkit.session import at_end, shared_folder
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 ENCODING_THREADS = 2
@@ -21,6 +21,7 @@ WEIGHTS = {
     **{(d, lang): w for d in ("web", "books", "reference") for lang, w in (("en", 6), ("fr", 2), ("de", 2), ("es", 1))},
 }
 MIXTURE = {"budget_share": 0.8, "max_epochs": 2, "seed": 17}
+DEDUP_BATCHES = 2
 QUERY_EVERY = 50
 NEIGHBOURS = 10
 ANCHOR_EVERY = 100
@@ -36,7 +37,10 @@ def language_rule():
 
 
 def new_index(spark) -> DigestIndex:
-    return DigestIndex(spark, f"{shared_folder(spark)}/cohortkit-digests-{uuid.uuid4().hex}")
+    """An empty index; a job of ``scratch`` takes it along when it ends."""
+    index = DigestIndex(spark, f"{shared_folder(spark)}/cohortkit-digests-{uuid.uuid4().hex}")
+    at_end(index.drop)
+    return index
 
 
 def op1_sentencepiece(spark, folder):
@@ -77,7 +81,7 @@ def op7_toxicity(spark, folder):
 
 
 def op8_exact_dedup(spark, folder):
-    return new_index(spark).add(table(spark, folder, "documents"))
+    return new_index(spark).add_from_largest(table(spark, folder, "documents"), DEDUP_BATCHES)
 
 
 def op9_pii(spark, folder):

@@ -281,3 +281,38 @@ def test_interval_expansion_is_prefix_equality():
         assert words == sorted(words) and sorted(order) == list(range(n))
         assert [a == b for a, b in zip(classes[1:], classes)] == [a == b for a, b in zip(words[1:], words)]
         assert [ring[i:i + depth] for i in order_by_prefix(symbols, depth)] == words
+
+
+def test_two_batches_are_one_table(spark, medium, tmp_path):
+    """The index decides about the second batch at size; the rule is that of one batch."""
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    groups = {}
+    for r in docs.collect():
+        groups.setdefault(hashlib.sha256((r["text"] or "").translate(LOWER).encode()).hexdigest(), []).append(r["doc_id"])
+    assert max(map(len, groups.values())) > 1
+    for batches in (1, 2, 5):
+        index = DigestIndex(spark, str(tmp_path / f"index{batches}"), 4)
+        got = index.add_from_largest(docs, batches).collect()
+        assert len(got) == docs.count() and index.table().count() == len(groups)
+        for r in got:
+            ids = groups[r["text_sha256"]]
+            assert (r["keep_id"], r["group_size"], r["kept"]) == (max(ids), len(ids), r["doc_id"] == max(ids))
+    # Later ids second: what the first batch has stays, and only new texts are appended.
+    index, half = DigestIndex(spark, str(tmp_path / "later"), 4), docs.agg(F.expr("median(doc_id)")).first()[0]
+    first = {r["text_sha256"]: r["keep_id"] for r in index.add(docs.where(F.col("doc_id") < half)).collect()}
+    for r in index.add(docs.where(F.col("doc_id") >= half)).collect():
+        ids = [i for i in groups[r["text_sha256"]] if i >= half]
+        assert r["keep_id"] == first.get(r["text_sha256"], max(ids)) and r["kept"] == (r["doc_id"] == r["keep_id"])
+    assert index.table().count() == len(groups)
+    index.drop()
+    assert not (tmp_path / "later").exists() and not spark.catalog.tableExists(index.name)
+
+
+def test_batches_of_odd_ids(spark, docs_of, tmp_path):
+    texts, ids = ["a", "A", "b", None, "", "b", "c", "a"], [None, -5, None, 7, 2**40, None, 3, 3]
+    got = DigestIndex(spark, str(tmp_path / "i"), 2).add_from_largest(docs_of(texts, ids=ids), 3).collect()
+    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"]) for r in got) == sorted([
+        ("None", "3", 3, False), ("-5", "3", 3, False), ("3", "3", 3, True), ("None", "None", 2, True), ("None", "None", 2, True),
+        ("7", str(2**40), 2, False), (str(2**40), str(2**40), 2, True), ("3", "3", 1, True)])
+    for empty in (docs_of([]), docs_of(["x"], ids=[None])):
+        assert DigestIndex(spark, str(tmp_path / f"e{empty.count()}"), 2).add_from_largest(empty).count() == empty.count()
