@@ -316,3 +316,34 @@ def test_batches_of_odd_ids(spark, docs_of, tmp_path):
         ("7", str(2**40), 2, False), (str(2**40), str(2**40), 2, True), ("3", "3", 1, True)])
     for empty in (docs_of([]), docs_of(["x"], ids=[None])):
         assert DigestIndex(spark, str(tmp_path / f"e{empty.count()}"), 2).add_from_largest(empty).count() == empty.count()
+
+
+def test_windows_of_heavy_anchors(spark, docs_of):
+    """Any anchor may count as heavy; what is removed stays the same."""
+    r = random.Random(12)
+    base = ["".join(r.choice("abé \x00") for _ in range(300)) for _ in range(4)] + ["a" * 200, "ab" * 90]
+    phrase = "one phrase of more than fifty bytes stands in a third of all the documents"
+    texts = [r.choice(["", phrase]) + (b := r.choice(base))[(s := r.randrange(len(b))):s + r.randint(0, 160)] + r.choice(["", phrase[:20], "ñ"])
+             for _ in range(60)] + [None, ""]
+    ids = [i if i % 7 else 3 for i in range(len(texts))]
+    want = cut(list(zip(ids, texts)))
+    for heavy_docs, group_bytes in ((1, 8_000_000), (1, 1500), (6, 1500)):
+        got = remove_repeats(docs_of(texts, ids=ids), group_bytes, heavy_docs=heavy_docs).collect()
+        assert sorted((tuple(x) for x in got), key=str) == want
+
+
+def test_a_phrase_in_every_document_is_spread():
+    """20 and 60 bytes that all documents share: no block gets more than a few times what others get."""
+    r = random.Random(13)
+    text = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(120))
+    unpack = zstandard.ZstdDecompressor().decompress
+
+    def block_bytes(phrase, heavy_docs):
+        group = pd.DataFrame({"g": 0, "doc_id": range(1500), "text": [text() + phrase + text() for _ in range(1500)], "copies": 1})
+        shared = repeats._shared_anchors(repeats._anchor_blobs(1)(group), heavy_docs)
+        sent = repeats._pieces(32)(group, shared)
+        return sorted(len(unpack(x)) for x in sent["bytes"])
+
+    for phrase in ("one phrase of twenty", "sixty bytes of text that stand in every one of the documents"):
+        light, heavy = block_bytes(phrase, 10**9), block_bytes(phrase, 500)
+        assert light[-1] > 0.2 * sum(light) and len(heavy) == 32 and heavy[-1] < 2 * heavy[16]
