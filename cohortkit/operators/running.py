@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from cohortkit.operators.sizing import within_broadcast
 from cohortkit.session import SINGLE_TASK_ROWS, materialize
 
 
@@ -46,8 +47,9 @@ def running_totals(
         *[F.coalesce(F.sum(f"__{new}").over(before), F.lit(0)).alias(f"__{new}") for new in totals],
     )
     inner = Window.partitionBy("__range", *within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # At most one row per range and group that meets in it.
-    joined = ranged.join(F.broadcast(offsets) if not within else offsets, ["__range", *within])
+    # One row per range, or per range and group that meets in it.
+    few = not within and within_broadcast(n_ranges, 64 * n_ranges)
+    joined = ranged.join(F.broadcast(offsets) if few else offsets, ["__range", *within])
     summed = joined.withColumns({
         new: F.sum(old).over(inner) + F.col(f"__{new}") for new, old in totals.items()
     })
