@@ -277,9 +277,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, top: int = 50, doc_id_col:
         held = postings.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         weight = F.expr(f"CAST(floor(1000 * ln(CAST(2 * {total['docs']}L + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)")
         # One number a term of the items of this pass.
-        weights = np.zeros(len(vocabulary), np.int64)
-        for row in held.select("term", weight.alias("w")).collect():
-            weights[row["term"]] = row["w"]
+        weights, found_terms = np.zeros(len(vocabulary), np.int64), held.select("term", weight.alias("w")).toArrow()
+        weights[found_terms["term"].to_numpy()] = found_terms["w"].to_numpy()
         shared = spark.sparkContext.broadcast((some, vocabulary, weights))
         found.append(postings.where("size(terms) > 0").mapInArrow(
             _rank(shared, total["docs"], total["terms"], top), "item bigint, down bigint, doc_id bigint"))
