@@ -76,17 +76,27 @@ def _kept_ratios(toxic: np.ndarray, other: np.ndarray, labels: np.ndarray, alpha
     return keep, ratio[keep]
 
 
-def _regress(
-    keep: np.ndarray, scale: np.ndarray, column: np.ndarray, document: np.ndarray, labels: np.ndarray, rounds: int, l2: float,
-) -> Weights:
-    """Logistic regression by full-batch Adam; text ``document[i]`` holds feature ``keep[column[i]]``."""
+def _regress(keep: np.ndarray, scale: np.ndarray, column: np.ndarray, ends: np.ndarray, labels: np.ndarray, rounds: int, l2: float) -> Weights:
+    """Logistic regression by full-batch Adam; text i holds the features ``keep[column[ends[i]:ends[i + 1]]]``.
+
+    Texts are gone through in stretches, so that little more than ``column`` is held.
+    """
     w, bias = np.ones(len(keep)) * 0.1, 0.0
     m, v = np.zeros(len(keep) + 1), np.zeros(len(keep) + 1)
     balance = np.where(labels > 0, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
+    cuts = [0]
+    while cuts[-1] < len(labels):
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, ends[cuts[-1]] + _CHUNK, side="right")) - 1))
     for step in range(1, rounds + 1):
-        score = bias + np.bincount(document, (scale * w)[column], len(labels))
-        error = balance * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels) / len(labels)
-        gradient = np.append(scale * np.bincount(column, error[document], len(keep)) + l2 * w / len(keep), error.sum())
+        each, gradient = scale * w, np.zeros(len(keep) + 1)
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            held = column[ends[s]:ends[e]]
+            text = np.repeat(np.arange(e - s), np.diff(ends[s:e + 1]))
+            score = bias + np.bincount(text, each[held], e - s)
+            error = balance[s:e] * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels[s:e]) / len(labels)
+            gradient[:-1] += np.bincount(held, error[text], len(keep))
+            gradient[-1] += error.sum()
+        gradient[:-1] = scale * gradient[:-1] + l2 * w / len(keep)
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
@@ -104,10 +114,11 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 60, l2: float = 1e-2
     size = 1 << FEATURE_BITS
     keep, scale = _kept_ratios(
         np.bincount(ids, labels[document], size), np.bincount(ids, 1 - labels[document], size), labels, alpha)
-    place = np.full(size, -1, np.int64)
+    place = np.full(size, -1, np.int32)
     place[keep] = np.arange(len(keep))
     used = place[ids] >= 0
-    return _regress(keep, scale, place[ids[used]], document[used], labels, rounds, l2)
+    ends = np.concatenate(([0], np.cumsum(np.bincount(document[used], minlength=len(texts)))))
+    return _regress(keep, scale, place[ids[used]], ends, labels, rounds, l2)
 
 
 def _feature_arrays(batches):
@@ -173,13 +184,10 @@ def learn(
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.list_(pa.int32()))], ["doc_id", "places"])
 
     kept = held.select("doc_id", "ids").mapInArrow(columns, f"doc_id {id_type}, places array<int>").toArrow()
-    row_of = {k: i for i, k in enumerate(order)}
-    at = {row_of[k]: i for i, k in enumerate(kept["doc_id"].to_pylist())}
-    places = kept["places"].combine_chunks()
-    ends, values = places.offsets.to_numpy(), places.values.to_numpy()
-    found = [values[ends[at[i]]:ends[at[i] + 1]] for i in range(len(order))]
-    document = np.repeat(np.arange(len(order), dtype=np.int32), [len(x) for x in found])
-    return _regress(keep, scale, np.concatenate(found), document, marks_of, rounds, l2)
+    at = {k: i for i, k in enumerate(kept["doc_id"].to_pylist())}
+    places = kept["places"].combine_chunks().take(pa.array([at[k] for k in order], pa.int64()))
+    del kept
+    return _regress(keep, scale, places.values.to_numpy(), places.offsets.to_numpy().astype(np.int64), marks_of, rounds, l2)
 
 
 class Scorer:
