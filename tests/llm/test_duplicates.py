@@ -347,3 +347,15 @@ def test_a_phrase_in_every_document_is_spread():
     for phrase in ("one phrase of twenty", "sixty bytes of text that stand in every one of the documents"):
         light, heavy = block_bytes(phrase, 10**9), block_bytes(phrase, 500)
         assert light[-1] > 0.2 * sum(light) and len(heavy) == 32 and heavy[-1] < 2 * heavy[16]
+
+
+def test_a_job_takes_its_index_along(spark, small):
+    import os
+
+    from cohortkit.llm.queries import QUERIES
+    from cohortkit.session import scratch, shared_folder
+
+    before = set(os.listdir(shared_folder(spark))), {t.name for t in spark.catalog.listTables()}
+    with scratch(spark):
+        assert QUERIES["op8_exact_dedup"](spark, small).count() > 0
+    assert (set(os.listdir(shared_folder(spark))), {t.name for t in spark.catalog.listTables()}) == before
