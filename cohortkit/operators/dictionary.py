@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortkit.constants import MISSING_TEXT, UNKNOWN_LEVEL
 from cohortkit.functions.names import col
@@ -14,8 +14,10 @@ from cohortkit.operators.sizing import within_broadcast
 from cohortkit.session import keep, materialize
 
 UNSEEN = ("first", "unk", "error")
-# A dictionary of at most this many entries is made on the driver, from where it is broadcast.
+# A dictionary of at most this many entries, none longer than so many bytes, is made on the
+# driver, from where it is broadcast.
 DRIVER_LEVELS = 10_000
+LEVEL_BYTES = 512
 _MARK = "\0"
 
 Sizes = dict[str, tuple[int, int]]
@@ -36,10 +38,11 @@ def as_levels(df: DataFrame, columns: Sequence[str], missing: str) -> DataFrame:
     )
 
 
-def _few(df: DataFrame, most: int) -> list[Row] | None:
-    """All rows, or None if there are more than ``most``; the others stay where they are."""
-    rows = df.limit(most + 1).collect()
-    return rows if len(rows) <= most else None
+def _few(df: DataFrame, most: int) -> list[tuple] | None:
+    """All rows, or None if there are more than ``most`` or a long value; those stay where they are."""
+    short = F.octet_length("value") <= LEVEL_BYTES
+    rows = df.withColumns({"value": F.when(short, F.col("value")), "__short": short}).limit(most + 1).collect()
+    return [tuple(r)[:-1] for r in rows] if len(rows) <= most and all(r["__short"] for r in rows) else None
 
 
 def _sizes_of(rows: Sequence) -> Sizes:

@@ -14,6 +14,7 @@ from cohortkit.operators.dictionary import encode_labels, fit_labels
 from cohortkit.operators.splits import Split, entity_split, split_by_site, split_by_time
 from cohortkit.operators.transforms import after_fill, fit_impute, fit_scale, impute, moments, scale
 from cohortkit.session import materialize
+from cohortkit.sources.published import publish
 from cohortkit.sources.readers import with_identifiers
 from cohortkit.sources.writers import write_membership, write_packs
 
@@ -83,11 +84,14 @@ def run_protocol(
     path: str | None = None,
     fmt: str = "parquet",
     split_options: dict | None = None,
+    versions: bool = False,
     **tower_options,
 ) -> TrainReady | None:
     """Split, fit and apply one protocol; written below ``path`` when it is given.
 
-    ``df`` is read several times: pass a table from storage.
+    With ``versions`` packs and membership are published side by side with earlier ones
+    (``read_published(spark, f"{path}/packs", protocol)`` reads the latest); else they take
+    their place. ``df`` is read several times: pass a table from storage.
 
     The temporal protocol is skipped (None) when there is no time column.
     """
@@ -104,7 +108,10 @@ def run_protocol(
     helpers = {*options.get("group_cols", ()), options.get("time_col"), *tower_options.pop("exclude", ())}
     packs = dual_tower(rows, exclude=helpers, **tower_options)
     name = PROTOCOLS[protocol]
-    if path:
+    if path and versions:
+        publish(membership, f"{path}/splits", name, fmt=fmt)
+        publish(packs, f"{path}/packs", name, fmt=fmt)
+    elif path:
         write_membership(membership, f"{path}/splits", name, fmt=fmt)
         write_packs(packs, f"{path}/packs", name, fmt=fmt)
     return TrainReady(name, packs, membership, split.cutoff)

@@ -182,3 +182,12 @@ def test_repeated_keys_are_named(spark):
     for t, s in ((truth.unionAll(truth.limit(1)), scores), (truth, scores.unionAll(scores))):
         with pytest.raises(PySparkException, match="'patient_id' repeats"):
             E.merge_predictions(t, s).collect()
+
+
+def test_long_levels_stay_on_the_executors(spark):
+    df = spark.range(6).select((F.col("id") % 3).alias("y"), F.concat(F.lit("x" * 600), F.col("id") % 2).alias("long"), F.lit("s").alias("short"))
+    assert D._few(D.as_levels(df, ["long", "short"], "-").distinct(), 100) is None
+    fitted, sizes = D.fit_labels(df, ["long", "short"])
+    assert sizes == {"long": (2, 2 * 633), "short": (1, 33)}
+    assert {r["long"] for r in D.encode_labels(df, fitted, ["long", "short"]).collect()} == {0, 1}
+    assert D.fit_target_means(df, ["long"], "y").count() == 2

@@ -140,3 +140,18 @@ def test_health_of_repeated_rows_and_odd_types(spark):
     assert report["sample"].collect()[0]["user_id"] == 1
     listed = materialize(spark.createDataFrame([([1],), ([1],), ([2],)], "id ARRAY<INT>"))
     assert health(listed, "none")["structure"].first()["unique_ids"] == 2
+
+
+def test_a_protocol_in_versions(spark, tmp_path):
+    from cohortkit import run_protocol
+
+    rows = spark.range(60).select(
+        F.col("id").cast("string").alias("patient_id"), F.lit("s").alias("site_id"), (F.col("id") % 2).cast("int").alias("mortality"),
+        F.sin("id").alias("x"))
+    path = str(tmp_path / "ready")
+    for seed in (1, 2):
+        result = run_protocol(rows, seed=seed, path=path, versions=True)
+    packs = IO.read_published(spark, f"{path}/packs", result.protocol)
+    assert packs.count() == 60 and set(packs.columns) == set(result.packs.columns)
+    members = [{r["patient_id"]: r["split"] for r in IO.read_published(spark, f"{path}/splits", result.protocol, v).collect()} for v in (1, 2)]
+    assert members[0] != members[1] and members[1] == {r["patient_id"]: r["split"] for r in packs.collect()}
