@@ -76,7 +76,9 @@ def render_perspectives(
     _ and -.
 
     Turns meet in parts first (a few rows per shuffle key); parts then meet the speakers
-    of their dialogue in a join that adaptive execution splits at a long dialogue.
+    of their dialogue in a join that adaptive execution splits at a long dialogue. The result
+    is each dialogue once for every speaker in it, so rows without a dialogue id, which are one
+    dialogue, come back as often as there are speakers among them.
     """
     rows = rows_of(turns, conv_id=conv_col, turn=turn_col, speaker=speaker_col, text=text_col)
     loose = F.lit(_LOOSE_PART).cast("bigint")
