@@ -23,6 +23,8 @@ LEAF_ROWS = 64
 FAN_OUT = 16
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 4096
+# Numbers of a block's vectors; wider vectors make blocks of fewer rows and queries.
+BLOCK_CELLS = 1 << 20
 # Slice edges of the tiles are those of so many rows (fewest hash first); every row is
 # indexed, and larger tiles are split by hash.
 SAMPLE_ROWS = 10_000
@@ -265,6 +267,8 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, positives: int = 5, negat
     rows = materialize(rows.select("id", "label", "vec", entry).distinct())
     firsts = _smallest(rows, ["label", "vec", "entry"], max(positives + 1, negatives))
     entries = materialize(firsts.groupBy("label", "vec", "entry").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    width = max(1, entries.agg(F.max(F.size("vec"))).first()[0] or 0)
+    block_rows, block_queries = (max(LEAF_ROWS, min(n, BLOCK_CELLS // width)) for n in (block_rows, block_queries))
     blocks, n_blocks = tiles(entries, block_rows)
     anchors = materialize(rows.where(is_anchor).withColumnsRenamed({"id": "anchor_id", "entry": "query"}))
     none = F.lit(None).cast("bigint")

@@ -37,7 +37,9 @@ def mined(spark, table, **more):
 
 
 @pytest.mark.parametrize("seed, width, spread, block", [(1, 6, 9, 8192), (2, 3, 2, 40), (3, 2, 1, 7), (4, 40, 100, 60)])
-def test_negatives(spark, seed, width, spread, block):
+def test_negatives(spark, monkeypatch, seed, width, spread, block):
+    monkeypatch.setattr(hn, "LEAF_ROWS", min(block, 64))
+    monkeypatch.setattr(hn, "BLOCK_CELLS", 1 << 20 if block > 50 else 100)
     rng = random.Random(seed)
     table = [(i, rng.randrange(3), [rng.randint(-spread, 2 * spread) for _ in range(width)]) for i in range(300)]
     table += [(i + 300, 1, table[0][2]) for i in range(90)]  # one vector that is very common
