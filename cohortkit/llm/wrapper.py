@@ -57,10 +57,10 @@ NOT_TEXT = frozenset("nav footer aside form head template dialog svg object audi
                      "datalist fieldset".split())
 NOT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NOT_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
+    "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner nav navbar navigation menu "
     "menubar breadcrumb breadcrumbs header masthead topbar footer sidebar widget widgets related recommended recommendations "
-    "share sharing social comment comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices "
-    "popup modal overlay newsletter subscribe subscription signup login search pagination pager copyright disclaimer toolbar".split())
+    "share sharing social comment comments commentlist disqus respond responses reply replies cookie cookies consent gdpr notice "
+    "notices alert alerts popup modal overlay newsletter subscribe subscription signup login search pagination pager copyright disclaimer toolbar".split())
 NEGATED = frozenset("has no with without".split())
 PAGE = frozenset("html body main".split())
 
@@ -224,13 +224,14 @@ class Page:
             return False
         if "hidden" in values or values.get("aria-hidden") == "true" or _HIDDEN.search(values.get("style", "")):
             return True
-        if values.get("role", "").lower() in NOT_ROLES:
+        if values.get("role", "").lower() in NOT_ROLES or values.get("itemprop") == "comment":
             return True
         before = ""
         for word in _WORD.findall(f"{values.get('class', '')} {values.get('id', '')}"):
             word = word.lower()
-            # The header of an article holds its title.
-            if word in NOT_WORDS and before not in NEGATED and not (word == "header" and level):
+            # The header of an article holds its title. Two words may be one: side-bar, pop-up.
+            named = word in NOT_WORDS or before + word in NOT_WORDS
+            if named and before not in NEGATED and not (word == "header" and level):
                 return True
             before = word
         return False
