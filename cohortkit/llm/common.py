@@ -6,6 +6,7 @@ import ctypes
 import gc
 import string
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -40,6 +41,7 @@ def release_memory() -> None:
     """Give a Python worker's free memory back: workers outlive tasks and share an
     executor's memory with its JVM."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

@@ -31,9 +31,9 @@ _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Texts go to the library in batches of about this many characters.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 500_000
 # Words whose ids a task remembers (some 200 bytes each).
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 
 
 @dataclass
@@ -333,7 +333,7 @@ def encode_documents(
                     pa.array([a == b for a, b in zip(decoded, some)]),
                 ], ["doc_id", "token_ids", "n_tokens", "n_byte_tokens", "ids_sha256", "same_as_reference",
                     "decoded_sha256", "round_trip"])
-        del codec
+        batch = part = some = ids = decoded = flat = by_bytes = codec = None
         release_memory()
 
     return rows.mapInArrow(

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortkit.llm.common import first_row, rows_of
+from cohortkit.llm.common import first_row, release_memory, rows_of
 from cohortkit.llm.components import connected_components
 from cohortkit.operators.sizing import small_side
 from cohortkit.session import materialize
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), words) for t in batch["text"]], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found)], ["doc_id", "fp"])
+        release_memory()
 
     rows = rows_of(docs, doc_id=id_col, text=text_col)
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint")
@@ -135,6 +136,8 @@ def _key_rows(batches):
         for at in range(0, len(fps), 4096):
             keys, fp, probe = golay_keys(fps[at:at + 4096], golay)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp), pa.array(probe)], ["key", "fp", "probe"])
+    del golay
+    release_memory()
 
 
 def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -227,6 +230,8 @@ def _links(max_bits: int, at_once: int = 400_000):
                 held = [x[~held[2]] for x in held]
         if held is not None and len(held[0]):
             yield edges(held)
+        del held
+        release_memory()
 
     return run
 
