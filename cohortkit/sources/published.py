@@ -34,7 +34,9 @@ class _Files:
         self.fs.delete(self._path(path), True)
 
     def rename(self, old: str, new: str) -> None:
-        self.fs.mkdirs(self._path(new).getParent())
+        parent = self._path(new).getParent()
+        if parent is not None:
+            self.fs.mkdirs(parent)
         if not self.fs.rename(self._path(old), self._path(new)):
             raise OSError(f"cannot rename {old} to {new}")
 
@@ -70,10 +72,15 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> N
     (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(path)
 
 
+def _beside(target: str, prefix: str, name: str | None = None) -> str:
+    """A folder in the one that holds ``target``, named after it or as given."""
+    parent, slash, own = target.rstrip("/").rpartition("/")
+    return f"{parent}{slash}{prefix}{name or own}"
+
+
 def recover(spark: SparkSession, target: str) -> None:
     """Finish or take back an exchange of folders that was interrupted."""
-    parent, _, name = target.rstrip("/").rpartition("/")
-    files, former = _Files(spark, target), f"{parent}/{_FORMER}{name}"
+    files, former = _Files(spark, target), _beside(target, _FORMER)
     if files.exists(former):
         if files.exists(target):
             files.delete(former)
@@ -88,10 +95,8 @@ def replace_folder(spark: SparkSession, target: str, write: Callable[[str], None
     folder as it was; an exchange that is interrupted is mended by the next one, or by
     ``recover``.
     """
-    target = target.rstrip("/")
-    parent, _, name = target.rpartition("/")
     files = _Files(spark, target)
-    staged, former = f"{parent}/_staged-{uuid.uuid4().hex}", f"{parent}/{_FORMER}{name}"
+    staged, former = _beside(target, "_staged-", uuid.uuid4().hex), _beside(target, _FORMER)
     try:
         write(staged)
     except BaseException:

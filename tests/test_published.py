@@ -155,3 +155,24 @@ def test_a_protocol_in_versions(spark, tmp_path):
     assert packs.count() == 60 and set(packs.columns) == set(result.packs.columns)
     members = [{r["patient_id"]: r["split"] for r in IO.read_published(spark, f"{path}/splits", result.protocol, v).collect()} for v in (1, 2)]
     assert members[0] != members[1] and members[1] == {r["patient_id"]: r["split"] for r in packs.collect()}
+
+
+def test_folders_beside_a_target():
+    from cohortkit.sources.published import _beside
+
+    for target, want in (("out", "_x-out"), ("a/out/", "a/_x-out"), ("/out", "/_x-out"), ("hdfs://h/a/out", "hdfs://h/a/_x-out"), ("file:/out", "file:/_x-out")):
+        assert _beside(target, "_x-") == want and _beside(target, "_s-", "7").endswith("_s-7")
+
+
+def test_relative_paths(spark, tmp_path):
+    import uuid
+
+    # The session's working folder is this process's; a name of its own there is deleted again.
+    name = f"cohortkit-test-{uuid.uuid4().hex}"
+    files = _Files(spark, name)
+    try:
+        for n in (3, 2):
+            IO.write_table(spark.range(n), name)
+        assert spark.read.parquet(name).count() == 2 and not [f for f in os.listdir(".") if f.startswith(("_staged-", "_former-"))]
+    finally:
+        files.delete(name)
