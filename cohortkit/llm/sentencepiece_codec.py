@@ -31,9 +31,9 @@ _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Texts go to the library in batches of about this many characters.
-BATCH_CHARS = 500_000
+BATCH_CHARS = 1_000_000
 # Words whose ids a task remembers (some 200 bytes each).
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 300_000
 
 
 @dataclass
@@ -162,7 +162,7 @@ class Codec:
 
     If no piece reaches over a metaspace marker, the ids of a text are those of its words
     one after the other, in both libraries; then only words not seen lately are encoded.
-    Batches are spread over ``threads`` threads (the libraries work without Python's lock).
+    Batches to encode are spread over ``threads`` threads (the library works without Python's lock).
 
     Everything is compared with sentencepiece: each different word when it enters the
     cache, if the model leaves characters as they are (so that a word can be given to
@@ -170,7 +170,7 @@ class Codec:
     text is compared, as a whole (chosen by its crc32), with 0 none.
     """
 
-    def __init__(self, model_bytes: bytes, verify_one_in: int = 1, threads: int = 1):
+    def __init__(self, model_bytes: bytes, verify_one_in: int = 1, threads: int = 1, known_words: int = KNOWN_WORDS):
         # The library's own thread pool costs twice the CPU time on small batches.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
@@ -189,7 +189,7 @@ class Codec:
         self.words_compared = verify_one_in == 1 and self.by_word and plain and MARK in model.pieces
         self.other: set[str] = set()
         self.odd: dict[str, str] = {}
-        self.pool, self.threads = ThreadPoolExecutor(threads), threads
+        self.pool, self.threads, self.known_words = ThreadPoolExecutor(threads), threads, known_words
 
     def _spread(self, function, items: list) -> list:
         if self.threads == 1 or len(items) < 16 * self.threads:
@@ -260,7 +260,7 @@ class Codec:
         return ids, same, whole
 
     def _new_words(self, split: list[list[str]]) -> list[str]:
-        if len(self.words) > KNOWN_WORDS:
+        if len(self.words) > self.known_words:
             for known in (self.words, self.other, self.odd):
                 known.clear()
         return list(set(itertools.chain.from_iterable(split)).difference(self.words))
@@ -270,30 +270,31 @@ class Codec:
         return [array("i", e.ids).tobytes() for e in found]
 
     def _by_reference(self, texts: list[str]) -> list[bytes]:
-        found = self._spread(lambda some: self.reference.encode(some, num_threads=1), texts)
-        return [array("i", x).tobytes() for x in found]
+        # Its lists are made under Python's lock, so threads would only wait for each other.
+        return [array("i", x).tobytes() for x in self.reference.encode(texts, num_threads=1)]
 
     def decode(self, ids: list[bytes]) -> list[str]:
         return [self._whole(t) for t in self._decoded(ids)]
 
     def _decoded(self, ids: list[bytes]) -> list[str]:
         plain = [memoryview(x).cast("i").tolist() for x in ids]
-        return self._spread(lambda some: self.fast.decode_batch(some, skip_special_tokens=False), plain)
+        return self.fast.decode_batch(plain, skip_special_tokens=False)
 
     def _whole(self, text: str) -> str:
         return text[1:] if self.model.add_dummy_prefix and text.startswith(" ") else text
 
 
-def _parts(batch):
-    """Slices of a record batch with about BATCH_CHARS characters of text."""
+def _parts(batch, chars: int):
+    """Slices of a record batch with about ``chars`` characters of text."""
     sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(zero_copy_only=False))
-    cuts = np.unique(np.searchsorted(sizes, np.arange(BATCH_CHARS, (sizes[-1] if len(sizes) else 0) + 1, BATCH_CHARS)) + 1)
+    cuts = np.unique(np.searchsorted(sizes, np.arange(chars, (sizes[-1] if len(sizes) else 0) + 1, chars)) + 1)
     for start, end in itertools.pairwise([0, *cuts[cuts < len(sizes)].tolist(), len(sizes)]):
         yield batch.slice(start, end - start)
 
 
 def encode_documents(
     docs: DataFrame, model_bytes: bytes, verify_one_in: int = 1, threads: int | None = None, id_col: str = "doc_id", text_col: str = "text",
+    known_words: int = KNOWN_WORDS, batch_chars: int = BATCH_CHARS,
 ) -> DataFrame:
     """One row per input row: doc_id, token_ids, n_tokens, n_byte_tokens, ids_sha256 (of the
     ids as little-endian 32-bit numbers), same_as_reference, decoded_sha256, round_trip.
@@ -306,16 +307,17 @@ def encode_documents(
     no rows and repeated rows come back repeated.
 
     Nothing is shuffled; a task holds one batch of texts and spreads it over ``threads``
-    threads (default: spark.task.cpus, the cores that a task has).
+    threads (default: spark.task.cpus, the cores that a task has). Smaller ``batch_chars`` and
+    ``known_words`` save memory and cost time; the ids are the same.
     """
     threads = threads or int(docs.sparkSession.conf.get("spark.task.cpus", "1"))
     shared = docs.sparkSession.sparkContext.broadcast(model_bytes)
     rows = rows_of(docs, doc_id=id_col, text=text_col)
 
     def run(batches):
-        codec = Codec(shared.value, verify_one_in, threads)
+        codec = Codec(shared.value, verify_one_in, threads, known_words)
         for batch in batches:
-            for part in _parts(batch):
+            for part in _parts(batch, batch_chars):
                 some = [t or "" for t in part["text"].to_pylist()]
                 ids, same, decoded = codec.encode_and_decode(some)
                 lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
