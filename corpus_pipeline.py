@@ -36,8 +36,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of whole texts."""
-    return sentencepiece_codec.encode_documents(docs, sentencepiece_codec.read_model(queries.MODEL_PATH))
+    """Token ids of whole texts; small batches, since workers of earlier stages hold memory too."""
+    model = sentencepiece_codec.read_model(queries.MODEL_PATH)
+    return sentencepiece_codec.encode_documents(docs, model, known_words=200_000, batch_chars=500_000)
 
 
 STAGES = [
