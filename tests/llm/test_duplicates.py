@@ -246,6 +246,25 @@ def test_a_block_gets_each_piece_of_a_group_once():
     assert len(sent) == 1 and 0 < sum(map(len, raw)) < 5000
 
 
+def test_pieces_that_meet_no_other_are_not_searched(monkeypatch):
+    """A passage's pieces are the same in every document; only those at its ends meet different ones."""
+    r = random.Random(14)
+    text = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    passage = text(4000)
+    texts = [text(200) + passage + text(200) for _ in range(4)]
+    searched = []
+    monkeypatch.setattr(repeats, "prefix_classes", lambda s, d: searched.append(len(s)) or prefix_classes(s, d))
+    group = pd.DataFrame({"g": 0, "doc_id": range(4), "text": texts, "copies": 1})
+    shared = repeats._shared_anchors(repeats._anchor_blobs(1)(group))
+    sent = repeats._pieces(1)(group, shared)
+    found = pd.concat([repeats._earlier_windows(sent, 1), shared.assign(block=repeats._ANCHORS)])
+    n_bytes = sum(np.frombuffer(x, "<i2").sum() for x in sent["lengths"])
+    assert 0 < sum(searched) < n_bytes / 8
+    got = repeats._cut(group, found, 1)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert sorted(got[columns].itertuples(index=False, name=None), key=str) == cut(list(enumerate(texts)))
+
+
 def test_large_ids_are_split(spark, docs_of):
     """Rows without an id, an id on a third of the rows and an equal row many times meet in no one group."""
     r = random.Random(5)
