@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortkit import sources as IO
 from cohortkit.operators.fingerprint import table_fingerprint
 from cohortkit.session import scratch, shared_folder
-from queries import queries
+from queries import quality_queries, queries
 
 
 def folders(path):
@@ -131,6 +131,28 @@ def test_fingerprint(spark):
         check_marks(base, mark, spark, schema)
 
 
+def test_fingerprint_deals_rows_by_size(spark, tmp_path, monkeypatch):
+    """One order key and one quantity on all rows: still no task gets a large share of the table."""
+    n, key = 80_000, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(n).repartition(8).selectExpr(
+        "7L AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "5.0D AS l_quantity")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, plain = [], quality_queries.P.table_fingerprint
+    monkeypatch.setattr(quality_queries.P, "table_fingerprint", lambda df: seen.append(df) or plain(df))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        got = quality_queries.d_table_fingerprint_fast(spark, str(tmp_path)).first()
+        whole = F.bit_xor(F.xxhash64(*seen[1].columns))  # reads every column, as the fingerprint does
+        shares = [r["n"] for r in seen[1].groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), whole).collect()]
+    finally:
+        spark.conf.set(key, before)
+    # With one key on all rows, none is left without those of the largest key, and the change is seen.
+    assert tuple(got) == (n, True, True, True)
+    assert "Exchange" in seen[1]._jdf.queryExecution().toString()
+    assert sum(shares) == n and max(shares) < n / 4
+
+
 def check_marks(base, mark, spark, schema):
     assert mark(base) == mark(base.repartition(3).orderBy("a"))
     assert mark(base) != mark(spark.createDataFrame([(None, "x"), ("y", "z"), ("y", "z")], schema))
